@@ -1,22 +1,32 @@
-"""Token ids of texts by a public tokenizer file, with the pieces between spaces encoded once each.
+"""Token ids of texts by a public tokenizer file, with what stands between spaces encoded once each.
 
 A byte-level BPE splits a text before it merges, and before a space that a non-space follows there is always
-such a split. So ids of a text are the ids of the pieces between those spaces, one after the other, and a
-piece that was seen needs no second encoding. Texts that hold an added token's string are encoded whole.
+such a split; so is there between a letter and a punctuation mark at a piece's end. So ids of a text are the ids of these pieces,
+one after the other, and a piece that was seen needs no second encoding. Texts that hold an added token's string are
+encoded whole.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from methylspark.llm.wordhash import buffers, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker process remembers. More are encoded again; ids don't depend on it.
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 300_000
+#: Bytes of text that are encoded together.
+CHUNK_BYTES = 12 << 20
+_MARKS = ",.;:!?"
+_ODD = re.compile("[ ][\\s\\u180e\\u200b\\ufeff]")
 _SPLIT = re.compile(" (?=[^\\s\\u180e\\u200b\\ufeff])")
 
 
@@ -31,49 +41,72 @@ class Encoder:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = dict(zip(_MARKS, self.whole(list(_MARKS)), strict=True))
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces, each with the space before it; those without a further space in one call."""
+    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, each with the space before it; those without a further space in one call."""
         plain = [p for p in pieces if " " not in p]
         found = {}
         if plain:
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids, self.dtype)
             at = np.append(np.flatnonzero(self.opens[ids]), len(ids)).tolist()
-            if len(at) != len(plain) + 1:
-                plain = []
-            data, w = ids.tobytes(), self.dtype.itemsize
-            for k, p in enumerate(plain):
-                found[p] = data[at[k] * w : at[k + 1] * w]
+            if len(at) == len(plain) + 1:
+                data, w = ids.tobytes(), self.dtype.itemsize
+                found = {p: data[a * w : z * w] for p, a, z in zip(plain, at, at[1:], strict=False)}
         if rest := [p for p in pieces if p not in found]:
             found.update(zip(rest, self.whole([" " + p for p in rest]), strict=True))
         return found
 
+    def _ids(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, each with the space before it."""
+        marked = [p for p in pieces if p[-1:] in self.marks and p[-2:-1].isalpha()]
+        bare = list(pieces.difference(marked).union([p[:-1] for p in marked]))
+        ids = dict(zip(bare, map(self.known.get, bare), strict=True))
+        if new := [p for p, x in ids.items() if x is None]:
+            found = self._encoded(new)
+            ids.update(found)
+            if len(self.known) + len(found) <= MEMORY_PIECES:
+                self.known.update(found)
+        ids.update([(p, ids[p[:-1]] + self.marks[p[-1]]) for p in marked])
+        return ids
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids (self.dtype) of each text."""
+        """Little-endian ids (self.dtype) of each text. The many small objects are freed by their counts; searching them for cycles takes long."""
+        gc.disable()
+        try:
+            return self._of(texts)
+        finally:
+            gc.enable()
+
+    def _of(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        odd = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
-        for k, ids in zip(odd, self.whole([texts[k] for k in odd]), strict=True):
+        added = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
+        for k, ids in zip(added, self.whole([texts[k] for k in added]), strict=True):
             out[k] = ids
-        parts = [(k, _SPLIT.split(t)) for k, t in enumerate(texts) if out[k] is None]
-        heads = self.whole([p[0] for _, p in parts])
-        known = self.known
-        new: set[str] = set()
-        for _, p in parts:
-            new.update(p[1:])
-        new.difference_update(known.keys()) if len(known) < len(new) else (new := {p for p in new if p not in known})
-        extra = self._learn(new) if new else {}
-        if len(known) + len(extra) <= MEMORY_PIECES:
-            known.update(extra)
-            extra = {}
-        get = known.__getitem__ if not extra else (known | extra).__getitem__ if len(known) < 10_000 else lambda p: known[p] if p in known else extra[p]
-        for (k, p), head in zip(parts, heads, strict=True):
-            out[k] = head + b"".join(map(get, p[1:])) if len(p) > 1 else head
+        heads, parts, places = [], [], []
+        for k, t in enumerate(texts):
+            if out[k] is None:
+                head, *rest = _SPLIT.split(t) if _ODD.search(t) else t.split(" ")
+                if rest and not rest[-1]:  # a space at the end belongs to what stands before it
+                    rest.pop()
+                    head, rest = (head, [*rest[:-1], rest[-1] + " "]) if rest else (head + " ", rest)
+                heads.append(head)
+                parts.append(rest)
+                places.append(k)
+        get = self._ids(set().union(*parts)).__getitem__
+        for k, head, rest in zip(places, self.whole(heads), parts, strict=True):
+            out[k] = head + b"".join(map(get, rest))
         return out
 
+    def column(self, column: pa.Array) -> Iterator[list[bytes]]:
+        """Ids of a text column's rows, some rows at a time; a null is an empty text."""
+        for lo, hi in slices(buffers(column)[1], CHUNK_BYTES):
+            yield self([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from methylspark.llm.encoding import encoder
 
-#: Documents that are encoded together.
-CHUNK_DOCS = 256
-
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, class int"
 
 
@@ -80,10 +77,10 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id:
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in kinds], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "class"])
 
     for b in batches:
-        for lo in range(0, b.num_rows, CHUNK_DOCS):
-            part = b.slice(lo, CHUNK_DOCS)
+        docs = iter(b.column(0).to_pylist())
+        for block in encode.column(b.column(1)):
             done = []
-            for doc, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
+            for ids, doc in zip(block, docs, strict=False):
                 wide = np.append(np.frombuffer(ids, encode.dtype), end_id).astype("<u4")
                 data = wide.tobytes()
                 for start, size in pieces_of(len(wide), capacity):

@@ -8,21 +8,100 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from methylspark.llm import packing, records
+from methylspark.llm import fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, topk, toxicity
 from methylspark.llm.store import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
+#: Scores from which a document counts as of quality, and as toxic.
+QUALITY_LIMIT, TOXIC_LIMIT = 0.5, 0.7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = langid.crc_class("doc_id", 7) == 2
+    found = maxent.score(table(spark, sf_dir, "documents"), held_out)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
+#: In ASCII letters alone, as the queries fold case; words lie between spaces and 0x09-0x0D.
+SQL_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+OP2_SQL = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s
+  FROM words),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least ON x = doc_id
+"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.harmonic_pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), 1024, 0)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "class")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.crc_class("doc_id", 3) == 1, F.lit(False))
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    found = quality.assess(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "text_score", "meta_score", "score", (F.col("score") >= QUALITY_LIMIT).alias("kept"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.crc_class("doc_id", 3) == 1, F.lit(False))
+    machine = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    found = toxicity.detect(docs, machine)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_LIMIT).cast("int").alias("predicted"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.fingerprint_neighbours(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
+
+
+OP7_SQL = """
+WITH rows AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(c.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.crc_class("doc_id", 3) == 1, F.lit(False))
+    found = langid.identify(docs, docs.where(~held_out).select("text", "lang"))
+    return found.select("doc_id", held_out.alias("held_out"), F.coalesce("language", F.lit("und")).alias("lang_pred"), "score", "margin", "accepted")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    axes = (F.coalesce(a, F.lit("")).alias(a) for a in ("source", "lang"))
+    return mixed.select("doc_id", *axes, "topic", "tokens", F.bround("probability", 6).alias("probability"), "kept")
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = records.write_records(table(spark, sf_dir, "documents"), new_path(spark, "token-records"), public_tokenizers.path(BYTE_BPE), 2)
     read = records.read_records(spark, files)
@@ -30,7 +109,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_packing": op3_packing,
-    "op10_token_records": op10_token_records,
+    f.__name__: f
+    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records)
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op7_top_k": OP7_SQL, "op9_mixing": mixing.oracle_sql()}

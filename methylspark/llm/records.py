@@ -25,7 +25,6 @@ from methylspark.llm.store import written
 
 #: Added to a rotated checksum (fixed value of the record format).
 MASK_DELTA = 0xA282EAD8
-CHUNK_DOCS = 256
 FILES = "file int, path string, docs bigint, tokens bigint, bytes bigint"
 #: Stored for a null doc_id.
 NULL_ID = -(1 << 63)
@@ -77,10 +76,10 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
     offsets = []
     with fs.open_output_stream(f"{top}/_{mark}") as out:
         for b in batches:
-            for lo in range(0, b.num_rows, CHUNK_DOCS):
-                part = b.slice(lo, CHUNK_DOCS)
+            names = iter(b.column(0).to_pylist())
+            for found in encode.column(b.column(1)):
                 block = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
+                for ids, doc in zip(found, names, strict=False):
                     ids += end
                     record = frame(struct.pack("<qB", NULL_ID if doc is None else doc, encode.dtype.itemsize) + ids)
                     offsets.append(at)

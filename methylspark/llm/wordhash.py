@@ -20,7 +20,8 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)[_FOLD]
+_BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
+_FOLDED = _BYTE[_FOLD]
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -64,6 +65,16 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
+def polynomial(text: np.ndarray, folded: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a buffer and the powers that move a part's sum to its own beginning: bytes i to j - 1 have the hash
+    (total[j] - total[i]) * inverse[i], wherever they stand."""
+    power, inverse = _power(len(text) + 1)
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.multiply((_FOLDED if folded else _BYTE)[text], power[: len(text)], out=total[1:])
+    np.add.accumulate(total, out=total)
+    return total, inverse
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of these rows, and each row's range among them (offsets, one more than rows)."""
     base, end = int(offsets[0]), int(offsets[-1])
@@ -71,10 +82,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     n = len(text)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    power, inverse = _power(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.multiply(_BYTE[text], power[:n], out=total[1:])
-    np.add.accumulate(total, out=total)
+    total, inverse = polynomial(text, folded=True)
     solid = ~_GAP[text]
     edge = np.zeros(n + 1, bool)
     edge[at] = True

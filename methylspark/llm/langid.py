@@ -1,8 +1,9 @@
 """Language identification by compression: the language whose raw-content dictionary makes the text smallest.
 
 A language's dictionary is a bounded sample of its labelled texts: groups of SNIPPET words from all over them, since longer runs
-would find the passages that documents share rather than the language. A text goes in pieces of PIECE characters
-through zstandard with each dictionary; sizes are summed over the whole text. Where the margin between the
+would find the passages that documents share rather than the language. Of a text, all its different words go in pieces of PIECE bytes
+through zstandard with each dictionary, lower-cased and without signs and digits; so what a text repeats
+of itself costs nothing in any language. Sizes are summed over the whole text. Where the margin between the
 smallest and the next is narrow, the operator rejects its own answer.
 """
 
@@ -18,13 +19,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PIECE, LEVEL = 4096, 3
+PIECE, LEVEL = 4096, 6
 #: Of each language: labelled documents that are drawn from (about), characters taken from each, and bytes of its dictionary.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 110_000
 #: Words of a dictionary's snippet, and from one snippet's beginning to the next.
 SNIPPET, STRIDE = 3, 7
-#: Relative margin at which an answer is as likely right as not, for a text of ONE_PIECE characters.
+#: Relative margin at which an answer is as likely right as not, for ONE_PIECE bytes of words.
 MARGIN, ONE_PIECE = 0.02, 400
+#: ASCII that is neither a letter nor white space.
+_SIGNS = bytes(b for b in range(128) if not chr(b).isalpha() and not chr(b).isspace())
 RESULT = "doc_id bigint, language string, margin double, score double, accepted boolean"
 
 
@@ -33,8 +36,13 @@ def crc_class(column: str, classes: int):
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(classes))
 
 
+def different_words(text: str) -> list[bytes]:
+    """A text's different words in the order they first come, lower-cased, without signs and digits."""
+    return list(dict.fromkeys(text.lower().encode().translate(None, _SIGNS).split()))
+
+
 def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
-    """Raw content for each language of (text, lang) rows: pieces of about SAMPLE_DOCS texts drawn by a hash of the text, whatever the table's size."""
+    """Raw content for each language of (text, lang) rows, the most frequent first: snippets of about SAMPLE_DOCS texts drawn by a hash of the text, whatever the table's size."""
     rows = labelled.where("lang is not null and text is not null and length(trim(text)) > 0").select("lang", "text")
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
@@ -44,10 +52,10 @@ def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
     middle = F.greatest(F.lit(1), (F.length("text") / 2 - SAMPLE_CHARS / 2).cast("int"))
     found = drawn.select("lang", F.lower(F.substr("text", middle, F.lit(SAMPLE_CHARS))).alias("part")).collect()
     out: dict[str, bytes] = {}
-    for lang in sorted(counts):
-        words = [r.part.split() for r in found if r.lang == lang]
-        snippets = {" ".join(w[k : k + SNIPPET]) for w in words for k in range(0, len(w), STRIDE)}
-        content = " ".join(sorted(snippets, key=lambda x: zlib.crc32(x.encode()))).encode()
+    for lang in sorted(counts, key=lambda x: (-counts[x], x)):
+        words = [different_words(r.part) for r in found if r.lang == lang]
+        snippets = {b" ".join(w[k : k + SNIPPET]) for w in words for k in range(0, len(w), STRIDE)}
+        content = b" ".join(sorted(snippets, key=zlib.crc32))
         while content and len(content) < 8:
             content += b" " + content
         if content:
@@ -69,8 +77,8 @@ def _compressors(contents: tuple[tuple[str, bytes], ...], level: int) -> list:
 
 def sizes(text: str, compressors: list) -> list[int]:
     """Bytes of the whole text with each dictionary."""
-    text = text.lower()
-    pieces = [text[k : k + PIECE].encode() for k in range(0, len(text), PIECE)]
+    words = b" ".join(different_words(text))
+    pieces = [words[k : k + PIECE] for k in range(0, len(words), PIECE)] or [b""]
     return [sum(len(c.compress(p)) for p in pieces) for c in compressors]
 
 
@@ -88,7 +96,7 @@ def _identified(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[
             order = sorted(range(len(found)), key=found.__getitem__)
             least = found[order[0]]
             margin = (found[order[1]] - least) / least if len(order) > 1 else 1.0
-            sharp = math.sqrt(max(len(text), 1) / ONE_PIECE) * 4 / MARGIN
+            sharp = math.sqrt(max(least, 1) / ONE_PIECE) * 4 / MARGIN
             odds = sum(math.exp(-min(700.0, sharp * (x - least) / least)) for x in found)
             rows.append((names[order[0]], margin, 1 / odds, margin >= MARGIN / 2))
         language, margin, score, accepted = zip(*rows, strict=True) if rows else ((), (), (), ())
@@ -100,10 +108,10 @@ def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
 
     margin is by how much the next language's size is larger, relative to the smallest; score is a probability made of the sizes;
     accepted is false where the margin is under half of MARGIN (a rejection). language is null, and accepted false, for null texts and texts without a
-    letter. Ties go to the language first in order of names. Equal rows are answered one by one; further columns are ignored; an empty table
+    letter. Ties go to the language with more labelled texts. Equal rows are answered one by one; further columns are ignored; an empty table
     gives an empty one. Without a labelled text every language is null.
     """
-    contents = tuple(sorted(dictionaries(labelled).items()))
+    contents = tuple(dictionaries(labelled).items())
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not contents:
         return rows.select("doc_id", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("margin"), F.lit(0.0).alias("score"), F.lit(False).alias("accepted"))

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from methylspark.llm.toxicity import platt
 from methylspark.llm.wordhash import buffers, slices, word_hashes
@@ -26,7 +27,7 @@ LABELLED, POOL = 12_000, 12_000
 ROUNDS, EXCHANGED, SURE = 5, 400, 0.9
 SLOTS = 16
 METADATA = ("source", "lang")
-RESULT = "doc_id bigint, text_score double, meta_score double, score double"
+SCORES = ("text_score", "meta_score", "score")
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[97:123] = 1
@@ -189,12 +190,15 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np
 
 
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches (the first columns of `_rows`) with both views."""
+    n = 2 + len(METADATA)
     for b in batches:
-        data, offsets = buffers(b.column(1))
+        first = b.num_columns - n
+        data, offsets = buffers(b.column(first))
         for lo, hi in slices(offsets):
             part = b.slice(lo, hi - lo)
-            fields = [part.column(k).to_pylist() for k in range(2, 2 + len(METADATA))]
-            chars = part.column(2 + len(METADATA)).fill_null(0).to_numpy(zero_copy_only=False)
+            fields = [part.column(first + 1 + k).to_pylist() for k in range(len(METADATA))]
+            chars = part.column(b.num_columns - 1).fill_null(0).to_numpy(zero_copy_only=False)
             yield part, text_view(data, offsets[lo : hi + 1]), meta_view(fields, chars)
 
 
@@ -207,12 +211,15 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for part, text, meta in _views(batches):
-        yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, model.score(text, meta))], names=["doc_id", "text_score", "meta_score", "score"])
+        kept = part.num_columns - 2 - len(METADATA)
+        yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, model.score(text, meta))], names=[*part.schema.names[:kept], *SCORES])
 
 
-def _rows(docs: DataFrame) -> DataFrame:
+def _rows(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and the columns `carried`, then text, metadata and length."""
     text = F.col("text").cast("string")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), *(F.col(c).cast("string").alias(c) for c in METADATA), F.length(text).cast("bigint").alias("chars"))
+    shown = [F.col("doc_id").cast("bigint").alias("doc_id"), *(F.col(c) for c in carried if c != "doc_id")]
+    return docs.select(*shown, text.alias("_viewed_text"), *(F.col(c).cast("string").alias(f"_viewed_{c}") for c in METADATA), F.length(text).cast("bigint").alias("_viewed_chars"))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -236,14 +243,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     return cotrain(matrix(learned, "text"), matrix(learned, "meta"), learned["quality"].to_numpy(), matrix(others, "text"), matrix(others, "meta"))
 
 
-def assess(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The quality of each document: doc_id, text_score, meta_score, score (each a probability of quality 1).
+def assess(docs: DataFrame, model: Model | None, carried: tuple[str, ...] = ()) -> DataFrame:
+    """The quality of each document: doc_id, the columns `carried`, text_score, meta_score, score (each a probability of quality 1).
 
     Null and empty texts have the features of an empty text, null metadata fields a value of their own. Equal rows are scored one by one; further
     columns are ignored; an empty table gives an empty one. Without a model (no labels of either class) every score is 1.
     """
-    rows = _rows(docs)
+    rows = _rows(docs, carried)
+    shown = rows.schema.fields[: -2 - len(METADATA)]
     if model is None:
-        return rows.select("doc_id", *(F.lit(1.0).alias(c) for c in ("text_score", "meta_score", "score")))
+        return rows.select(*(f.name for f in shown), *(F.lit(1.0).alias(c) for c in SCORES))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(lambda it: _scored(it, sent), RESULT)
+    return rows.mapInArrow(lambda it: _scored(it, sent), StructType([*shown, *(StructField(c, DoubleType()) for c in SCORES)]))

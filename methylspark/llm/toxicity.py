@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from methylspark.llm.wordhash import buffers, mix, slices
 
@@ -278,9 +279,9 @@ def fit(texts: list[str], toxic: list[int]) -> Machine | None:
 def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
     machine = sent.value
     for b in batches:
-        data, offsets = buffers(b.column(1))
+        data, offsets = buffers(b.column(b.num_columns - 1))
         found = [np.zeros(0)] + [machine.score(data, offsets[lo : hi + 1]) for lo, hi in slices(offsets)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(found))], names=["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.concatenate(found))], names=[*b.schema.names[:-1], "score"])
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
@@ -296,14 +297,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
     return fit([r.text for r in rows], [r.toxic for r in rows])
 
 
-def detect(docs: DataFrame, machine: Machine | None) -> DataFrame:
-    """The toxicity of each document: doc_id, score (0 to 1).
+def detect(docs: DataFrame, machine: Machine | None, carried: tuple[str, ...] = ()) -> DataFrame:
+    """The toxicity of each document: doc_id, the columns `carried`, score (0 to 1).
 
     Null texts and those without a letter or digit score as a token far on the clean side. Equal rows are scored one by one; further columns are
     ignored; an empty table gives an empty one. Without a machine (no labels of either class) every score is 0.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    shown = [F.col("doc_id").cast("bigint").alias("doc_id"), *(F.col(c) for c in carried if c != "doc_id")]
     if machine is None:
-        return rows.select("doc_id", F.lit(0.0).alias("score"))
+        return docs.select(*shown, F.lit(0.0).alias("score"))
+    rows = docs.select(*shown, F.col("text").cast("string").alias("_scored_text"))
     sent = docs.sparkSession.sparkContext.broadcast(machine)
-    return rows.mapInArrow(lambda it: _scored(it, sent), "doc_id bigint, score double")
+    return rows.mapInArrow(lambda it: _scored(it, sent), StructType([*rows.schema.fields[:-1], StructField("score", DoubleType())]))

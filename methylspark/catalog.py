@@ -108,9 +108,9 @@ def ref_site_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.reference_sites(tables(spark, sf_dir, "ref_blocks")[0])
 
 
-@query("aligned_bases", sql.query(sql.BASES, "SELECT ordinal, qpos, rpos AS pos, base, next_base, q AS qual, next_q AS next_qual FROM bases"))
+@query("aligned_bases", sql.query(sql.BASES, "SELECT ordinal, qpos, rpos AS pos, base, next_base, q AS qual, coalesce(next_q, -1) AS next_qual FROM bases"))
 def aligned_bases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aligned.bases(tables(spark, sf_dir, "reads")[0], "ordinal").drop("length")
+    return aligned.bases(tables(spark, sf_dir, "reads")[0], "ordinal").drop("length").withColumn("next_qual", F.coalesce("next_qual", F.lit(-1)))
 
 
 OVERLAP_SQL = sql.query(sql.BASES, "SELECT ordinal, qpos, rpos AS pos, base, CAST(CASE WHEN n = 2 THEN CASE WHEN k > 1 THEN 0 WHEN lo = hi THEN least(total, 200) ELSE floor(q * 0.8::DOUBLE) END ELSE q END AS INTEGER) AS qual FROM (SELECT *, count(*) OVER w AS n, row_number() OVER (w ORDER BY q DESC, ordinal) AS k, min(base) OVER w AS lo, max(base) OVER w AS hi, sum(q) OVER w AS total FROM bases WINDOW w AS (PARTITION BY qname, rname, rpos))")
@@ -235,7 +235,7 @@ def stats_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 STATS = tuple(sql.stats("cg" if c == "CG" else "ch", f"stats_{c.lower()}", "true" if c == "CG" else f"context = '{c}'") for c in CONTEXTS)
-_SHOWN = ", ".join(f"{c.lower()}.mean AS {summary.names_of(c)[0]}, {c.lower()}.sites AS {summary.names_of(c)[1]}" for c in CONTEXTS)
+_SHOWN = ", ".join(f"{c.lower()}.mean AS {summary.names_of(c)[0]}, CAST({c.lower()}.sites AS DOUBLE) AS {summary.names_of(c)[1]}" for c in CONTEXTS)
 _KEYS = " UNION ".join(f"SELECT spot_id FROM {t}" for t in ("spot_reads", *(f"stats_{c.lower()}" for c in CONTEXTS)))
 
 
@@ -250,7 +250,8 @@ PER_SPOT_SQL = f"SELECT x AS X_index, y AS Y_index, k.spot_id AS spot, {_SHOWN},
 
 @query("per_spot_summary", sql.query(*BOTH, sql.READS_PER_SPOT, *STATS, PER_SPOT_SQL))
 def per_spot_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.per_spot(manifest(spark, sf_dir), reads_per_spot(spark, sf_dir), stats_of(spark, sf_dir))
+    rows = summary.per_spot(manifest(spark, sf_dir), reads_per_spot(spark, sf_dir), stats_of(spark, sf_dir))
+    return rows.withColumns({c: F.col(c).cast("double") for c in (summary.names_of(c)[1] for c in CONTEXTS)})
 
 
 @query("heatmap_points", sql.query(*CG, STATS[0], "SELECT x, y, mean AS value FROM manifest LEFT JOIN stats_cg USING (spot_id)"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,31 +51,39 @@ def linear_fit(curve: DataFrame) -> DataFrame:
     return slope.crossJoin(r_squared(curve.crossJoin(F.broadcast(slope)), F.col("slope") * F.col("fraction")))
 
 
-def _search(curve: DataFrame, best: DataFrame, low: Column, high: Column, count: int) -> DataFrame:
-    """The least error of a grid of rates, if it is below the best so far; the first of equal ones."""
-    grid = best.select("*", low.alias("low"), ((high - low) / (count - 1)).alias("step"), F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("index"))
-    grid = grid.withColumn("try", F.pow(F.lit(10.0), F.col("low") + F.col("step") * F.col("index")))
-    x = 1 - F.exp(-F.col("try") * F.col("fraction"))
-    placed = grid.crossJoin(F.broadcast(curve.select("fraction", "median"))).withColumn("x", x)
-    tops = placed.groupBy("maximum", "rate", "error", "index", "try").agg(F.sum(F.col("median") * F.col("x")).alias("vx"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.sum(F.col("median") * F.col("median")).alias("vv")).where("xx > 0")
-    tops = tops.withColumn("top", F.greatest(F.lit(0.0), F.col("vx") / F.col("xx")))
-    errors = tops.join(placed.select("index", "x", "median"), "index").groupBy("maximum", "rate", "error", "index", "try", "top").agg(F.sum(F.pow(F.col("median") - F.col("top") * F.col("x"), 2)).alias("new"))
-    least = errors.groupBy("maximum", "rate", "error").agg(F.min_by(F.struct("new", "top", "try"), F.struct("new", "index")).alias("least"))
-    better = F.col("least.new") < F.col("error")
-    return least.select(*(F.when(better, F.col(f"least.{new}")).otherwise(F.col(old)).alias(old) for old, new in (("maximum", "top"), ("rate", "try"), ("error", "new"))))
+def _search(curve: DataFrame, low: float, high: float, count: int) -> tuple[float, float, float]:
+    """Error, maximum and rate of the best point of a grid of rates; the first of equal ones."""
+    step = (high - low) / (count - 1)
+    grid = curve.sparkSession.range(count).select("id", F.pow(F.lit(10.0), F.lit(low) + F.lit(step) * F.col("id")).alias("rate"))
+    x = 1 - F.exp(-F.col("rate") * F.col("fraction"))
+    placed = grid.crossJoin(F.broadcast(curve)).select("id", "rate", "median", x.alias("x"))
+    tops = placed.groupBy("id", "rate").agg(F.sum(F.col("median") * F.col("x")).alias("vx"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.collect_list(F.struct("median", "x")).alias("points")).where("xx > 0")
+    tops = tops.withColumn("maximum", F.greatest(F.lit(0.0), F.col("vx") / F.col("xx")))
+    error = F.aggregate("points", F.lit(0.0), lambda e, p: e + F.pow(p["median"] - F.col("maximum") * p["x"], 2))
+    best = tops.select(error.alias("error"), "id", "maximum", "rate").agg(F.min(F.struct("error", "id", "maximum", "rate")).alias("best")).first().best
+    return (float("inf"), 0.0, 1.0) if best is None else (best.error, best.maximum, best.rate)
+
+
+def held(curve: DataFrame) -> DataFrame:
+    """The curve's few rows, one a fraction, as a table of their own, so that its calls aren't made again at each use."""
+    rows = curve.select("fraction", "median")
+    return curve.sparkSession.createDataFrame(sorted(rows.collect()), rows.schema)
 
 
 def saturation_fit(curve: DataFrame, refinements: int = REFINED[2]) -> DataFrame:
-    """One row: maximum, rate and error of maximum * (1 - exp(-rate * fraction)), by a grid of rates that is refined; the maximum of each has a closed form."""
-    best = curve.sparkSession.range(1).select(F.lit(0.0).alias("maximum"), F.lit(1.0).alias("rate"), F.lit(float("inf")).alias("error"))
-    best = _search(curve, best, F.lit(GRID[0]), F.lit(GRID[1]), GRID[2])
+    """One row: maximum, rate and error of maximum * (1 - exp(-rate * fraction)), by a grid of rates that is refined around the best; the maximum of each has a closed form."""
+    curve = held(curve)
+    best = _search(curve, *GRID)
     for _ in range(refinements):
-        best = _search(curve, best, F.log10("rate") - REFINED[0], F.log10("rate") + REFINED[0], REFINED[1])
-    return best
+        center = math.log10(best[2])
+        best = min(best, _search(curve, center - REFINED[0], center + REFINED[0], REFINED[1]), key=lambda x: x[0])
+    error, maximum, rate = best
+    return curve.sparkSession.range(1).select(F.lit(maximum).alias("maximum"), F.lit(rate).alias("rate"), F.lit(error).alias("error"))
 
 
 def summary(curve: DataFrame, spots: int | DataFrame, predicted_at: float = 2.0, linear_r2: float = 0.99) -> DataFrame:
     """One row: observed median, maximum and prediction, saturation rate in percent, the model chosen, and spots used (a number or one row, n)."""
+    curve = held(curve)
     observed = curve.agg(F.max_by("median", "fraction").alias("observed"))
     rows = linear_fit(curve).crossJoin(saturation_fit(curve)).crossJoin(observed)
     rows = rows.withColumn("n", F.lit(spots)) if isinstance(spots, int) else rows.crossJoin(spots.select("n"))

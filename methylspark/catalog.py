@@ -287,19 +287,19 @@ def barcode_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barcodes.placed(pairs, barcodes.Layout()).join(whitelist, F.col("seq") == F.col("observed2")).select("ordinal", "linker_at", "observed2", "ord")
 
 
-@query("barcode_nearest", sql.query(sql.PLACED, sql.NEAREST, "SELECT DISTINCT p.observed1 AS observed, barcode, distance FROM placed p LEFT JOIN known ON known.observed = p.observed1 WHERE p.observed1 IS NOT NULL"))
+@query("barcode_nearest", sql.query(sql.PLACED, sql.NEAREST, "SELECT DISTINCT p.observed1 AS observed, barcode, coalesce(distance, -1) AS distance FROM placed p LEFT JOIN known ON known.observed = p.observed1 WHERE p.observed1 IS NOT NULL"))
 def barcode_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, whitelist = tables(spark, sf_dir, "pairs", "whitelist")
     seen = barcodes.placed(pairs, barcodes.Layout()).select(F.col("observed1").alias("observed"))
-    return barcodes.nearest(seen, whitelist)
+    return barcodes.nearest(seen, whitelist).withColumn("distance", F.coalesce("distance", F.lit(-1)))
 
 
-@query("extract_rejections", sql.query(sql.PLACED, sql.NEAREST, sql.REJECTED, "SELECT ordinal, barcode1, barcode2, array_to_string(reasons, ',') AS reasons, insert_at + 34 AS insert_start, CASE WHEN len(reasons) = 0 THEN concat('@', barcode1, '+', barcode2, ':', substr(h1, 2)) END AS header FROM judged"))
+@query("extract_rejections", sql.query(sql.PLACED, sql.NEAREST, sql.REJECTED, "SELECT ordinal, barcode1, barcode2, array_to_string(reasons, ',') AS reasons, coalesce(insert_at + 34, -1) AS insert_start, CASE WHEN len(reasons) = 0 THEN concat('@', barcode1, '+', barcode2, ':', substr(h1, 2)) END AS header FROM judged"))
 def extract_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, whitelist = tables(spark, sf_dir, "pairs", "whitelist")
     found = barcodes.rejections(pairs, whitelist, barcodes.Layout())
     header = F.when(F.size("reasons") == 0, dna.annotated_header(F.col("h1"), F.col("barcode1"), F.col("barcode2")))
-    return found.select("ordinal", "barcode1", "barcode2", F.concat_ws(",", "reasons").alias("reasons"), "insert_start", header.alias("header"))
+    return found.select("ordinal", "barcode1", "barcode2", F.concat_ws(",", "reasons").alias("reasons"), F.coalesce("insert_start", F.lit(-1)).alias("insert_start"), header.alias("header"))
 
 
 @query("extract_reject_counts", sql.query(sql.PLACED, sql.NEAREST, sql.REJECTED, "SELECT count(*) AS total_reads, count(*) FILTER (len(reasons) = 0) AS kept_reads, " + ", ".join(f"count(*) FILTER (list_contains(reasons, '{r}')) AS {r}" for r in barcodes.REASONS) + " FROM judged"))
@@ -328,12 +328,12 @@ def insert_conversion_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
 CT_PATTERN = "CAC"
 CT_SQL = """costs AS (SELECT ordinal, i, CASE WHEN substr(seq, i + 1, 1) NOT IN ('C', 'T') OR substr(seq, i + 3, 1) NOT IN ('C', 'T') THEN NULL ELSE CAST(substr(seq, i + 2, 1) <> 'A' AS INTEGER) END AS cost FROM (SELECT ordinal, seq, CAST(unnest(range(0, 23)) AS INTEGER) AS i FROM reads)),
 least AS (SELECT ordinal, min(cost) AS cost FROM costs WHERE cost <= 1 GROUP BY ordinal),
-found AS (SELECT ordinal, CASE WHEN count(*) = 1 THEN min(i) END AS at FROM costs JOIN least USING (ordinal, cost) GROUP BY ordinal)"""
+found AS (SELECT ordinal, CASE WHEN count(*) = 1 THEN min(i) END AS place FROM costs JOIN least USING (ordinal, cost) GROUP BY ordinal)"""
 
 
-@query("ct_pattern_search", sql.query(CT_SQL, "SELECT reads.ordinal, at FROM reads LEFT JOIN found USING (ordinal)"))
+@query("ct_pattern_search", sql.query(CT_SQL, "SELECT reads.ordinal, coalesce(place, -1) AS place FROM reads LEFT JOIN found USING (ordinal)"))
 def ct_pattern_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables(spark, sf_dir, "reads")[0].select("ordinal", dna.c_t_position(F.col("seq"), CT_PATTERN, 1).alias("at"))
+    return tables(spark, sf_dir, "reads")[0].select("ordinal", F.coalesce(dna.c_t_position(F.col("seq"), CT_PATTERN, 1), F.lit(-1)).alias("place"))
 
 
 @query("pool_sort", sql.query("SELECT c_ord, rname, pos, ordinal, row_number() OVER (PARTITION BY rname ORDER BY pos, ordinal) AS place FROM reads JOIN contigs ON contig = rname"))

@@ -88,5 +88,5 @@ def oracle_parts(c: VmrConfig) -> tuple[str, ...]:
         "opened AS (SELECT *, CASE WHEN start <= max(stop) OVER (PARTITION BY rname ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM top)",
         "islands AS (SELECT *, sum(opens) OVER (PARTITION BY rname ORDER BY start) AS island FROM opened)",
         "found AS (SELECT rname, min(start) AS a, max(stop) AS z FROM islands GROUP BY rname, island)",
-        "cells AS (SELECT spot_id, rest.rname, a, z, sum(value) AS methylated_sites, count(*) AS total_sites, sum(residual) AS r FROM rest JOIN found ON found.rname = rest.rname AND pos >= a AND pos < z GROUP BY ALL)",
+        "cells AS (SELECT spot_id, rest.rname, a, z, CAST(sum(value) AS BIGINT) AS methylated_sites, count(*) AS total_sites, sum(residual) AS r FROM rest JOIN found ON found.rname = rest.rname AND pos >= a AND pos < z GROUP BY ALL)",
     )

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -39,19 +40,22 @@ def docs(spark):
 
 def test_encoder_is_the_tokenizer():
     rng = random.Random(1)
-    texts = ODD + ["".join(rng.choice([" ", "  ", "\n", "\t", "a", "the", "é", ".", "'s", "12", "<", " "]) for _ in range(60)) for _ in range(400)]
+    signs = [" ", "  ", "\n", "\t", "a", "the", "The", "é", ".", "'s", "'", "12", "<", "\u00a0", "\u3000", "-", "!!", "###", "\n\n", "\x1c", "ß"]
+    texts = ODD + ["".join(rng.choice(signs) for _ in range(60)) for _ in range(1500)] + ["".join(rng.choice(signs) for _ in range(3)) for _ in range(3000)]
     encode = encoding.Encoder(PATH)
     for _ in range(2):
-        for text, got in zip(texts, encode(texts), strict=True):
-            assert np.frombuffer(got, encode.dtype).tolist() == ids_of(text), text
+        got = [x.tolist() for block in encode.column(pa.array(texts)) for x in block]
+        for text, ids in zip(texts, got, strict=True):
+            assert ids == ids_of(text), text
 
 
 def test_encoder_forgets_nothing(monkeypatch):
     monkeypatch.setattr(encoding, "MEMORY_PIECES", 3)
+    monkeypatch.setattr(encoding, "CHUNK_BYTES", 10)
     encode = encoding.Encoder(PATH)
-    texts = ["a b c d e f g", "h i j", "k b l"]
+    texts = ["a b c d e f g", None, "h i j", "", "k b l", "a"]
     for _ in range(2):
-        assert [np.frombuffer(x, "<u2").tolist() for x in encode(texts)] == [ids_of(t) for t in texts]
+        assert [x.tolist() for block in encode.column(pa.array(texts)) for x in block] == [ids_of(t) for t in texts]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 7, 1023, 1024, 1025, 5000])

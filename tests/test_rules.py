@@ -137,7 +137,7 @@ def test_cutoffs(spark):
     rates = [0.9, 0.8, 0.5, *[0.4] * 24, 0.6, 0.8, 0.9]
     points = spark.createDataFrame([("R2", k + 1, 100, r) for k, r in enumerate(rates)], "read string, cycle int, coverage bigint, methylation_rate double")
     row = mbias.cutoffs(points, mbias.CutoffConfig(run=5)).first()
-    assert (row.axis_start, row.axis_end, row.stable_start, row.stable_end, row.left_trim, row.right_trim) == (1, 30, 3, 28, 2, 2)
+    assert (row.axis_start, row.axis_end, row.stable_start, row.stable_end, row.left_trim, row.right_trim) == (1, 30, 4, 27, 3, 3)
     assert mbias.cutoffs(points.where("cycle < 6"), mbias.CutoffConfig()).count() == 0
 
 

@@ -6,11 +6,13 @@ principle, two signatures that differ in at most DISTANCE values have a chunk in
 value differs. So each signature is filed under every chunk with every one of its values left out, and two such
 signatures meet under a key. No key is capped.
 
-What meets under a key is linked in two passes, without all pairs of a large group. First each set is
-compared with the least id under its key (a star), which already joins most of a group of copies. Then only sets
-of different components are compared, under each key that still has several: there a key's sets go in blocks of
-BLOCK, and pairs of blocks are compared by signature, so a hot key is work for many tasks. A link that is
-skipped joins two documents that are connected anyway. Whatever is within DISTANCE is confirmed on the full sets.
+What meets under a key is linked in two passes, without a row for each pair of a large group. First each set is
+compared with the least id under each of its keys (a star), which already joins most of a group of copies. Two sets that
+meet are then members of one star at least; stars whose members are of several components are looked at again. Their
+members go in blocks of BLOCK, so that a large star is work for many tasks. Pairs of blocks are compared by signature, and
+the members that are within DISTANCE of one of another component are compared in full, again by pairs of blocks; a link for each two
+components that are found to touch is enough. A link that is skipped joins two documents that are connected anyway. Whatever is
+within DISTANCE is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -115,21 +117,60 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks (of one key) that are within DISTANCE and in different components."""
+    """Members of two blocks of a star that are within DISTANCE of a member of another component."""
     for b in batches:
         c = {name: b.column(k) for k, name in enumerate(b.schema.names)}
-        out: set[tuple[int, int]] = set()
+        centers, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r in range(b.num_rows):
             ids, comps = ([np.array(c[n][r].as_py(), np.int64) for n in names] for names in (("ids", "ids2"), ("components", "components2")))
             signs = [unpacked(c[n][r].as_py()) for n in ("signatures", "signatures2")]
+            hit = [np.zeros(len(i), bool) for i in ids]
             for lo in range(0, len(ids[0]), 32):
-                part = slice(lo, lo + 32)
-                x, y = np.nonzero(comps[0][part, None] != comps[1])
-                close = np.count_nonzero(signs[0][part][x] != signs[1][y], axis=1) <= DISTANCE
-                x, y = ids[0][part][x[close]], ids[1][y[close]]
-                out.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True))
-        a, z = zip(*sorted(out), strict=True) if out else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
+                x, y = np.nonzero(comps[0][lo : lo + 32, None] != comps[1])
+                close = np.count_nonzero(signs[0][lo + x] != signs[1][y], axis=1) <= DISTANCE
+                hit[0][lo + x[close]] = True
+                hit[1][y[close]] = True
+            some = np.unique(np.concatenate([i[h] for i, h in zip(ids, hit, strict=True)]))
+            found.append(some)
+            centers.append(np.full(len(some), c["center"][r].as_py(), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(centers)), pa.array(np.concatenate(found))], names=["center", "id"])
+
+
+def _shared(sets: list[np.ndarray], rows: list[np.ndarray], sizes: list[int]) -> np.ndarray:
+    """How many elements each set of the first group has in common with each of the second."""
+    common = np.intersect1d(*sets)
+    places = [np.minimum(np.searchsorted(common, s), max(0, len(common) - 1)) for s in sets]
+    out = np.zeros(sizes, np.float32)
+    if len(common):
+        inside = [common[p] == s for p, s in zip(places, sets, strict=True)]
+        for lo in range(0, len(common), 4096):
+            one = []
+            for p, row, ok, n in zip(places, rows, inside, sizes, strict=True):
+                here = ok & (p >= lo) & (p < lo + 4096)
+                x = np.zeros((n, min(4096, len(common) - lo)), np.float32)
+                x[row[here], p[here] - lo] = 1
+                one.append(x)
+            out += one[0] @ one[1].T
+    return out
+
+
+def _touching(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A link for each two components that members of two blocks link."""
+    for b in batches:
+        c = {name: b.column(k) for k, name in enumerate(b.schema.names)}
+        out = [np.zeros((0, 2), np.int64)]
+        for r in range(b.num_rows):
+            ids, comps = ([np.array(c[n][r].as_py(), np.int64) for n in names] for names in (("ids", "ids2"), ("components", "components2")))
+            lists = [c[n][r].values for n in ("sets", "sets2")]
+            counts = [x.value_lengths().to_numpy() for x in lists]
+            sets = [x.flatten().to_numpy() for x in lists]
+            shared = _shared(sets, [np.repeat(np.arange(len(n)), n) for n in counts], [len(n) for n in counts])
+            x, y = np.nonzero((100 * shared >= percent * (counts[0][:, None] + counts[1] - shared)) & (comps[0][:, None] != comps[1]))
+            pair = np.sort(np.column_stack((comps[0][x], comps[1][y])), axis=1)
+            _, first = np.unique(pair, axis=0, return_index=True)
+            out.append(np.column_stack((ids[0][x[first]], ids[1][y[first]])))
+        links = np.concatenate(out)
+        yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -137,33 +178,33 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         data, offsets = buffers(b.column(1))
         for lo, hi in slices(offsets):
             sets, at = shingles(*word_hashes(data, offsets[lo : hi + 1]), size)
-            raw = [sets[at[k] : at[k + 1]].tobytes() for k in range(hi - lo)]
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(raw, pa.binary())], names=["id", "set"])
+            lists = pa.LargeListArray.from_arrays(pa.array(at), pa.array(sets.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), lists.cast(pa.list_(pa.int64()))], names=["id", "set"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose full sets are alike enough."""
-    for b in batches:
-        keep = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.concatenate((x, y))
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * common >= percent * (len(both) - common))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _sets_of(ids: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(id, set) made again from the texts of these documents alone. They are joined by a shuffle at every size, since the ids grow with the documents."""
+    return written(texts.hint("merge").join(ids.distinct(), "id").select("id", "text").mapInArrow(lambda it: _sets(it, size), "id bigint, set array<bigint>"), "sets")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that are links. Sets are made again from the texts of the documents in question alone."""
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(texts.join(asked, "id").select("id", "text").mapInArrow(lambda it: _sets(it, size), "id bigint, set binary"), "sets")
+    """Those of the pairs (a, b) that are links by their full sets."""
+    sets = _sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))), texts, size)
     full = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    links = written(full.select("a", "b", "x", "y").mapInArrow(lambda it: _linked(it, percent), "a bigint, b bigint"), "links")
+    alike = full.withColumn("common", F.size(F.array_intersect("x", "y"))).where(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common")))
+    links = written(alike.select("a", "b"), "links")
     discard(sets)
     return links
 
 
+def _block_pairs(members: DataFrame, *columns: str) -> DataFrame:
+    """Rows (center, block, columns) as pairs of blocks, each block's columns in lists: <column>s and <column>s2."""
+    lists = [f"{c}s" for c in columns]
+    packed = written(members.groupBy("center", "block").agg(*(F.collect_list(c).alias(n) for c, n in zip(columns, lists, strict=True))), "blocks")
+    other = packed.select("center", F.col("block").alias("block2"), *(F.col(n).alias(f"{n}2") for n in lists))
+    return packed.join(other, "center").where("block <= block2").select("center", *lists, *(f"{n}2" for n in lists))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -180,28 +221,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     groups = written(full.groupBy(*sets).agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")), "groups")
     texts = rows.withColumnRenamed("doc_id", "id")
 
-    def alike(pairs: DataFrame) -> DataFrame:
-        return _confirmed(pairs, texts, size, percent)
-
     keyed = groups.select("id", "signature").mapInArrow(_keys, "key bigint, id bigint")
     least = keyed.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(least, "key"), "shared-keys")
-    starred = shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+    shared = keyed.join(least, "key")
+    starred = written(shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), "starred")
     signs = groups.select("id", "signature")
     stars = starred.join(signs.select(F.col("id").alias("a"), F.col("signature").alias("x")), "a").join(signs.select(F.col("id").alias("b"), F.col("signature").alias("y")), "b").select("a", "b", "x", "y")
-    links = alike(written(stars.mapInArrow(_close, "a bigint, b bigint"), "stars"))
+    links = _confirmed(written(stars.mapInArrow(_close, "a bigint, b bigint"), "stars"), texts, size, percent)
     joined = connected(links)
 
     comps = groups.select("id").join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-    open_ = shared.where("n > 2").select("key", "id").join(comps, "id")
-    mixed = open_.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    placed = open_.join(mixed, "key").join(signs, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    packed = placed.groupBy("key", "block").agg(*(F.collect_list(c).alias(f"{c}s") for c in ("id", "component", "signature")))
-    packed = written(packed, "blocks")
-    other = packed.select("key", *(F.col(c).alias(f"{c}2") for c in packed.columns if c != "key"))
-    met = packed.join(other, "key").where("block <= block2").select("ids", "ids2", "components", "components2", "signatures", "signatures2")
-    rest = written(met.mapInArrow(_near, "a bigint, b bigint").distinct(), "pairs")
-    joined = connected(links.union(alike(rest)))
+    members = written(starred.select(F.col("a").alias("center"), F.col("b").alias("id")).join(comps, "id"), "members")
+    several = members.groupBy("center").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("center", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    placed = written(members.join(several, "center").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks"), "placed")
+    near = _block_pairs(placed.join(signs, "id"), "id", "component", "signature").mapInArrow(_near, "center bigint, id bigint")
+    near = written(near.distinct(), "near")
+    wanted = _sets_of(near.select("id"), texts, size)
+    close = _block_pairs(placed.join(near, ["center", "id"]).join(wanted, "id"), "id", "component", "set")
+    more = written(close.mapInArrow(lambda it: _touching(it, percent), "a bigint, b bigint"), "links")
+    joined = connected(links.union(more))
 
     of_set = groups.select(*sets, "id").join(joined, "id", "left").select(*sets, F.coalesce("component", "id").alias("component_id"))
     hashed = full.join(of_set, sets).select("doc_id", "n_shingles", "component_id")

@@ -190,14 +190,14 @@ def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np
 
 
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Batches (the first columns of `_rows`) with both views."""
-    n = 2 + len(METADATA)
+    """Batches of `_rows` with both views. """
+    n = 1 + len(METADATA)
     for b in batches:
         first = b.num_columns - n
-        data, offsets = buffers(b.column(first))
+        data, offsets = buffers(b.column("text"))
         for lo, hi in slices(offsets):
             part = b.slice(lo, hi - lo)
-            fields = [part.column(first + 1 + k).to_pylist() for k in range(len(METADATA))]
+            fields = [part.column(first + k).to_pylist() for k in range(len(METADATA))]
             chars = part.column(b.num_columns - 1).fill_null(0).to_numpy(zero_copy_only=False)
             yield part, text_view(data, offsets[lo : hi + 1]), meta_view(fields, chars)
 
@@ -208,18 +208,18 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([part.column(0), *rows], names=["doc_id", "text", "meta"])
 
 
-def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast, kept: int) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for part, text, meta in _views(batches):
-        kept = part.num_columns - 2 - len(METADATA)
         yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, model.score(text, meta))], names=[*part.schema.names[:kept], *SCORES])
 
 
 def _rows(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id and the columns `carried`, then text, metadata and length."""
-    text = F.col("text").cast("string")
-    shown = [F.col("doc_id").cast("bigint").alias("doc_id"), *(F.col(c) for c in carried if c != "doc_id")]
-    return docs.select(*shown, text.alias("_viewed_text"), *(F.col(c).cast("string").alias(f"_viewed_{c}") for c in METADATA), F.length(text).cast("bigint").alias("_viewed_chars"))
+    """doc_id, the columns `carried`, text (unless it is one of them), then metadata and length."""
+    names = ["doc_id", *(c for c in carried if c != "doc_id")]
+    kinds = {"doc_id": "bigint", "text": "string"}
+    shown = [F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in [*names, *(["text"] if "text" not in names else [])]]
+    return docs.select(*shown, *(F.col(c).cast("string").alias(f"_viewed_{c}") for c in METADATA), F.length(F.col("text").cast("string")).cast("bigint").alias("_viewed_chars"))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -250,8 +250,9 @@ def assess(docs: DataFrame, model: Model | None, carried: tuple[str, ...] = ())
     columns are ignored; an empty table gives an empty one. Without a model (no labels of either class) every score is 1.
     """
     rows = _rows(docs, carried)
-    shown = rows.schema.fields[: -2 - len(METADATA)]
+    kept = 1 + len([c for c in carried if c != "doc_id"])
+    shown = rows.schema.fields[:kept]
     if model is None:
         return rows.select(*(f.name for f in shown), *(F.lit(1.0).alias(c) for c in SCORES))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(lambda it: _scored(it, sent), StructType([*shown, *(StructField(c, DoubleType()) for c in SCORES)]))
+    return rows.mapInArrow(lambda it: _scored(it, sent, kept), StructType([*shown, *(StructField(c, DoubleType()) for c in SCORES)]))

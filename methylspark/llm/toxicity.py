@@ -29,7 +29,7 @@ ORDER, SPAN, DECAY = 3, 6, 0.75
 WIDTH = 24
 LANDMARKS, ROUNDS, PENALTY = 224, 3, 1.0
 #: Labelled documents of either class that the machine learns from (about; drawn by a hash), and negative tokens.
-TOXIC_DOCS, CLEAN_DOCS, NEGATIVES = 2500, 4000, 12_000
+TOXIC_DOCS, CLEAN_DOCS, NEGATIVES = 1500, 2500, 12_000
 
 _SKIP, _GAP, _EDGE = 0, 1, 2
 #: Letter classes: 0 passed over, 1 ends a token, 2 a token's edges, then digits, letters, and bytes over 127 by their low bits.
@@ -276,12 +276,14 @@ def fit(texts: list[str], toxic: list[int]) -> Machine | None:
     return Machine(*machine, *platt(most, label))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast, text: int, kept: int) -> Iterator[pa.RecordBatch]:
+    """Scores of the column `text` beside the first `kept` columns."""
     machine = sent.value
     for b in batches:
-        data, offsets = buffers(b.column(b.num_columns - 1))
-        found = [np.zeros(0)] + [machine.score(data, offsets[lo : hi + 1]) for lo, hi in slices(offsets)]
-        yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.concatenate(found))], names=[*b.schema.names[:-1], "score"])
+        data, offsets = buffers(b.column(text))
+        for lo, hi in slices(offsets):
+            columns = [c.slice(lo, hi - lo) for c in b.columns[:kept]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(machine.score(data, offsets[lo : hi + 1]))], names=[*b.schema.names[:kept], "score"])
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
@@ -303,9 +305,11 @@ def detect(docs: DataFrame, machine: Machine | None, carried: tuple[str, ...] =
     Null texts and those without a letter or digit score as a token far on the clean side. Equal rows are scored one by one; further columns are
     ignored; an empty table gives an empty one. Without a machine (no labels of either class) every score is 0.
     """
-    shown = [F.col("doc_id").cast("bigint").alias("doc_id"), *(F.col(c) for c in carried if c != "doc_id")]
+    names = ["doc_id", *(c for c in carried if c != "doc_id")]
+    shown = [F.col("doc_id").cast("bigint").alias("doc_id"), *(F.col(c).cast("string").alias(c) if c == "text" else F.col(c) for c in names[1:])]
     if machine is None:
         return docs.select(*shown, F.lit(0.0).alias("score"))
-    rows = docs.select(*shown, F.col("text").cast("string").alias("_scored_text"))
+    rows = docs.select(*shown) if "text" in names else docs.select(*shown, F.col("text").cast("string").alias("_scored_text"))
+    text, kept = names.index("text") if "text" in names else len(names), len(names)
     sent = docs.sparkSession.sparkContext.broadcast(machine)
-    return rows.mapInArrow(lambda it: _scored(it, sent), StructType([*rows.schema.fields[:-1], StructField("score", DoubleType())]))
+    return rows.mapInArrow(lambda it: _scored(it, sent, text, kept), StructType([*rows.schema.fields[:kept], StructField("score", DoubleType())]))

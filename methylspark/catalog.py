@@ -229,9 +229,8 @@ BOTH = (*CG, sql.ch_calls(Assay.TAPS, TRIMS, True, "ch"))
 CONTEXTS = ("CG", "CA", "CC", "CT")
 
 
-def stats_of(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    cg, ch = host_cg(spark, sf_dir), host_ch(spark, sf_dir)
-    return {c: summary.context_stats(cg if c == "CG" else ch.where(F.col("context") == c)) for c in CONTEXTS}
+def stats_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.context_stats(summary.all_contexts(host_cg(spark, sf_dir), host_ch(spark, sf_dir)))
 
 
 STATS = tuple(sql.stats("cg" if c == "CG" else "ch", f"stats_{c.lower()}", "true" if c == "CG" else f"context = '{c}'") for c in CONTEXTS)
@@ -241,8 +240,7 @@ _KEYS = " UNION ".join(f"SELECT spot_id FROM {t}" for t in ("spot_reads", *(f"st
 
 @query("spot_context_stats", sql.query(*BOTH, *STATS, " UNION ALL ".join(f"SELECT '{c}' AS context, * FROM stats_{c.lower()}" for c in CONTEXTS)))
 def spot_context_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = [s.select(F.lit(c).alias("context"), "spot_id", "mean", "sites") for c, s in stats_of(spark, sf_dir).items()]
-    return found[0].union(found[1]).union(found[2]).union(found[3])
+    return stats_of(spark, sf_dir)
 
 
 PER_SPOT_SQL = f"SELECT x AS X_index, y AS Y_index, k.spot_id AS spot, {_SHOWN}, coalesce(reads, 0) AS reads FROM ({_KEYS}) k LEFT JOIN manifest USING (spot_id) LEFT JOIN spot_reads USING (spot_id) " + " ".join(f"LEFT JOIN stats_{c.lower()} {c.lower()} USING (spot_id)" for c in CONTEXTS)
@@ -250,7 +248,7 @@ PER_SPOT_SQL = f"SELECT x AS X_index, y AS Y_index, k.spot_id AS spot, {_SHOWN},
 
 @query("per_spot_summary", sql.query(*BOTH, sql.READS_PER_SPOT, *STATS, PER_SPOT_SQL))
 def per_spot_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = summary.per_spot(manifest(spark, sf_dir), reads_per_spot(spark, sf_dir), stats_of(spark, sf_dir))
+    rows = summary.per_spot(manifest(spark, sf_dir), reads_per_spot(spark, sf_dir), stats_of(spark, sf_dir), CONTEXTS)
     return rows.withColumns({c: F.col(c).cast("double") for c in (summary.names_of(c)[1] for c in CONTEXTS)})
 
 

@@ -33,9 +33,17 @@ def flagstat(records: DataFrame) -> DataFrame:
 
 
 def context_stats(calls: DataFrame) -> DataFrame:
-    """(spot_id, mean, sites) of the two-place percents of called sites. Hundredths are summed as whole numbers, so the mean doesn't depend on their order."""
+    """(spot_id, context where the calls have it, mean, sites) of the two-place percents of called sites. Hundredths are summed as whole numbers, so the mean doesn't depend on their order."""
+    keys = ["spot_id", *(["context"] if "context" in calls.columns else [])]
     hundredths = F.sum(F.bround(F.col("pct") * 100, 0).cast("bigint"))
-    return calls.where(F.col("meth") + F.col("unmeth") > 0).groupBy("spot_id").agg(F.bround(hundredths / 100 / F.count("*"), 6).alias("mean"), F.count("*").alias("sites"))
+    return calls.where(F.col("meth") + F.col("unmeth") > 0).groupBy(*keys).agg(F.bround(hundredths / 100 / F.count("*"), 6).alias("mean"), F.count("*").alias("sites"))
+
+
+def all_contexts(cg: DataFrame | None, ch: DataFrame | None) -> DataFrame:
+    """Calls of both kinds with their context: (spot_id, context, meth, unmeth, pct)."""
+    shown = ["spot_id", "context", "meth", "unmeth", "pct"]
+    parts = [c.select(shown) for c in (cg.withColumn("context", F.lit("CG")) if cg else None, ch) if c is not None]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def names_of(context: str) -> tuple[str, str]:
@@ -43,14 +51,11 @@ def names_of(context: str) -> tuple[str, str]:
     return ("mean_methylation", "cpg_site_count") if context == "CG" else (f"mean_{context}_methylation", f"{context}_site_count")
 
 
-def per_spot(manifest: DataFrame, reads: DataFrame, stats: dict[str, DataFrame]) -> DataFrame:
-    """A row for each spot that has reads or a call: X_index, Y_index, spot, each context's columns, reads."""
-    keys = reduce(DataFrame.union, [reads.select("spot_id"), *(s.select("spot_id") for s in stats.values())]).distinct()
-    rows = keys.join(manifest.select("spot_id", "x", "y"), "spot_id", "left").join(reads, "spot_id", "left")
-    for context, found in stats.items():
-        mean, sites = names_of(context)
-        rows = rows.join(found.select("spot_id", F.col("mean").alias(mean), F.col("sites").alias(sites)), "spot_id", "left")
-    shown = [c for context in stats for c in names_of(context)]
+def per_spot(manifest: DataFrame, reads: DataFrame, stats: DataFrame, contexts: tuple[str, ...]) -> DataFrame:
+    """A row for each spot that has reads or a call: X_index, Y_index, spot, each context's columns, reads. `stats` has a row for each spot and context."""
+    wide = stats.groupBy("spot_id").pivot("context", list(contexts)).agg(F.first("mean").alias("mean"), F.first("sites").alias("sites"))
+    shown = [F.col(f"{c}_{k}").alias(name) for c in contexts for k, name in zip(("mean", "sites"), names_of(c), strict=True)]
+    rows = wide.join(reads, "spot_id", "full").join(manifest.select("spot_id", "x", "y"), "spot_id", "left")
     return rows.select(F.col("x").alias("X_index"), F.col("y").alias("Y_index"), F.col("spot_id").alias("spot"), *shown, F.coalesce("reads", F.lit(0)).alias("reads"))
 
 

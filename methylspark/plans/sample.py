@@ -46,10 +46,10 @@ def sample(records: DataFrame, blocks: DataFrame, whitelist: DataFrame, config:
     placed = calls.with_spot(host, spots)
     cg = calls.call_cg(placed, blocks, config.calls, ("spot_id",))
     ch = calls.call_ch(placed, blocks, config.calls, ("spot_id",)) if len(contexts) > 1 or contexts[0] != "CG" else None
-    stats = {c: summary.context_stats(cg if c == "CG" else ch.where(F.col("context") == c)) for c in contexts}
+    stats = summary.context_stats(summary.all_contexts(cg if "CG" in contexts else None, ch))
     reads = summary.reads_per_spot(records, spots)
     bias = mbias.cycles(host, blocks, config.bias)
-    return Sample(manifest, reads, cg, ch, calls.call_cg(mito, blocks, config.calls), bias, mbias.cutoffs(bias, config.cutoff), summary.per_spot(manifest, reads, stats))
+    return Sample(manifest, reads, cg, ch, calls.call_cg(mito, blocks, config.calls), bias, mbias.cutoffs(bias, config.cutoff), summary.per_spot(manifest, reads, stats, contexts))
 
 
 def saturation_of(found: Sample, config: SampleConfig) -> DataFrame:

@@ -40,6 +40,14 @@ def exact_positions(text: Column, pattern: Column | str, start: Column | int, en
     return F.when(last >= start, at).otherwise(F.array().cast("array<int>"))
 
 
+def unique_position(text: Column, pattern: str, start: Column | int, end: Column | int) -> Column:
+    """Where a pattern stands in text[start:end], if that is one place (0-based in the text); else null."""
+    start, end = (F.lit(x) if isinstance(x, int) else x for x in (start, end))
+    window = F.substr(text, start + 1, F.greatest(end - start, F.lit(0)))
+    first = F.instr(window, pattern)
+    return F.when((first > 0) & (F.instr(F.substr(window, first + 1), pattern) == 0), start + first - 1)
+
+
 def only(found: Column) -> Column:
     """The one element of an array, or null."""
     return F.when(F.size(found) == 1, F.element_at(found, 1))

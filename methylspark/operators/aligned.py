@@ -52,11 +52,9 @@ def overlaps_resolved(aligned: DataFrame, name: str = "qname", contig: str = "rn
 
 
 def depth_capped(aligned: DataFrame, most: int, contig: str = "rname") -> DataFrame:
-    """At most so many bases of each reference position, the first in order of their records' ordinals. Only positions beyond it are ranked."""
-    deep = aligned.groupBy(contig, "pos").agg(F.count("*").alias("depth")).where(F.col("depth") > most).select(contig, "pos")
+    """At most so many bases of each reference position, the first in order of their records' ordinals. Counts by position and more need no further shuffle."""
     rank = F.row_number().over(Window.partitionBy(contig, "pos").orderBy("ordinal", "qpos"))
-    ranked = aligned.join(deep, [contig, "pos"], "left_semi").withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
-    return aligned.join(deep, [contig, "pos"], "left_anti").unionByName(ranked)
+    return aligned.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
 
 
 def reference_sites(blocks: DataFrame) -> DataFrame:

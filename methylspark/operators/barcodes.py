@@ -50,9 +50,9 @@ def nearest(observed: DataFrame, whitelist: DataFrame, column: str = "observed")
 def placed(pairs: DataFrame, layout: Layout, column: str = "s1") -> DataFrame:
     """Pairs with the places of linker and insert-left (exact and unique within their windows) and both observed barcodes."""
     seq = F.upper(F.col(column))
-    linker = dna.only(dna.exact_positions(seq, layout.linker, layout.barcode, F.least(F.length(seq), F.lit(layout.barcode + layout.slack))))
+    linker = dna.unique_position(seq, layout.linker, layout.barcode, F.least(F.length(seq), F.lit(layout.barcode + layout.slack)))
     after = F.col("linker_at") + len(layout.linker)
-    insert = dna.only(dna.exact_positions(seq, layout.insert_left, after + layout.barcode, F.length(seq)))
+    insert = dna.unique_position(seq, layout.insert_left, after + layout.barcode, F.length(seq))
     out = pairs.withColumn("linker_at", linker).withColumn("insert_at", F.when(F.col("linker_at").isNotNull(), insert))
     second = F.when(F.col("linker_at") >= layout.barcode, F.substr(seq, F.col("linker_at") - layout.barcode + 1, F.lit(layout.barcode)))
     first = F.when(after + layout.barcode <= F.length(seq), F.substr(seq, after + 1, F.lit(layout.barcode)))

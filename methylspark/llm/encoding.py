@@ -1,33 +1,58 @@
-"""Token ids of texts by a public tokenizer file, with what stands between spaces encoded once each.
+"""Token ids of text columns by a public tokenizer file, with each piece of text encoded once.
 
-A byte-level BPE splits a text before it merges, and before a space that a non-space follows there is always
-such a split; so is there between a letter and a punctuation mark at a piece's end. So ids of a text are the ids of these pieces,
-one after the other, and a piece that was seen needs no second encoding. Texts that hold an added token's string are
-encoded whole.
+A byte-level BPE splits a text before it merges: before a space that a non-space follows, around a line break between two
+words, and between a letter and a sign. So ids of a text are the ids of the pieces between such places, one after the other. Pieces are
+found and told apart (by 64-bit hashes) for many texts at once; the tokenizer encodes those that are new, and ids are put together by array operations.
+Texts that hold an added token's string are encoded whole.
 """
 
 from __future__ import annotations
 
-import gc
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-from methylspark.llm.wordhash import buffers, slices
+from methylspark.llm.wordhash import buffers, mix, polynomial, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker process remembers. More are encoded again; ids don't depend on it.
-MEMORY_PIECES = 300_000
+MEMORY_PIECES = 1_000_000
 #: Bytes of text that are encoded together.
-CHUNK_BYTES = 12 << 20
-_MARKS = ",.;:!?"
-_ODD = re.compile("[ ][\\s\\u180e\\u200b\\ufeff]")
-_SPLIT = re.compile(" (?=[^\\s\\u180e\\u200b\\ufeff])")
+CHUNK_BYTES = 2 << 20
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: ASCII signs; an apostrophe may belong to the letters after it.
+_SIGN = np.zeros(256, bool)
+_SIGN[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = True
+_PRINT = np.zeros(256, bool)
+_PRINT[33:127] = True
+#: Bytes with which no white space begins (of those beyond ASCII, all first bytes that some have are left out).
+_SOLID = np.ones(256, bool)
+_SOLID[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0x7F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = False
+
+
+def cuts(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where pieces begin. at: the rows' offsets."""
+    n = len(text)
+    cut = np.zeros(n + 1, bool)
+    cut[at] = True
+    last = cut[1:].copy()  # of its row
+    after = np.empty(n, bool)
+    after[:-1] = _SOLID[text[1:]]
+    after[-1:] = False
+    after &= ~last
+    cut[:n] |= (text == 0x20) & after
+    if n > 1:
+        letter, sign = _LETTER[text], _SIGN[text]
+        cut[1:n] |= (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+        line = np.flatnonzero((text[1:] == 0x0A) & _PRINT[text[:-1]] & after[1:] & ~last[:-1]) + 1
+        cut[line] = cut[line + 1] = True
+    return np.flatnonzero(cut[:n])
 
 
 class Encoder:
@@ -35,77 +60,90 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         vocab = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = dict(zip(_MARKS, self.whole(list(_MARKS)), strict=True))
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each with the space before it; those without a further space in one call."""
-        plain = [p for p in pieces if " " not in p]
-        found = {}
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0].ids, self.dtype)
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.names, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.dtype)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encoded(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces. Those that begin with their only space are encoded in one call: their first tokens hold the space."""
+        spaced = [k for k, p in enumerate(pieces) if p[0] == " " and " " not in p[1:] and len(p) > 1]
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        if spaced:
+            ids = self.whole(["".join([pieces[k] for k in spaced])])[0]
             at = np.append(np.flatnonzero(self.opens[ids]), len(ids)).tolist()
-            if len(at) == len(plain) + 1:
-                data, w = ids.tobytes(), self.dtype.itemsize
-                found = {p: data[a * w : z * w] for p, a, z in zip(plain, at, at[1:], strict=False)}
-        if rest := [p for p in pieces if p not in found]:
-            found.update(zip(rest, self.whole([" " + p for p in rest]), strict=True))
-        return found
-
-    def _ids(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces, each with the space before it."""
-        marked = [p for p in pieces if p[-1:] in self.marks and p[-2:-1].isalpha()]
-        bare = list(pieces.difference(marked).union([p[:-1] for p in marked]))
-        ids = dict(zip(bare, map(self.known.get, bare), strict=True))
-        if new := [p for p, x in ids.items() if x is None]:
-            found = self._encoded(new)
-            ids.update(found)
-            if len(self.known) + len(found) <= MEMORY_PIECES:
-                self.known.update(found)
-        ids.update([(p, ids[p[:-1]] + self.marks[p[-1]]) for p in marked])
-        return ids
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian ids (self.dtype) of each text. The many small objects are freed by their counts; searching them for cycles takes long."""
-        gc.disable()
-        try:
-            return self._of(texts)
-        finally:
-            gc.enable()
-
-    def _of(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        added = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
-        for k, ids in zip(added, self.whole([texts[k] for k in added]), strict=True):
-            out[k] = ids
-        heads, parts, places = [], [], []
-        for k, t in enumerate(texts):
-            if out[k] is None:
-                head, *rest = _SPLIT.split(t) if _ODD.search(t) else t.split(" ")
-                if rest and not rest[-1]:  # a space at the end belongs to what stands before it
-                    rest.pop()
-                    head, rest = (head, [*rest[:-1], rest[-1] + " "]) if rest else (head + " ", rest)
-                heads.append(head)
-                parts.append(rest)
-                places.append(k)
-        get = self._ids(set().union(*parts)).__getitem__
-        for k, head, rest in zip(places, self.whole(heads), parts, strict=True):
-            out[k] = head + b"".join(map(get, rest))
+            if len(at) == len(spaced) + 1:
+                for k, a, z in zip(spaced, at, at[1:], strict=False):
+                    out[k] = ids[a:z]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(rest, self.whole([pieces[k] for k in rest]), strict=True):
+            out[k] = x
         return out
 
-    def column(self, column: pa.Array) -> Iterator[list[bytes]]:
+    def _known(self, names: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.full(len(names), -1)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return np.where(self.names[at] == names, at, -1)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all these rows, and each row's range among them."""
+        base = int(offsets[0])
+        text, at = data[base : int(offsets[-1])], offsets - base
+        if not len(text):
+            return np.zeros(0, self.dtype), np.zeros(len(at), np.int64)
+        starts = cuts(text, at)
+        ends = np.append(starts[1:], len(text))
+        total, inverse = polynomial(text)
+        hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        del total, inverse
+        names, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+        place = self._known(names)
+        new = np.flatnonzero(place < 0)
+        raw = text.tobytes()
+        found = self._encoded([raw[a:z].decode() for a, z in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+        size, begin = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        old = np.flatnonzero(place >= 0)
+        size[old], begin[old] = self.size[place[old]], self.begin[place[old]]
+        size[new] = [len(x) for x in found]
+        begin[new] = len(self.ids) + np.cumsum(size[new]) - size[new]
+        arena = np.concatenate([self.ids, *found]) if found else self.ids
+        if len(new) and len(self.names) + len(new) <= MEMORY_PIECES:
+            every = np.concatenate((self.names, names[new]))
+            order = np.argsort(every, kind="stable")
+            self.names, self.ids = every[order], arena
+            self.begin, self.size = (np.concatenate((a, b[new]))[order] for a, b in ((self.begin, begin), (self.size, size)))
+        lengths = size[kind]
+        until = np.cumsum(lengths)
+        out = arena[np.repeat(begin[kind] - (until - lengths), lengths) + np.arange(until[-1])]
+        rows = np.append(0, until)[np.searchsorted(starts, at)]
+        return self._with_added(raw, at, out, rows)
+
+    def _with_added(self, raw: bytes, at: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, with texts that hold an added token's string encoded whole."""
+        odd = set()
+        for token in self.added:
+            k = raw.find(token)
+            while k >= 0:
+                odd.add(int(np.searchsorted(at, k, side="right")) - 1)
+                k = raw.find(token, k + 1)
+        if not odd:
+            return ids, rows
+        parts = [self.whole([raw[at[r] : at[r + 1]].decode()])[0] if r in odd else ids[rows[r] : rows[r + 1]] for r in range(len(at) - 1)]
+        return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+
+    def column(self, column: pa.Array) -> Iterator[list[np.ndarray]]:
         """Ids of a text column's rows, some rows at a time; a null is an empty text."""
-        for lo, hi in slices(buffers(column)[1], CHUNK_BYTES):
-            yield self([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
+        data, offsets = buffers(column)
+        for lo, hi in slices(offsets, CHUNK_BYTES):
+            ids, rows = self.encode(data, offsets[lo : hi + 1])
+            yield np.split(ids, rows[1:-1])
 
 
 @lru_cache(maxsize=4)

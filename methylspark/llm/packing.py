@@ -81,7 +81,7 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id:
         for block in encode.column(b.column(1)):
             done = []
             for ids, doc in zip(block, docs, strict=False):
-                wide = np.append(np.frombuffer(ids, encode.dtype), end_id).astype("<u4")
+                wide = np.append(ids, end_id).astype("<u4")
                 data = wide.tobytes()
                 for start, size in pieces_of(len(wide), capacity):
                     waiting[n_rows] = (doc, start, size, data[4 * start : 4 * (start + size)], len(wide))

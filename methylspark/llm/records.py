@@ -80,7 +80,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
             for found in encode.column(b.column(1)):
                 block = []
                 for ids, doc in zip(found, names, strict=False):
-                    ids += end
+                    ids = ids.tobytes() + end
                     record = frame(struct.pack("<qB", NULL_ID if doc is None else doc, encode.dtype.itemsize) + ids)
                     offsets.append(at)
                     at += len(record)

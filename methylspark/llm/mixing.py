@@ -18,6 +18,7 @@ ROUNDS, ROUNDS_A_PLAN = 12, 3
 #: Targets are shares of tokens to this power, made to sum to 1: 1 keeps the shares as they are, 0 makes all equal.
 SOURCE_POWER, LANG_POWER, TOPIC_POWER, KEPT_SHARE = 0.5, 0.7, 0.7, 0.5
 AXES = ("source", "lang", "topic")
+SIGNS, CAPITALS = "*#%&$@<>{}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hex digits of the md5 that make the uniform number.
 DIGITS = 12
@@ -28,12 +29,12 @@ def topic_of(text: Column) -> Column:
     n = F.greatest(F.length(text), F.lit(1))
 
     def share(letters: str) -> Column:
-        return (n - F.length(F.translate(text, letters, ""))) / n
+        return F.regexp_count(text, F.lit(f"[{letters}]")) / n
 
     return (
         F.when(share("|") > 0.02, "table")
-        .when(share("*#%&$@<>{}") > 0.08, "markup")
-        .when(share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") > 0.3, "shouting")
+        .when(share(SIGNS) > 0.08, "markup")
+        .when(share("A-Z") > 0.3, "shouting")
         .when(F.length(text) < 400, "brief")
         .when(F.length(text) > 12000, "long")
         .otherwise("prose")
@@ -118,7 +119,7 @@ def oracle_sql(powers: dict[str, float] | None = None, share: float = KEPT_SHARE
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t, greatest(length(coalesce(text, '')), 1) AS n FROM documents),
 placed AS (SELECT doc_id, source, lang, CAST(len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens,
-  CASE WHEN {part("|")} > 0.02 THEN 'table' WHEN {part("*#%&$@<>{}")} > 0.08 THEN 'markup' WHEN {part("ABCDEFGHIJKLMNOPQRSTUVWXYZ")} > 0.3 THEN 'shouting'
+  CASE WHEN {part("|")} > 0.02 THEN 'table' WHEN {part(SIGNS)} > 0.08 THEN 'markup' WHEN {part(CAPITALS)} > 0.3 THEN 'shouting'
     WHEN length(t) < 400 THEN 'brief' WHEN length(t) > 12000 THEN 'long' ELSE 'prose' END AS topic FROM texts),
 cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM placed GROUP BY ALL),
 w0 AS (SELECT source, lang, topic, tokens, tokens::DOUBLE / (SELECT sum(tokens) FROM cells) AS weight, {targets} FROM cells),

@@ -185,3 +185,10 @@ def test_queries_on_the_tables(spark, sf_dir):
         assert len(rows) == n and all(hasattr(rows[0], c) for c in columns.split())
         classes, rest = (7, 2) if name.startswith("op1") else (3, 1)
         assert all(r.held_out == held_out(r.doc_id, classes, rest) for r in rows)
+
+
+def test_the_word_three_back_is_a_feature():
+    """Two histories of equal classes that differ in that word alone."""
+    classes, first = np.zeros(4, np.int64), np.zeros(4, np.int64)
+    one, other = (maxent.features(classes, np.array([w, 1, 2, 3]), first, 1 << 16)[3] for w in (5, 6))
+    assert len(one) == 5 and (one != other).sum() == 1

@@ -192,3 +192,43 @@ def test_the_word_three_back_is_a_feature():
     classes, first = np.zeros(4, np.int64), np.zeros(4, np.int64)
     one, other = (maxent.features(classes, np.array([w, 1, 2, 3]), first, 1 << 16)[3] for w in (5, 6))
     assert len(one) == 5 and (one != other).sum() == 1
+
+
+def test_words_of_a_class_follow_their_history(spark, monkeypatch):
+    """Of words of one class the word before tells which comes; within the head, and where the words that follow are outside it."""
+    rng = random.Random(5)
+    pairs = [(f"a{k % 10}", f"b{k}") for k in range(200)]
+    docs = [(k, " ".join(" ".join(rng.choice(pairs)) for _ in range(100)), "en") for k in range(400)]
+    for head in (1 << 17, 12):
+        monkeypatch.setattr(maxent, "HEAD", head)
+        v = maxent.vocabulary(maxent.word_counts(frame(spark, docs).select("text")), head, maxent.CLASSES)
+        place = v.find(maxent.tokens(*buffers(pa.array([" ".join(b for _, b in pairs)])))[0][:-1])
+        of = np.where(place >= 0, v.classes[place] if len(v.words) else 0, maxent.CLASSES - 1)
+        alike = {k: np.flatnonzero(of == c).tolist() for k, c in enumerate(of)}
+        swapped = [next((j for j in alike[k] if j % 10 == (k + 1) % 10), k) for k in range(len(pairs))]
+        asked = [(1000, " ".join(f"{a} {b}" for a, b in pairs), "en"), (1001, " ".join(f"{pairs[k][0]} {pairs[j][1]}" for k, j in enumerate(swapped)), "en")]
+        score = {r.doc_id: r.score / r.n_tokens for r in maxent.score(frame(spark, docs + asked), F.col("doc_id") >= 1000).collect()}
+        assert score[1000] > 0.2 + score[1001]
+
+
+def test_trees_sum_to_one(spark):
+    """All words of the head and outside it, and the unknown one, by the model's own trees with any weights."""
+    docs = [(k, " ".join(f"w{j}" for j in range(k % 50 + 1)) + f" rare{k} odd{k}", "en") for k in range(200)]
+    counts = maxent.word_counts(frame(spark, docs).select("text"))
+    v = maxent.vocabulary(counts, 60, maxent.CLASSES)
+    rows = counts.toArrow()
+    words, c = rows["word"].to_numpy().view(np.uint64), rows["c"].to_numpy()
+    assert len(words) - len(v.words) > 32 and v.outer_levels == 2
+    weights = np.random.default_rng(0).normal(size=(v.rows, maxent.CLASSES)).astype(np.float32)
+    bias = np.log(np.maximum(10.0**v.log_sums, 1e-9)).astype(np.float32)
+    # each word after the same first word, in a text of its own
+    texts = np.column_stack((np.full(len(words), v.words[0]), words)).ravel()
+    place, levels = maxent.decisions(texts, np.arange(0, len(texts) + 1, 2), v, v.rows, bias)
+    p = np.ones(len(texts))
+    for of, active, branch, own in levels:
+        p[of] *= maxent.softmax(weights, active, own)[np.arange(len(of)), branch]
+    away = place < 0
+    share = (1 - 10.0 ** -v.log_sums[-1]) * (np.repeat(c, 2) + 1) / 10.0 ** v.leaf_sums[maxent._leaf(texts, v)]
+    p[away] *= share[away]
+    unknown = maxent.softmax(weights, levels[0][1][1:2], bias[None, :])[0, -1] * 10.0 ** -v.log_sums[-1]
+    assert p[1::2].sum() + unknown == pytest.approx(1, abs=1e-4)

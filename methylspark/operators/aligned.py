@@ -40,15 +40,16 @@ def bases(records: DataFrame, *carried: str) -> DataFrame:
     return places.select(*carried, "length", "qpos", "pos", letter(1).alias("base"), letter(2).alias("next_base"), F.get("qual", F.col("qpos")).alias("qual"), F.get("qual", F.col("qpos") + 1).alias("next_qual"))
 
 
-def overlaps_resolved(aligned: DataFrame, name: str = "qname", contig: str = "rname") -> DataFrame:
+def overlaps_resolved(aligned: DataFrame, name: str = "qname", contig: str = "rname", base: str = "base", by: tuple[str, ...] = ()) -> DataFrame:
     """Aligned bases with what mates both cover counted once: where they agree one keeps the sum of both qualities (at most 200) and the other 0;
-    where they differ the better keeps four fifths of its quality and the other 0. Ties keep the record that comes first."""
-    both = Window.partitionBy(name, contig, "pos")
+    where they differ the better keeps four fifths of its quality and the other 0. Ties keep the record that comes first. `base` is read along the reference.
+    Records without a name (null or *) have no mate; mates are alike in the columns `by`."""
+    both = Window.partitionBy(name, contig, "pos", *by)
     first = F.row_number().over(both.orderBy(F.desc("qual"), "ordinal")) == 1
-    agree = F.min("base").over(both) == F.max("base").over(both)
+    agree = F.min(base).over(both) == F.max(base).over(both)
     total = F.least(F.sum("qual").over(both), F.lit(200))
     kept = F.when(agree, total).otherwise(F.floor(F.col("qual") * 0.8)).cast("int")
-    return aligned.withColumn("qual", F.when(F.count("*").over(both) == 2, F.when(first, kept).otherwise(0)).otherwise(F.col("qual")).cast("int"))
+    return aligned.withColumn("qual", F.when((F.col(name) != "*") & (F.count("*").over(both) == 2), F.when(first, kept).otherwise(0)).otherwise(F.col("qual")).cast("int"))
 
 
 def depth_capped(aligned: DataFrame, most: int, contig: str = "rname") -> DataFrame:
@@ -72,9 +73,9 @@ def reference_sites(blocks: DataFrame) -> DataFrame:
 
 
 def as_sequenced(records: DataFrame, *carried: str) -> DataFrame:
-    """Aligned bases as the machine read them: base and next_base in sequencing direction."""
+    """Aligned bases as the machine read them: base and next_base in sequencing direction, placed_base along the reference."""
     reverse = chemistry.is_reverse(F.col("flag"))
     placed = bases(records.withColumn("fwd", dna.sequenced(F.upper("seq"), reverse)), *carried, "flag", "fwd")
     at = F.when(reverse, F.col("length") - F.col("qpos") - 1).otherwise(F.col("qpos"))
     letter = lambda k: F.nullif(F.substr("fwd", at + k, F.lit(1)), F.lit(""))
-    return placed.withColumns({"base": letter(1), "next_base": letter(2)}).drop("fwd")
+    return placed.withColumns({"placed_base": F.col("base"), "base": letter(1), "next_base": letter(2)}).drop("fwd")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from methylspark.functions import chemistry, formats
 from methylspark.functions.chemistry import Assay
-from methylspark.operators.aligned import as_sequenced, bases, depth_capped, reference_sites
+from methylspark.operators.aligned import as_sequenced, bases, depth_capped, overlaps_resolved, reference_sites
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,17 @@ def unknown_cbs(records: DataFrame, spots: DataFrame) -> DataFrame:
     return records.where("cb is not null").withColumn("cb", F.upper("cb")).join(spots, "cb", "left_anti").groupBy("cb").agg(F.count("*").alias("records"))
 
 
+def _named(records: DataFrame) -> tuple[str, ...]:
+    """The column that tells mates, if these records have one."""
+    return ("qname",) if "qname" in records.columns else ()
+
+
+def _good(placed: DataFrame, config: CallConfig, base: str, by: tuple[str, ...]) -> DataFrame:
+    """Bases of enough quality, after what mates both cover is counted once."""
+    single = overlaps_resolved(placed, base=base, by=by) if "qname" in placed.columns else placed
+    return single.where(F.col("qual") >= config.min_base_quality)
+
+
 def _counted(found: DataFrame, keys: list[str], methylated: Column) -> DataFrame:
     seen = found.withColumn("methylated", methylated).where("methylated is not null")
     counts = seen.groupBy(*keys).agg(F.count_if("methylated").alias("meth"), F.count_if(~F.col("methylated")).alias("unmeth"))
@@ -61,8 +72,8 @@ def _counted(found: DataFrame, keys: list[str], methylated: Column) -> DataFrame
 def call_cg(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = ()) -> DataFrame:
     """CpG counts by `by` (columns of the records), contig and position of the forward C: meth, unmeth, pct."""
     sites = reference_sites(blocks).where("context = 'CG'").select(F.col("contig").alias("rname"), "pos")
-    placed = bases(callable_records(records, config), *by, "ordinal", "flag", "rname").where(F.col("qual") >= config.min_base_quality)
-    placed = placed.join(sites, ["rname", "pos"])
+    placed = bases(callable_records(records, config), *by, *_named(records), "ordinal", "flag", "rname")
+    placed = _good(placed.join(sites, ["rname", "pos"]), config, "base", by)
     cut = [chemistry.trimmed(F.col("flag"), F.col("qpos") + k, F.col("length"), config.trims) for k in (0, 1)]
     kept = depth_capped(placed, config.max_depth).where(F.col("next_base").isNotNull() & ~cut[0] & ~cut[1])
     return _counted(kept, [*by, "rname", "pos"], chemistry.cg_methylated(F.concat("base", "next_base"), config.assay))
@@ -71,8 +82,8 @@ def call_cg(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple
 def call_ch(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = ()) -> DataFrame:
     """CH counts by `by`, contig, position, context and strand. On the plus strand the base sequenced next must be the context's second."""
     sites = reference_sites(blocks).where("context <> 'CG'").select(F.col("contig").alias("rname"), "pos", "context", "strand")
-    placed = as_sequenced(callable_records(records, config), *by, "ordinal", "rname").where(F.col("qual") >= config.min_base_quality)
-    placed = placed.join(sites, ["rname", "pos"])
+    placed = as_sequenced(callable_records(records, config), *by, *_named(records), "ordinal", "rname")
+    placed = _good(placed.join(sites, ["rname", "pos"]), config, "placed_base", by)
     cut = chemistry.trimmed(F.col("flag"), F.col("qpos"), F.col("length"), config.trims)
     follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
     kept = depth_capped(placed, config.max_depth).where(~cut & follows)

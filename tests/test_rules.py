@@ -149,3 +149,19 @@ def test_uniquely_mapped(spark):
 def test_spot_means(spark):
     stats = spark.createDataFrame([("a", 50.0, 1), ("b", 80.0, 3)], "spot_id string, mean double, sites bigint")
     assert tuple(summary.spot_means(stats, "mean", "median").first()) == (72.5, 2.0)
+
+
+def test_calls_count_what_mates_both_cover_once(spark):
+    blocks = spark.createDataFrame([("a", 0, "TTACGTTTTAGTT")], "contig string, block_start int, seq string")
+
+    def called(one, other, q1, q2, call, pos):
+        frame = records(spark, (99, "a", pos, 60, f"{len(one)}M", one, [q1] * len(one), "x", None), (147, "a", pos, 60, f"{len(other)}M", other, [q2] * len(other), "x", None))
+        found = [[(r.meth, r.unmeth) for r in call(f, blocks, calls.CallConfig(), ("cb",)).collect()] for f in (frame.withColumn("qname", F.lit("q")), frame.withColumn("qname", F.lit("*")), frame.drop("qname"))]
+        assert found[1] == found[2]
+        return found[:2]
+
+    assert called("CG", "CG", 40, 35, calls.call_cg, 3) == [[(0, 1)], [(0, 2)]]
+    assert called("CG", "TG", 38, 40, calls.call_cg, 3) == [[(1, 0)], [(1, 1)]]
+    assert called("CG", "TG", 35, 34, calls.call_cg, 3) == [[], [(1, 1)]]
+    # mates agree along the reference, though they were sequenced in opposite directions
+    assert called("AGT", "AGT", 20, 20, calls.call_ch, 9) == [[(0, 1)], []]

@@ -42,13 +42,17 @@ def different_words(text: str) -> list[bytes]:
 
 
 def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
-    """Raw content for each language of (text, lang) rows, the most frequent first: snippets of about SAMPLE_DOCS texts drawn by a hash of the text, whatever the table's size."""
-    rows = labelled.where("lang is not null and text is not null and length(trim(text)) > 0").select("lang", "text")
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    """Raw content for each language of (text, lang) rows, the most frequent first: snippets of about SAMPLE_DOCS different texts drawn by a hash of the text, whatever the table's size and the texts'
+    copies. The text of the least hash is always drawn, so each language has one."""
+    rows = labelled.where("lang is not null and text is not null and length(trim(text)) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
+    # texts are told apart by their hashes, so that none is shuffled
+    seen = rows.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.min("h").alias("least")).collect()
+    counts = {r.lang: r.n for r in seen}
     if not counts:
         return {}
-    steps = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, max(1, n // SAMPLE_DOCS))))
-    drawn = rows.where(F.pmod(F.xxhash64("text"), steps[F.col("lang")]) == 0).dropDuplicates(["lang", "text"])
+    steps = F.create_map(*(F.lit(x) for r in sorted(seen) for x in (r.lang, max(1, r.texts // SAMPLE_DOCS))))
+    least = F.create_map(*(F.lit(x) for r in sorted(seen) for x in (r.lang, r.least)))
+    drawn = rows.where((F.pmod("h", steps[F.col("lang")]) == 0) | (F.col("h") == least[F.col("lang")])).dropDuplicates(["lang", "text"])
     middle = F.greatest(F.lit(1), (F.length("text") / 2 - SAMPLE_CHARS / 2).cast("int"))
     found = drawn.select("lang", F.lower(F.substr("text", middle, F.lit(SAMPLE_CHARS))).alias("part")).collect()
     out: dict[str, bytes] = {}

@@ -232,3 +232,12 @@ def test_trees_sum_to_one(spark):
     p[away] *= share[away]
     unknown = maxent.softmax(weights, levels[0][1][1:2], bias[None, :])[0, -1] * 10.0 ** -v.log_sums[-1]
     assert p[1::2].sum() + unknown == pytest.approx(1, abs=1e-4)
+
+
+def test_copies_do_not_thin_a_language(spark):
+    """3 texts in 1,000 copies each, none of which a step for 3,000 texts would draw."""
+    some = spark.createDataFrame([(f"uno{k} dos{k} tres{k}",) for k in range(40)], "text string").where(F.pmod(F.xxhash64("text"), F.lit(7)) != 0).limit(3)
+    rows = some.crossJoin(spark.range(1000)).select("text", F.lit("es").alias("lang")).union(spark.createDataFrame([("one two three four", "en")], "text string, lang string"))
+    found = langid.dictionaries(rows)
+    assert list(found) == ["es", "en"]
+    assert all(w in found["es"].split() for r in some.collect() for w in [langid.different_words(r.text)[0]])

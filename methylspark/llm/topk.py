@@ -80,12 +80,21 @@ def _scored(batches: Iterator[pa.RecordBatch], asked: tuple, k: int, scale: int)
                     else:
                         for q, w in zip(of, weight, strict=True):
                             scores[q, held] += w * values
-            row, col = best(scores, ids, k + 1)  # one more, for the query itself
+            row, col = best(scores, ids, k + 1)  # one more, for the query itself, which has one row
             other = query_ids[row] != ids[col]
             row, col = row[other], col[other]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (query_ids[row], ids[col], scores[row, col])], names=["query_id", "vec_id", "score"])
 
 
+def single(rows: DataFrame) -> DataFrame:
+    """One row for each vec_id, the first in the order of components. Only ids are counted; vectors move where some id is repeated."""
+    repeated = written(rows.groupBy("vec_id").count().where("count > 1").select("vec_id"), "repeated")
+    if repeated.isEmpty():
+        return rows
+    firsts = rows.join(repeated, "vec_id", "left_semi").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return written(rows.join(repeated, "vec_id", "left_anti").unionByName(firsts), "candidates")
+
+
 def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024) -> DataFrame:
     """The k best other rows for each row whose vec_id is divisible by `every`: query_id, rank (from 1), vec_id, score.
 
@@ -96,7 +105,8 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024)
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
-    asked = written(rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
+    rows = single(rows)
+    asked = written(rows.where(F.col("vec_id") % every == 0), "queries")
     rounds = max(1, -(-asked.count() // ROUND))
     found = None
     for r in range(rounds):

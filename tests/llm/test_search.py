@@ -99,6 +99,13 @@ def test_top_k_by_brute_force(spark, monkeypatch):
     assert few.collect() == [(0, 1, 1, 2)]
 
 
+def test_top_k_with_repeated_ids(spark):
+    """The query's own rows take no places of others, and each other id is found once, by its least vector."""
+    rows = [(0, [1.0, x]) for x in (3.0, 1.0, 2.0, 1.0, 5.0)] + [(k, [0.1 * k, 0.0]) for k in range(1, 7)] + [(6, [0.05, 9.0]), (6, [0.05, 9.0]), (5, [7.0, 7.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").coalesce(1), every=10, k=4, scale=10).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 6, 900), (0, 2, 5, 50), (0, 3, 4, 40), (0, 4, 3, 30)]
+
+
 def same(spark, sf_dir, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings"):

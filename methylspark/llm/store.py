@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is set here only where none is (local tests)."""
+    """The session's checkpoint folder. Where none is set, a local session gets one of its own; on a cluster, whose machines share no local folder, that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()

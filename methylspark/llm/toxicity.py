@@ -1,8 +1,8 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
 Instances are the tokens of labelled sentences. The kernel counts common subsequences of ORDER letters that span at most SPAN
-letters, each occurrence weighing DECAY to the power of its span, so that gaps and inserted letters cost little; it is normalised by the energy of
-each token's windows. Punctuation within a token is passed over and lone letters in a row are one token, as in "i.d.i.o.t" or "i d i o t".
+letters, each occurrence weighing DECAY to the power of its span, so that gaps and inserted letters cost little; it is normalised by each token's
+kernel with itself. Punctuation within a token is passed over and lone letters in a row are one token, as in "i.d.i.o.t" or "i d i o t".
 With landmarks L, a token's Nyström features are K(L, L)^(-1/2) K(L, token), on which a linear machine with squared hinge loss is
 trained by Newton steps. Labels are of documents: a clean document's tokens are all negative, a toxic document's worst
 token is positive, chosen anew in ROUNDS rounds. The machine is a sum over landmarks of subsequence weights, so scoring is one table lookup for each
@@ -11,17 +11,17 @@ subsequence. A document scores as its worst token, made a probability by Platt's
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from methylspark.llm.store import discard, written
 from methylspark.llm.wordhash import buffers, mix, slices
 
 ORDER, SPAN, DECAY = 3, 6, 0.75
@@ -29,7 +29,7 @@ ORDER, SPAN, DECAY = 3, 6, 0.75
 WIDTH = 24
 LANDMARKS, ROUNDS, PENALTY = 224, 3, 1.0
 #: Labelled documents of either class that the machine learns from (about; drawn by a hash), and negative tokens.
-TOXIC_DOCS, CLEAN_DOCS, NEGATIVES = 1500, 2500, 12_000
+TOXIC_DOCS, CLEAN_DOCS, NEGATIVES = 2500, 4000, 12_000
 
 _SKIP, _GAP, _EDGE = 0, 1, 2
 #: Letter classes: 0 passed over, 1 ends a token, 2 a token's edges, then digits, letters, and bytes over 127 by their low bits.
@@ -116,10 +116,26 @@ def subsequences(rows: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
 
 
 def energy(rows: np.ndarray) -> np.ndarray:
-    """The root of the sum of squared weights of a token's subsequences, which depends on its length alone."""
+    """The root of each token's kernel with itself: of the sum over its distinct subsequences of their squared weights. Without a letter
+    that comes twice no subsequence does, and the length tells it."""
     size = np.count_nonzero(rows, axis=1)
     table = np.array([np.sqrt(sum(max(0, n - a - b) * DECAY ** (2 * (a + b + 1)) for a, b in _STEPS)) for n in range(rows.shape[1] + 1)])
-    return np.maximum(table[size], DECAY**3)
+    out = table[size]
+    letters = np.sort(rows, axis=1)
+    again = np.flatnonzero(((letters[:, 1:] == letters[:, :-1]) & (letters[:, 1:] > _EDGE)).any(axis=1))
+    short = size[again] <= 11
+    for part, width in ((again[short], 11), (again[~short], rows.shape[1])):
+        for lo in range(0, len(part), 8192):
+            x = rows[part[lo : lo + 8192], :width]
+            # a key and, in its low bits, its span
+            keys = np.sort(np.concatenate([np.where(k == 0, 0, k << 3 | round(np.log(w) / np.log(DECAY))) for k, w in subsequences(x)], axis=1), axis=1)
+            weight = np.where(keys == 0, 0.0, DECAY ** (keys & 7))
+            new = np.ones(keys.shape, bool)
+            new[:, 1:] = keys[:, 1:] >> 3 != keys[:, :-1] >> 3
+            begin = np.flatnonzero(new)
+            square = np.add.reduceat(weight.ravel(), begin) ** 2
+            out[part[lo : lo + 8192]] = np.sqrt(np.bincount(begin // keys.shape[1], square, len(x)))
+    return np.maximum(out, DECAY**3)
 
 
 def decision(rows: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -211,69 +227,108 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.shift, -30, 30)))
 
 
-def fit(texts: list[str], toxic: list[int]) -> Machine | None:
-    """A machine from whole labelled texts; None where a class has none."""
-    label = np.array(toxic, np.int64)
-    if not len(label) or label.min() == label.max():
+def _machine(positive: np.ndarray, times: np.ndarray, negative: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
+    """Table and bias of a machine from positive windows, how often each was chosen, and negative windows."""
+    top = np.argsort(-times, kind="stable")[: LANDMARKS * 3 // 4]
+    landmarks = np.concatenate((positive[top], negative[rng.choice(len(negative), min(len(negative), LANDMARKS - len(top)), replace=False)]))
+    near = gram(landmarks, landmarks).astype(np.float64)
+    scale, basis = np.linalg.eigh((near + near.T) / 2)
+    root = (basis / np.sqrt(np.maximum(scale, 1e-3))) @ basis.T
+    y = np.append(np.ones(len(positive)), -np.ones(len(negative)))
+    weight = np.append(np.minimum(times, 20), np.ones(len(negative)))
+    weight[y > 0] *= 0.25 * max(1, len(negative)) / weight[y > 0].sum()
+    w, bias = squared_hinge(gram(np.concatenate((positive, negative)), landmarks) @ root, y, weight, PENALTY)
+    beta = (root @ w) / energy(landmarks)
+    table = np.zeros(1 << 18, np.float32)
+    for keys, factor in subsequences(landmarks):
+        np.add.at(table, keys, (factor * beta[:, None]).astype(np.float32))
+    key = np.arange(1 << 18)
+    table[(key < 1 << 12) | (key & 63 == 0) | ((key >> 6) & 63 == 0)] = 0
+    return table, bias
+
+
+def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, toxic, window): each text's distinct windows. Columns: toxic, text."""
+    part, row = TaskContext.get().partitionId() << 33, 0
+    for b in batches:
+        data, offsets = buffers(b.column(1))
+        toxic = b.column(0).to_numpy(zero_copy_only=False)
+        for lo, hi in slices(offsets):
+            found, text = windows(data, offsets[lo : hi + 1])
+            pair = np.unique(np.column_stack((text, distinct(found)[1])), axis=0, return_index=True)[1] if len(found) else np.zeros(0, np.int64)
+            text = text[pair]
+            body = pa.py_buffer(np.ascontiguousarray(found[pair]).tobytes())
+            shape = pa.py_buffer((np.arange(len(pair) + 1) * (WIDTH + 2)).astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(part + row + text), pa.array(toxic[lo + text].astype(np.int32)), pa.Array.from_buffers(pa.binary(), len(pair), [None, shape, body])], names=["row", "toxic", "window"])
+            row += hi - lo
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH + 2)
+
+
+def _valued(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
+    """The machine's value of the last column's windows, beside all columns."""
+    table, bias = sent.value
+    for b in batches:
+        if b.num_rows:
+            kinds, inverse = distinct(_unpacked(b.column(b.num_columns - 1)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array((decision(kinds, table) + bias)[inverse])], names=[*b.schema.names, "value"])
+
+
+def _with_value(rows: DataFrame, machine: tuple[np.ndarray, float] | None, odds: Column) -> DataFrame:
+    """Rows whose last column is a window, with its value: by the machine, or by `odds` while there is none."""
+    if machine is None:
+        return rows.withColumn("value", odds)
+    sent = rows.sparkSession.sparkContext.broadcast(machine)
+    return rows.mapInArrow(lambda it: _valued(it, sent), StructType([*rows.schema.fields, StructField("value", DoubleType())]))
+
+
+def fit(texts: DataFrame) -> Machine | None:
+    """A machine from whole labelled texts (toxic 0 or 1, text); None where a class has none.
+
+    Texts become their distinct windows in tasks, and windows are counted, valued and chosen there; to the driver come one window for
+    each toxic text, at most NEGATIVES others, and one number a text.
+    """
+    found = written(texts.select(F.col("toxic").cast("int"), "text").where("toxic in (0, 1)").mapInArrow(_windowed, "row bigint, toxic int, window binary"), "windows")
+    number = {r.toxic: r.n for r in found.groupBy("toxic").agg(F.count_distinct("row").alias("n")).collect()}
+    n1, n0 = number.get(1, 0), number.get(0, 0)
+    if not n1 or not n0:
+        discard(found)
         return None
-    rows, text = [], []
-    data, offsets = buffers(pa.array(texts, pa.large_string()))
-    for lo, hi in slices(offsets):
-        r, t = windows(data, offsets[lo : hi + 1])
-        pair = np.unique(np.column_stack((t + lo, distinct(r)[1])), axis=0, return_index=True)[1] if len(r) else np.zeros(0, np.int64)
-        rows.append(r[pair])
-        text.append(t[pair] + lo)
-    kinds, inverse = distinct(np.concatenate(rows))
-    text = np.concatenate(text)
-    order = np.argsort(text, kind="stable")
-    text, inverse = text[order], inverse[order]
-    n1, n0 = label.sum(), len(label) - label.sum()
-    df1 = np.bincount(inverse[label[text] == 1], minlength=len(kinds))
-    df0 = np.bincount(inverse[label[text] == 0], minlength=len(kinds))
-    # how much likelier a token is in toxic documents, at the lower end of what its few counts allow
-    odds = np.log((df1 + 0.5) / (n1 + 1)) - np.log((df0 + 0.5) / (n0 + 1)) - np.sqrt(1 / (df1 + 0.5) + 1 / (df0 + 0.5))
-    begin = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-    stop = np.append(begin[1:], len(text))
-    bad = [(a, z) for a, z, t in zip(begin, stop, text[begin], strict=True) if label[t] == 1]
+    kinds = written(found.groupBy("window").agg(F.count_if(F.col("toxic") == 1).alias("df1"), F.count_if(F.col("toxic") == 0).alias("df0")).select("df1", "df0", "window"), "kinds")
+    bad = written(found.where("toxic = 1").join(kinds, "window").select("row", "df1", "df0", "window"), "bad")
+    clean = kinds.where("df0 > 0")
+    # how much likelier a window is in toxic texts, at the lower end of what its few counts allow
+    a, c = F.col("df1") + 0.5, F.col("df0") + 0.5
+    odds = F.log(a / (n1 + 1)) - F.log(c / (n0 + 1)) - F.sqrt(1 / a + 1 / c)
 
-    def worst(value: np.ndarray) -> np.ndarray:
-        return np.array([inverse[a + np.argmax(value[inverse[a:z]])] for a, z in bad])
+    def picked(rows: DataFrame, *order: Column, n: int) -> list[bytes]:
+        return [bytes(r.window) for r in rows.orderBy(*order, "window").limit(n).select("window").collect()]
 
+    usual = [*picked(clean, F.desc("df0"), n=NEGATIVES // 4), *picked(clean, F.xxhash64("window"), n=NEGATIVES // 2)]
     rng = np.random.default_rng(0)
-    value, machine = odds, None
-    clean = np.flatnonzero(df0)
+    machine = None
     for _ in range(ROUNDS):
-        chosen = Counter(worst(value).tolist())
-        positive = np.array([k for k in chosen if value[k] > (0 if value is odds else -0.5)] or list(chosen))
-        times = np.array([chosen[k] for k in positive], float)
-        positive, times = positive[df0[positive] * n1 < df1[positive] * n0], times[df0[positive] * n1 < df1[positive] * n0]
-        if not len(positive):
-            return None
-        hard = clean[np.argsort(-value[clean])[: NEGATIVES // 4]]
-        usual = clean[np.argsort(-df0[clean])[: NEGATIVES // 4]]
-        negative = np.unique(np.concatenate((hard, usual, rng.choice(clean, min(len(clean), NEGATIVES // 2), replace=False))))
-        negative = negative[~np.isin(negative, positive)]
-        top = positive[np.argsort(-times)[: LANDMARKS * 3 // 4]]
-        landmarks = kinds[np.concatenate((top, rng.choice(negative, min(len(negative), LANDMARKS - len(top)), replace=False)))]
-        near = gram(landmarks, landmarks).astype(np.float64)
-        scale, basis = np.linalg.eigh((near + near.T) / 2)
-        root = (basis / np.sqrt(np.maximum(scale, 1e-3))) @ basis.T
-        used = np.concatenate((positive, negative))
-        y = np.where(np.arange(len(used)) < len(positive), 1.0, -1.0)
-        weight = np.concatenate((np.minimum(times, 20), np.ones(len(negative))))
-        weight[y > 0] *= 0.25 * len(negative) / weight[y > 0].sum()
-        w, bias = squared_hinge(gram(kinds[used], landmarks) @ root, y, weight, PENALTY)
-        beta = (root @ w) / energy(landmarks)
-        table = np.zeros(1 << 18, np.float32)
-        for keys, factor in subsequences(landmarks):
-            np.add.at(table, keys, (factor * beta[:, None]).astype(np.float32))
-        key = np.arange(1 << 18)
-        table[(key < 1 << 12) | (key & 63 == 0) | ((key >> 6) & 63 == 0)] = 0
-        value = decision(kinds, table) + bias
-        machine = (table, bias)
-    most = np.full(len(label), -1.0)
-    most[text[begin]] = np.maximum.reduceat(value[inverse], begin)
-    return Machine(*machine, *platt(most, label))
+        worst = _with_value(bad, machine, odds).groupBy("row").agg(F.max(F.struct("value", "window", "df1", "df0")).alias("w"))
+        chosen = worst.groupBy("w").agg(F.count("*").alias("times")).select("w.*", "times").orderBy("window").collect()
+        chosen = [r for r in chosen if r.value > (0 if machine is None else -0.5)] or chosen
+        chosen = [r for r in chosen if r.df0 * n1 < r.df1 * n0]
+        hard = picked(_with_value(clean, machine, odds), F.desc("value"), n=NEGATIVES // 4)
+        positive = [bytes(r.window) for r in chosen]
+        negative = sorted({*usual, *hard}.difference(positive))
+        if not positive or not negative:
+            machine = None
+            break
+        rows = [np.frombuffer(b"".join(x), np.uint8).reshape(-1, WIDTH + 2) for x in (positive, negative)]
+        machine = _machine(rows[0], np.array([r.times for r in chosen], float), rows[1], rng)
+    out = None
+    if machine is not None:
+        most = _with_value(found, machine, odds).groupBy("row").agg(F.max("toxic").alias("toxic"), F.max("value").alias("value")).orderBy("row").toArrow()
+        out = Machine(*machine, *platt(most["value"].to_numpy(), most["toxic"].to_numpy()))
+    for table in (found, kinds, bad):
+        discard(table)
+    return out
 
 
 def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast, text: int, kept: int) -> Iterator[pa.RecordBatch]:
@@ -294,9 +349,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("toxic")] * 1_000_000).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     # at most the sample's size is sent
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text))
-    return fit([r.text for r in rows], [r.toxic for r in rows])
+    return fit(texts.join(F.broadcast(drawn), "doc_id").select("toxic", "text"))
 
 
 def detect(docs: DataFrame, machine: Machine | None, carried: tuple[str, ...] = ()) -> DataFrame:

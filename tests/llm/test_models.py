@@ -118,14 +118,15 @@ def labelled(rng, n):
 
 def test_toxicity_on_held_out_documents(spark):
     docs = labelled(random.Random(4), 400)
-    machine = toxicity.fit([t for _, t, _ in docs[:300]], [x for *_, x in docs[:300]])
+    machine = toxicity.fit(spark.createDataFrame([(x, t) for _, t, x in docs[:300]], "toxic int, text string"))
     odd = [(900, None, ""), (901, "", ""), (902, "!!! ...", ""), (None, "an idiot", ""), (903, "x" * 10000 + " idiot", "")]
     rows = toxicity.detect(frame(spark, [(d, t, "en") for d, t, _ in docs[300:]] + odd), machine, ("lang", "row")).collect()
     got = {r.doc_id: r.score for r in rows}
     assert all((got[d] >= 0.7) == bool(x) for d, _, x in docs[300:])
     assert max(got[900], got[901], got[902]) < 0.3 and min(got[None], got[903]) >= 0.7
     assert {r.lang for r in rows if r.doc_id == 300} == {"en"}
-    for text in ("what an i.d.i.o.t you are", "what an i d i o t", "MO*RON", "w-o-r-t-h-l-e-s-s"):
+    inserted = [w[:k] + x + w[k:] for w in ("idiot", "worthless") for k in range(1, len(w)) for x in "xqz"]
+    for text in ("what an i.d.i.o.t you are", "what an i d i o t", "MO*RON", "w-o-r-t-h-l-e-s-s", *inserted):
         assert machine.score(*buffers(pa.array([text])))[0] >= 0.7, text
 
 
@@ -153,6 +154,7 @@ def test_kernel_is_the_sum_over_subsequences():
 
     found = [triples(r) for r in rows]
     energy = toxicity.energy(rows)
+    assert np.allclose(energy, [max(sum(x**2 for x in f.values()) ** 0.5, toxicity.DECAY**3) for f in found])
     want = [[sum(a[t] * b[t] for t in a) / ea / eb for b, eb in zip(found, energy, strict=True)] for a, ea in zip(found, energy, strict=True)]
     assert np.allclose(toxicity.gram(rows, rows), want, rtol=1e-4)
 

@@ -10,7 +10,6 @@ smallest and the next is narrow, the operator rejects its own answer.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,9 +18,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from methylspark.llm.store import discard, written
+
 PIECE, LEVEL = 4096, 6
-#: Of each language: labelled documents that are drawn from (about), characters taken from each, and bytes of its dictionary.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 1500, 110_000
+#: Of each language: labelled documents that are drawn from (about), and bytes of its dictionary.
+SAMPLE_DOCS, DICTIONARY_BYTES = 400, 110_000
 #: Words of a dictionary's snippet, and from one snippet's beginning to the next.
 SNIPPET, STRIDE = 3, 7
 #: Relative margin at which an answer is as likely right as not, for ONE_PIECE bytes of words.
@@ -41,9 +42,18 @@ def different_words(text: str) -> list[bytes]:
     return list(dict.fromkeys(text.lower().encode().translate(None, _SIGNS).split()))
 
 
+def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, snippet): each text's different words, SNIPPET together, a snippet every STRIDE."""
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            words = different_words(text)
+            found = list(dict.fromkeys(b" ".join(words[k : k + SNIPPET]) for k in range(0, len(words), STRIDE)))
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.binary())], names=["lang", "snippet"])
+
+
 def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
-    """Raw content for each language of (text, lang) rows, the most frequent first: snippets of about SAMPLE_DOCS different texts drawn by a hash of the text, whatever the table's size and the texts'
-    copies. The text of the least hash is always drawn, so each language has one."""
+    """Raw content for each language of (text, lang) rows, the most frequent first: snippets of about SAMPLE_DOCS different whole texts drawn by a hash of the text, whatever the table's size and the texts'
+    copies. The text of the least hash is always drawn, so each language has one. Of more snippets than DICTIONARY_BYTES hold, those of the highest checksums are taken, from all texts alike."""
     rows = labelled.where("lang is not null and text is not null and length(trim(text)) > 0").select("lang", "text", F.xxhash64("text").alias("h"))
     # texts are told apart by their hashes, so that none is shuffled
     seen = rows.groupBy("lang", "h").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.min("h").alias("least")).collect()
@@ -52,14 +62,19 @@ def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
         return {}
     steps = F.create_map(*(F.lit(x) for r in sorted(seen) for x in (r.lang, max(1, r.texts // SAMPLE_DOCS))))
     least = F.create_map(*(F.lit(x) for r in sorted(seen) for x in (r.lang, r.least)))
-    drawn = rows.where((F.pmod("h", steps[F.col("lang")]) == 0) | (F.col("h") == least[F.col("lang")])).dropDuplicates(["lang", "text"])
-    middle = F.greatest(F.lit(1), (F.length("text") / 2 - SAMPLE_CHARS / 2).cast("int"))
-    found = drawn.select("lang", F.lower(F.substr("text", middle, F.lit(SAMPLE_CHARS))).alias("part")).collect()
+    drawn = rows.where((F.pmod("h", steps[F.col("lang")]) == 0) | (F.col("h") == least[F.col("lang")])).select("lang", "text")
+    snippets = written(drawn.mapInArrow(_snippets, "lang string, snippet binary").distinct().withColumn("crc", F.crc32("snippet")), "snippets")
+    size = {r.lang: r.n for r in snippets.groupBy("lang").agg(F.sum(F.octet_length("snippet") + 1).alias("n")).collect()}
+    if not size:
+        discard(snippets)
+        return {}
+    # the highest checksums that hold twice what a dictionary takes, so that no more than this comes to the driver
+    limits = F.create_map(*(F.lit(x) for lang, n in sorted(size.items()) for x in (lang, int((1 - min(1.0, 2 * DICTIONARY_BYTES / n)) * 2**32))))
+    found = snippets.where(F.col("crc") >= limits[F.col("lang")]).orderBy("lang", "crc", "snippet").collect()
+    discard(snippets)
     out: dict[str, bytes] = {}
-    for lang in sorted(counts, key=lambda x: (-counts[x], x)):
-        words = [different_words(r.part) for r in found if r.lang == lang]
-        snippets = {b" ".join(w[k : k + SNIPPET]) for w in words for k in range(0, len(w), STRIDE)}
-        content = b" ".join(sorted(snippets, key=zlib.crc32))
+    for lang in sorted(size, key=lambda x: (-counts[x], x)):
+        content = b" ".join(bytes(r.snippet) for r in found if r.lang == lang)
         while content and len(content) < 8:
             content += b" " + content
         if content:

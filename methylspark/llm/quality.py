@@ -1,14 +1,17 @@
 """A document quality classifier by co-training.
 
-Two views of a document are classified apart: its text content (shares of kinds of letters, of repeated words and lines, and the worst of its
+Two views of a document are classified apart: its text content (hashed words and pairs of words, shares of kinds of letters, of repeated words and lines, and the worst of its
 lines) and its page metadata (source, language, length). Over ROUNDS rounds each view's logistic regression labels the
-documents it is surest of in an unlabelled pool, in the classes' proportion, and hands them to the other view. Afterwards each view is
+documents it is surest of among all that aren't in the labelled sample, in the classes' proportion, and hands them to the other view. Afterwards each view is
 calibrated on labelled documents that trained neither, and the calibrated views are combined there. All documents are scored by both.
+
+Features of all documents are made once and written. A round counts the pool's documents by how sure a view is of them, which gives the level from which
+the surest are taken, then takes these: both are passes of tasks over the pool, and only the documents handed over come to the driver.
 """
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +22,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from methylspark.llm.store import discard, written
 from methylspark.llm.toxicity import platt
-from methylspark.llm.wordhash import buffers, slices, word_hashes
-
-#: Labelled and unlabelled documents that are learned from (about; drawn by a hash of doc_id).
-LABELLED, POOL = 12_000, 12_000
-ROUNDS, EXCHANGED, SURE = 5, 400, 0.9
-SLOTS = 16
+from methylspark.llm.wordhash import buffers, mix, slices, word_hashes
+
+#: Labelled documents that are learned from (about; drawn by a hash of doc_id).
+LABELLED = 12_000
+#: Rounds; documents that a view hands over in each (about), and how sure it is of them at least. Levels of sureness to a unit of the logit.
+ROUNDS, EXCHANGED, SURE, LEVELS = 5, 400, 0.9, 64
+#: Slots of hashed words and pairs of words.
+SLOTS = 512
+#: A metadata value has a feature of its own where the labelled sample has it so often; others share one. Values of a field, at most.
+SEEN, VALUES = 5, 512
+#: Rows that are looked at together.
+ROWS = 1024
 METADATA = ("source", "lang")
 SCORES = ("text_score", "meta_score", "score")
 
@@ -92,17 +102,54 @@ def text_view(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def meta_view(fields: list[list[str | None]], chars: np.ndarray) -> np.ndarray:
-    """Metadata features: each field's value in one of SLOTS slots by its hash, and the length by its logarithm."""
-    out = np.zeros((len(chars), SLOTS * len(fields) + 2))
-    for k, values in enumerate(fields):
-        slot = [zlib.crc32(f"{k}:{v}".encode()) % SLOTS for v in values]
-        out[np.arange(len(values)), np.array(slot, np.int64) + SLOTS * k] = 1
-    size = np.log1p(np.maximum(chars, 0)) / 10
-    out[:, -2], out[:, -1] = size, size**2
+def ngram_view(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often words and pairs of words of each text fall in each of SLOTS slots, at most 255."""
+    words, of = word_hashes(data, offsets)
+    rows = len(offsets) - 1
+    doc = np.repeat(np.arange(rows), np.diff(of))
+    pair = doc[1:] == doc[:-1]
+    pairs = mix(words[:-1][pair] * np.uint64(3) + words[1:][pair])
+    shift = np.uint64(64 - (SLOTS.bit_length() - 1))
+    slot = np.concatenate((mix(words) >> shift, pairs >> shift)).astype(np.int64)
+    counts = np.bincount(np.concatenate((doc, doc[1:][pair])) * SLOTS + slot, minlength=rows * SLOTS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(rows, SLOTS)
+
+
+def packed(shares: np.ndarray, ngrams: np.ndarray) -> list[bytes]:
+    """Each row's content features as bytes."""
+    return [a.tobytes() + b.tobytes() for a, b in zip(shares.astype("<f4"), ngrams, strict=True)]
+
+
+def content(rows: list[bytes]) -> np.ndarray:
+    """Content features from bytes: shares as they are, slots by the logarithm of their counts, made to length 1."""
+    if not rows:
+        return np.zeros((0, 1))
+    flat = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    slots = np.log1p(flat[:, -SLOTS:].astype(np.float32))
+    slots /= np.maximum(np.sqrt((slots**2).sum(axis=1, keepdims=True)), 1e-6)
+    return np.column_stack((np.ascontiguousarray(flat[:, :-SLOTS]).view("<f4"), slots))
+
+
+def vocabulary(fields: list[list[str | None]]) -> list[dict[str | None, int]]:
+    """The number of each value that has a feature of its own, by field; 0 is for all others."""
+    out = []
+    for values in fields:
+        often = [v for v, n in sorted(Counter(values).items(), key=lambda x: (-x[1], x[0] or "")) if n >= SEEN][:VALUES]
+        out.append({v: k + 1 for k, v in enumerate(often)})
     return out
 
 
+def meta_view(fields: list[list[str | None]], chars: np.ndarray, known: list[dict[str | None, int]]) -> np.ndarray:
+    """Metadata features: each field's value, and the length by its logarithm."""
+    parts = []
+    for values, number in zip(fields, known, strict=True):
+        one = np.zeros((len(chars), len(number) + 1))
+        one[np.arange(len(chars)), [number.get(v, 0) for v in values]] = 1
+        parts.append(one)
+    size = np.log1p(np.maximum(chars, 0)) / 10
+    return np.column_stack((*parts, size, size**2))
+
+
 @dataclass
 class View:
     """A logistic regression on standardised features, then a calibration."""
@@ -125,22 +172,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> View:
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-    z = np.column_stack((np.clip((x - mean) / scale, -8, 8), np.ones(len(x))))
-    w, eye = np.zeros(z.shape[1]), ridge * np.eye(z.shape[1])
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, start: View | None = None) -> View:
+    """By Newton steps, from the weights of `start` and in its units where there is one."""
+    mean, scale = (start.mean, start.scale) if start else (x.mean(axis=0), x.std(axis=0) + 1e-3)
+    z = np.column_stack((np.clip((x - mean) / scale, -8, 8), np.ones(len(x)))).astype(np.float32)
+    w, eye = start.weights.copy() if start else np.zeros(z.shape[1]), ridge * np.eye(z.shape[1])
     eye[-1, -1] = 1e-6
     for _ in range(40):
         p = sigmoid(z @ w)
-        step = np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + eye, z.T @ (y - p) - eye @ w)
+        half = z * np.sqrt(p * (1 - p) + 1e-6).astype(np.float32)[:, None]
+        step = np.linalg.solve(half.T @ half + eye, z.T @ (y - p) - eye @ w)
         w += step * min(1.0, 5 / max(np.abs(step).max(), 1e-9))
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-3:
             break
     return View(mean, scale, w)
 
 
 @dataclass
 class Model:
+    known: list[dict[str | None, int]]
     text: View
     meta: View
     mix: np.ndarray
@@ -150,68 +200,145 @@ class Model:
         return sigmoid(a), sigmoid(b), sigmoid(self.mix[0] * a + self.mix[1] * b + self.mix[2])
 
 
-def cotrain(text: np.ndarray, meta: np.ndarray, label: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray) -> Model | None:
-    """label: 0 or 1. None where a class is missing."""
+def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    for lo, hi in slices(offsets):
+        for k in range(lo, hi, ROWS):
+            yield k, min(hi, k + ROWS)
+
+
+def _viewed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches of `_rows` with their content features."""
+    for b in batches:
+        data, offsets = buffers(b.column("text"))
+        for lo, hi in _slices(offsets):
+            at = offsets[lo : hi + 1]
+            yield b.slice(lo, hi - lo), packed(text_view(data, at), ngram_view(data, at))
+
+
+def _metadata(part: pa.RecordBatch) -> tuple[list[list[str | None]], np.ndarray]:
+    """Metadata and length, a batch's last columns."""
+    n = len(METADATA) + 1
+    fields = [part.column(part.num_columns - n + k).to_pylist() for k in range(len(METADATA))]
+    return fields, part.column(part.num_columns - 1).fill_null(0).to_numpy(zero_copy_only=False)
+
+
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, rows in _viewed(batches):
+        n = len(METADATA) + 1
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.binary()), *part.columns[-n:]], names=["doc_id", "content", *METADATA, "chars"])
+
+
+def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast, kept: int) -> Iterator[pa.RecordBatch]:
+    model = sent.value
+    for part, rows in _viewed(batches):
+        yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, model.score(content(rows), meta_view(*_metadata(part), model.known)))], names=[*part.schema.names[:kept], *SCORES])
+
+
+def _sure(b: pa.RecordBatch, views: tuple[View, View], known: list, gone: np.ndarray) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """By view and class: the rows that the view is sure of and that weren't handed over before, and the level of that."""
+    xs = content(b.column(1).to_pylist()), meta_view(*_metadata(b), known)
+    left = ~np.isin(b.column(0).to_numpy(zero_copy_only=False), gone)
+    least = np.log(SURE / (1 - SURE))
+    out = []
+    for k, (view, x) in enumerate(zip(views, xs, strict=True)):
+        value = np.clip(view.value(x), -30, 30)
+        for y in (0, 1):
+            sure = value if y else -value
+            rows = np.flatnonzero(left & (sure >= least))
+            out.append((k, y, rows, np.floor(sure[rows] * LEVELS).astype(np.int64)))
+    return out
+
+
+def _levels(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
+    """(view, class, level, number) of a task's documents."""
+    held: Counter = Counter()
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS):
+            for view, y, _, level in _sure(b.slice(k, ROWS), *sent.value[:3]):
+                for at, n in zip(*np.unique(level, return_counts=True), strict=True):
+                    held[view, y, int(at)] += int(n)
+    rows = [(*key, n) for key, n in held.items()]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ((), (), (), ()), (pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["view", "class", "level", "n"])
+
+
+def _surest(batches: Iterator[pa.RecordBatch], sent: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Documents above each view's and class's limit, and of those at the limit a share by a hash of doc_id."""
+    limits = sent.value[3]
+    for b in batches:
+        for lo in range(0, b.num_rows, ROWS):
+            part = b.slice(lo, ROWS)
+            draw = (mix(part.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)) >> np.uint64(11)) * 2.0**-53
+            for view, y, rows, level in _sure(part, *sent.value[:3]):
+                limit, share = limits[view, y]
+                taken = rows[(level > limit) | ((level == limit) & (draw[rows] < share))]
+                if len(taken):
+                    n = len(taken)
+                    yield pa.RecordBatch.from_arrays([pa.array([view] * n, pa.int32()), pa.array([y] * n, pa.int32()), *(c.take(pa.array(taken)) for c in part.columns)], names=["view", "class", *part.schema.names])
+
+
+def _limits(counts: list, share: float) -> dict[tuple[int, int], tuple[int, float]]:
+    """By view and class: the level above which documents are taken, and the share of those at it that make EXCHANGED in the classes' proportion."""
+    out = {}
+    for view in (0, 1):
+        for y in (0, 1):
+            room = int(EXCHANGED * share) if y else EXCHANGED - int(EXCHANGED * share)
+            out[view, y] = (-1, 1.0)
+            for level, n in sorted(((r["level"], r["n"]) for r in counts if (r["view"], r["class"]) == (view, y)), reverse=True):
+                if n >= room:
+                    out[view, y] = (level, room / n)
+                    break
+                room -= n
+    return out
+
+
+FEATURES = "doc_id bigint, content binary, source string, lang string, chars bigint"
+
+
+def cotrain(labelled: pa.Table, pool: DataFrame) -> Model | None:
+    """labelled: doc_id, content, metadata, chars, quality (0 or 1); pool: the same without quality. None where a class is missing."""
+    label = labelled["quality"].to_numpy()
     if len(label) < 4 or label.min() == label.max():
         return None
+    fields, chars = [labelled[c].to_pylist() for c in METADATA], labelled["chars"].fill_null(0).to_numpy()
+    known = vocabulary(fields)
+    xs = [content(labelled["content"].to_pylist()), meta_view(fields, chars, known).astype(np.float32)]
     aside = np.arange(len(label)) % 4 == 0
     if len(set(label[aside])) < 2 or len(set(label[~aside])) < 2:
         aside = np.zeros(len(label), bool)
     fit = ~aside
     share = label[fit].mean()
-    views = [text[fit], meta[fit]]
-    pools = [pool_text, pool_meta]
-    extra: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0)), (np.zeros(0, np.int64), np.zeros(0))]
-    left = np.ones(len(pool_text), bool)
+    extra = [[(x[:0], np.zeros(0))] for x in xs]
+    models: list[View | None] = [None, None]
 
     def trained(k: int) -> View:
-        rows, y = extra[k]
-        return logistic(np.concatenate((views[k], pools[k][rows])), np.concatenate((label[fit], y)))
-
-    for _ in range(ROUNDS if len(pool_text) else 0):
+        rows, y = zip(*extra[k], strict=True)
+        return logistic(np.concatenate((xs[k][fit], *rows)), np.concatenate((label[fit], *y)), start=models[k])
+
+    gone = np.zeros(0, np.int64)
+    for _ in range(ROUNDS):
+        models = [trained(0), trained(1)]
+        context = pool.sparkSession.sparkContext
+        sent = context.broadcast((tuple(models), known, gone))
+        counts = pool.mapInArrow(lambda it, sent=sent: _levels(it, sent), "view int, class int, level bigint, n bigint").groupBy("view", "class", "level").agg(F.sum("n").alias("n")).collect()
+        sent.destroy()
+        if not counts:
+            break
+        sent = context.broadcast((tuple(models), known, gone, _limits(counts, share)))
+        found = pool.mapInArrow(lambda it, sent=sent: _surest(it, sent), f"view int, class int, {FEATURES}").toArrow().sort_by([("view", "ascending"), ("class", "ascending"), ("doc_id", "ascending")])
+        sent.destroy()
+        view, y = found["view"].to_numpy(), found["class"].to_numpy()
+        rows = content(found["content"].to_pylist()), meta_view([found[c].to_pylist() for c in METADATA], found["chars"].fill_null(0).to_numpy(), known)
         for k in (0, 1):
-            model = trained(k)
-            p = sigmoid(model.value(pools[k]))
-            for y, most in ((1.0, int(EXCHANGED * share)), (0.0, EXCHANGED - int(EXCHANGED * share))):
-                sure = p if y else 1 - p
-                order = np.argsort(np.where(left, -sure, 1), kind="stable")[:most]
-                chosen = order[left[order] & (sure[order] >= SURE)]
-                left[chosen] = False
-                rows, labels = extra[1 - k]
-                extra[1 - k] = (np.append(rows, chosen), np.append(labels, np.full(len(chosen), y)))
+            extra[1 - k].append((rows[1 - k][view == k], y[view == k].astype(float)))
+        gone = np.union1d(gone, found["doc_id"].to_numpy())
     models = [trained(0), trained(1)]
     check = aside if aside.any() else fit
-    for model, x in zip(models, (text, meta), strict=True):
+    for model, x in zip(models, xs, strict=True):
         model.slope, model.shift = platt(model.value(x[check]), label[check])
-    both = np.column_stack((models[0].logit(text[check]), models[1].logit(meta[check])))
+    both = np.column_stack([model.logit(x[check]) for model, x in zip(models, xs, strict=True)])
     joint = logistic(both, label[check])
     w = joint.weights[:-1] / joint.scale
-    return Model(models[0], models[1], np.array([w[0], w[1], joint.weights[-1] - (w * joint.mean).sum()]))
-
-
-def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Batches of `_rows` with both views. """
-    n = 1 + len(METADATA)
-    for b in batches:
-        first = b.num_columns - n
-        data, offsets = buffers(b.column("text"))
-        for lo, hi in slices(offsets):
-            part = b.slice(lo, hi - lo)
-            fields = [part.column(first + k).to_pylist() for k in range(len(METADATA))]
-            chars = part.column(b.num_columns - 1).fill_null(0).to_numpy(zero_copy_only=False)
-            yield part, text_view(data, offsets[lo : hi + 1]), meta_view(fields, chars)
-
-
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part, text, meta in _views(batches):
-        rows = [pa.array(list(x), pa.list_(pa.float64())) for x in (text, meta)]
-        yield pa.RecordBatch.from_arrays([part.column(0), *rows], names=["doc_id", "text", "meta"])
-
-
-def _scored(batches: Iterator[pa.RecordBatch], sent: Broadcast, kept: int) -> Iterator[pa.RecordBatch]:
-    model = sent.value
-    for part, text, meta in _views(batches):
-        yield pa.RecordBatch.from_arrays([*part.columns[:kept], *map(pa.array, model.score(text, meta))], names=[*part.schema.names[:kept], *SCORES])
+    return Model(known, models[0], models[1], np.array([w[0], w[1], joint.weights[-1] - (w * joint.mean).sum()]))
 
 
 def _rows(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -223,24 +350,19 @@ def _rows(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """A model from about LABELLED rows of `labels` (doc_id, quality 0 or 1) and POOL other documents, at rates that the tables' numbers set."""
+    """A model from about LABELLED rows of `labels` (doc_id, quality 0 or 1), drawn by a hash of doc_id, and all other documents of `docs`, of which equal ones count once."""
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
-    n_known, n_docs = known.count(), docs.count()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    sample = known.where(draw < min(1.0, LABELLED / max(1, n_known)) * 1_000_000)
-    rows = _rows(docs).where("doc_id is not null")
-    features = "doc_id bigint, text array<double>, meta array<double>"
+    n_known = known.count()
+    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < min(1.0, LABELLED / max(1, n_known)) * 1_000_000)
+    features = written(_rows(docs).where("doc_id is not null").mapInArrow(_featured, FEATURES), "features")
     # at most the sample's size is sent
-    learned = rows.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi").mapInArrow(_featured, features).join(F.broadcast(sample), "doc_id").toArrow().sort_by("doc_id")
-    pool_share = min(1.0, POOL / max(1, n_docs))
-    pool = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("pool")), F.lit(1_000_000)) < pool_share * 1_000_000)
-    others = pool.mapInArrow(_featured, features).join(known.select("doc_id"), "doc_id", "left_anti").toArrow().sort_by("doc_id")
-
-    def matrix(table: pa.Table, name: str) -> np.ndarray:
-        column = table[name].combine_chunks()
-        return column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-
-    return cotrain(matrix(learned, "text"), matrix(learned, "meta"), learned["quality"].to_numpy(), matrix(others, "text"), matrix(others, "meta"))
+    labelled = features.join(F.broadcast(sample), "doc_id").toArrow().sort_by([("doc_id", "ascending"), ("content", "ascending")])
+    others = features.join(F.broadcast(sample), "doc_id", "left_anti")
+    pool = written(others.groupBy("content", *METADATA, "chars").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "content", *METADATA, "chars"), "pool")
+    model = cotrain(labelled, pool)
+    discard(features)
+    discard(pool)
+    return model
 
 
 def assess(docs: DataFrame, model: Model | None, carried: tuple[str, ...] = ()) -> DataFrame:

@@ -1,9 +1,14 @@
-"""Harmonic packing of documents into fixed-length token sequences."""
+"""Harmonic packing of documents into fixed-length token sequences.
+
+What a document has beyond whole sequences, its rest, is of class k where k of its length fit in a sequence and k + 1 don't; a bin of class k takes k rests. What
+a full bin leaves free, less than 1 / (k + 1) of it, is filled with tokens cut from a rest that is given up for this, the filler, so that nothing is padded.
+"""
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -16,90 +21,130 @@ from methylspark.llm.encoding import encoder
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, class int"
 
 
-def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
-    """Cuts n tokens into pieces (start, length) whose lengths are capacity / k for k = 1, 2, 4, ...: whole
-    sequences first, then the rest by its binary digits, the longest first."""
-    cut = [(s, capacity) for s in range(0, n - capacity + 1, capacity)]
-    at, rest = len(cut) * capacity, n % capacity
-    while rest:
-        size = 1 << (rest.bit_length() - 1)
-        cut.append((at, size))
-        at, rest = at + size, rest - size
-    return cut
+#: Full bins that wait for filling, at most, before a rest of any class becomes the filler; until then one of class 1 does.
+WAITING = 8
+
+
+@dataclass
+class Item:
+    """Tokens of a document from `start` on, 4 bytes each, and how many the document has."""
+
+    doc: int | None
+    start: int
+    data: bytes
+    total: int
+
+    def __len__(self) -> int:
+        return len(self.data) // 4
+
+    def cut(self, n: int) -> Item:
+        """The first n tokens, which are taken away."""
+        head = Item(self.doc, self.start, self.data[: 4 * n], self.total)
+        self.start, self.data = self.start + n, self.data[4 * n :]
+        return head
 
 
 class Bins:
-    """One worker's open bin of each class: class k takes k pieces of capacity / k tokens, so that a full bin has
-    no padding. What is open at the end is dealt to sequences of a power of two tokens."""
+    """One worker's open bins, and the pieces that have a place: (item, sequence, offset, class; 0 for what was cut to fill)."""
 
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.next = capacity, first_sequence
-        self.open: dict[int, list[int]] = {}
-
-    def place(self, row: int, size: int) -> list[tuple[int, int, int]]:
-        """Rows that now have a place: (row, sequence, offset)."""
-        pending = self.open.setdefault(size, [])
-        pending.append(row)
-        return self._fill(size, pending, 0, self.capacity // size) if len(pending) * size == self.capacity else []
-
-    def _fill(self, size: int, pending: list[int], lo: int, n: int) -> list[tuple[int, int, int]]:
-        done = [(row, self.next, k * size) for k, row in enumerate(pending[lo : lo + n])]
+        self.open: dict[int, list[Item]] = {}
+        self.waiting: list[tuple[int, list[Item]]] = []
+        self.filler: Item | None = None
+        self.done: list[tuple[Item, int, int, int]] = []
+
+    def _sequence(self, items: list[tuple[Item, int]]) -> None:
+        at = 0
+        for item, kind in items:
+            self.done.append((item, self.next, at, kind))
+            at += len(item)
         self.next += 1
-        if lo + n == len(pending):
-            del self.open[size]
-        return done
-
-    def close(self) -> list[tuple[int, int, int]]:
-        done = []
-        for size, pending in sorted(self.open.items()):
-            lo = 0
-            while lo < len(pending):
-                n = 1 << ((len(pending) - lo).bit_length() - 1)
-                done += [(row, self.next, k * size) for k, row in enumerate(pending[lo : lo + n])]
-                self.next += 1
-                lo += n
-        self.open = {}
-        return done
+
+    def add(self, item: Item) -> None:
+        for at in range(0, len(item) - self.capacity + 1, self.capacity):
+            self._sequence([(Item(item.doc, item.start + at, item.data[4 * at : 4 * (at + self.capacity)], item.total), 1)])
+        item.cut(len(item) // self.capacity * self.capacity)
+        if not len(item):
+            return
+        kind = self.capacity // len(item)
+        if self.filler is None and self.waiting and (kind == 1 or len(self.waiting) > WAITING):
+            self.filler = item
+            self._fill()
+            return
+        held = self.open.setdefault(kind, [])
+        held.append(item)
+        if len(held) == kind:
+            del self.open[kind]
+            self.waiting.append((kind, held))
+            self._fill()
+
+    def _fill(self) -> None:
+        """Closes waiting bins while there is something to fill them with."""
+        while self.waiting:
+            kind, items = self.waiting[-1]
+            free = self.capacity - sum(map(len, items))
+            if free and self.filler is None:
+                return
+            part: list[tuple[Item, int]] = []
+            if free:
+                if len(self.filler) < free:
+                    # what is left of the filler joins the bin, which waits on
+                    items.append(self.filler)
+                    self.filler = None
+                    continue
+                part = [(self.filler.cut(free), 0)]
+                if not len(self.filler):
+                    self.filler = None
+            self.waiting.pop()
+            self._sequence([*((x, kind if k < kind else 0) for k, x in enumerate(items)), *part])
+
+    def close(self) -> None:
+        """Deals what is left to whole sequences, and its end to sequences of a power of two tokens, which aren't padded."""
+        left = [x for _, items in self.waiting for x in items] + [x for _, items in sorted(self.open.items()) for x in items] + ([self.filler] if self.filler else [])
+        self.open, self.waiting, self.filler = {}, [], None
+        rest = sum(map(len, left))
+        at = 0
+        while rest:
+            size = self.capacity if rest >= self.capacity else 1 << (rest.bit_length() - 1)
+            rest -= size
+            row = []
+            while size:
+                n = min(size, len(left[at]))
+                row.append((left[at].cut(n), 0))
+                size -= n
+                at += not len(left[at])
+            self._sequence(row)
 
 
 def _packed(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encode = encoder(path)
     bins = Bins(capacity, TaskContext.get().partitionId() << 33)
-    waiting: dict[int, tuple] = {}
-    n_rows = 0
-
-    def rows(placed: list[tuple[int, int, int]]) -> list[tuple]:
-        return [(*waiting.pop(row), sequence, offset) for row, sequence, offset in placed]
 
-    def batch(done: list[tuple]) -> pa.RecordBatch:
-        doc, start, length, ids, total, sequence, offset = map(list, zip(*done, strict=True))
-        kinds = [(doc, pa.int64()), (start, pa.int64()), (length, pa.int64()), (ids, pa.binary()), (total, pa.int64()), (sequence, pa.int64()), (offset, pa.int64()), ([capacity // n for n in length], pa.int32())]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in kinds], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "class"])
+    def placed() -> Iterator[pa.RecordBatch]:
+        if bins.done:
+            items, sequence, offset, kind = map(list, zip(*bins.done, strict=True))
+            bins.done = []
+            kinds = [([x.doc for x in items], pa.int64()), ([x.start for x in items], pa.int64()), ([len(x) for x in items], pa.int64()), ([x.data for x in items], pa.binary()), ([x.total for x in items], pa.int64()), (sequence, pa.int64()), (offset, pa.int64()), (kind, pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in kinds], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "class"])
 
     for b in batches:
         docs = iter(b.column(0).to_pylist())
         for block in encode.column(b.column(1)):
-            done = []
             for ids, doc in zip(block, docs, strict=False):
-                wide = np.append(ids, end_id).astype("<u4")
-                data = wide.tobytes()
-                for start, size in pieces_of(len(wide), capacity):
-                    waiting[n_rows] = (doc, start, size, data[4 * start : 4 * (start + size)], len(wide))
-                    done += rows(bins.place(n_rows, size))
-                    n_rows += 1
-            if done:
-                yield batch(done)
-    if done := rows(bins.close()):
-        yield batch(done)
+                bins.add(Item(doc, 0, np.append(ids, end_id).astype("<u4").tobytes(), len(ids) + 1))
+            yield from placed()
+    bins.close()
+    yield from placed()
 
 
 def harmonic_pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0) -> DataFrame:
     """Pieces of documents with their places in sequences of at most `capacity` tokens (a power of two).
 
-    A document's ids are its text's by the tokenizer file, then `end_id`. They are cut into pieces of
-    capacity / k tokens, k = 1, 2, 4, ...; class k's bins take k pieces each, so every full bin is a whole sequence.
-    Each worker fills its own bins and holds less than one bin of each class; nothing is shuffled. At its end
-    a worker deals what is open to sequences of a power of two tokens, which need no padding either.
+    A document's ids are its text's by the tokenizer file, then `end_id`. Whole sequences are cut off first; the rest, n tokens, is a piece of
+    class capacity // n. Bins of class k take k rests, and are filled with pieces of class 0, cut from some rests. Each worker fills its own bins and holds less than one bin
+    of each class, of which there are less than twice the root of `capacity`, and some that wait to be filled; nothing is shuffled. At its end a worker
+    deals what is left to whole sequences and some of a power of two tokens, as pieces of class 0.
 
     Columns: doc_id, start, length, ids (little-endian uint32), doc_tokens, sequence_id, offset, class.
     Null and empty texts have the end id alone; a null doc_id stays null; equal rows are packed one by one; further

@@ -58,11 +58,38 @@ def test_encoder_forgets_nothing(monkeypatch):
         assert [x.tolist() for block in encode.column(pa.array(texts)) for x in block] == [ids_of(t) for t in texts]
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 7, 1023, 1024, 1025, 5000])
-def test_pieces_cover_the_document(n):
-    cut = packing.pieces_of(n, 1024)
-    assert [s for s, _ in cut] == [sum(x for _, x in cut[:k]) for k in range(len(cut))]
-    assert sum(x for _, x in cut) == n and all(x & (x - 1) == 0 and x <= 1024 for _, x in cut)
+@pytest.mark.parametrize("capacity", [1, 16, 1024])
+def test_bins_take_their_class(capacity):
+    """Of random lengths every token has one place, bins of class k hold k rests of that class, and nothing is padded."""
+    rng = random.Random(capacity)
+    lengths = [rng.choice([1, 2, 3, rng.randrange(1, 40), rng.randrange(1, 3 * capacity + 2)]) for _ in range(3000)]
+    bins = packing.Bins(capacity, 7)
+    for doc, n in enumerate(lengths):
+        bins.add(packing.Item(doc, 0, bytes(4 * n), n))
+    held = len(bins.waiting) + len(bins.open)
+    bins.close()
+    whole, seen = defaultdict(list), defaultdict(list)
+    for item, sequence, offset, kind in bins.done:
+        whole[sequence].append((offset, len(item), kind))
+        seen[item.doc].append((item.start, len(item)))
+    for doc, n in enumerate(lengths):
+        at = 0
+        for start, size in sorted(seen[doc]):
+            assert start == at and size > 0
+            at += size
+        assert at == n
+    assert sorted(whole) == list(range(7, 7 + len(whole))) and held <= 2 * capacity**0.5 + packing.WAITING + 2
+    for pieces in whole.values():
+        pieces.sort()
+        size = sum(n for _, n, _ in pieces)
+        assert [o for o, *_ in pieces] == [sum(n for _, n, _ in pieces[:k]) for k in range(len(pieces))]
+        assert size == capacity or size < capacity and size & (size - 1) == 0
+        kinds = {k for *_, k in pieces if k}
+        if kinds:
+            (kind,) = kinds
+            assert sum(k == kind for *_, k in pieces) == kind and all(capacity // n == kind for _, n, k in pieces if k)
+    if capacity == 1024:
+        assert sum(map(len, seen.values())) < 1.6 * sum(-(-n // capacity) for n in lengths)
 
 
 def packed_well(rows, docs, capacity, end_id):
@@ -91,7 +118,7 @@ def test_packing_holds_each_id_once(docs):
         if doc != 3:
             ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in sorted(by_doc[doc], key=lambda r: r.start)])
             assert ids.tolist() == [*ids_of(text), 0]
-    assert all((r["class"], r.length) == (1024 // r.length, r.length) for r in rows)
+    assert all(r["class"] in (0, 1024 // r.length) for r in rows)
 
 
 def test_packing_of_nothing(spark):

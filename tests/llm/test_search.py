@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from methylspark.llm import fingerprint, mixing, queries, topk
@@ -124,7 +126,7 @@ def test_as_sql(spark, sf_dir, name):
 
 def test_mixing_meets_its_targets(spark, sf_dir):
     docs = queries.table(spark, sf_dir, "documents")
-    sums = mixing.cells_of(docs).groupBy(*(f"__mix_{a}" for a in mixing.AXES)).sum("__mix_tokens").toDF(*mixing.AXES, "tokens")
+    sums = mixing.cells_of(docs).groupBy(*mixing.AXES).sum("tokens").toDF(*mixing.AXES, "tokens")
     cells = mixing.raked(sums, {"source": 0.5, "lang": 0.7, "topic": 0.7}, 30).toPandas()
     assert cells.weight.sum() == pytest.approx(1)
     for axis in mixing.AXES:
@@ -135,6 +137,42 @@ def test_mixing_meets_its_targets(spark, sf_dir):
     assert expected == pytest.approx(mixing.KEPT_SHARE, abs=1e-6)
 
 
+def test_mixing_to_given_weights(spark):
+    """Against raking and the bound of 1 written out for two sources, languages and topics of a column."""
+    docs = [(k, "w " * (5 + k % 7), ("x", "y", "z")[k % 3], ("en", "de")[k % 5 // 3], ("t", "u")[k % 4 // 3]) for k in range(600)]
+    table = spark.createDataFrame(docs, "doc_id int, text string, source string, lang string, theme string")
+    targets = {"source": {"x": 3.0, "y": 1.0, "absent": 5.0}, "lang": {"en": 0.5, "de": 0.5}}
+    rows = mixing.mix(table, share=0.2, rounds=60, targets=targets, topic="theme").collect()
+    cells = Counter()
+    for _, text, *cell in docs:
+        cells[tuple(cell)] += len(text.split())
+    whole = sum(cells.values())
+    share = {a: {v: sum(n for c, n in cells.items() if c[k] == v) for v in {c[k] for c in cells}} for k, a in enumerate(mixing.AXES)}
+    goal = {"source": {"x": 0.75, "y": 0.25, "z": 0.0}, "lang": targets["lang"], "topic": {v: (n / whole) ** mixing.TOPIC_POWER for v, n in share["topic"].items()}}
+    goal["topic"] = {v: x / sum(goal["topic"].values()) for v, x in goal["topic"].items()}
+    weight = {c: n / whole for c, n in cells.items()}
+    for _ in range(60):
+        for k, a in enumerate(mixing.AXES):
+            held = {v: sum(w for c, w in weight.items() if c[k] == v) for v in goal[a]}
+            weight = {c: w * goal[a][c[k]] / held[c[k]] if held[c[k]] else 0.0 for c, w in weight.items()}
+    factor = {c: weight[c] / cells[c] for c in cells}
+    lo, hi = 0.0, 1e9
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(1, mid * factor[c]) * cells[c] for c in cells) < 0.2 * whole else (lo, mid)
+    assert len(rows) == 600 and rows[0].theme in ("t", "u")
+    assert all(r.probability == pytest.approx(min(1, lo * factor[r.source, r.lang, r.theme]), abs=1e-6) for r in rows)
+    assert not any(r.kept for r in rows if r.source == "z")
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(k, "a b c", "s", "en", "q", "r", "c", "d", 1.5) for k in range(5)], "doc_id bigint, text string, source string, lang string, __mix_text string, __mix_tokens string, of_source string, chance string, Tokens double")
+    rows = mixing.mix(docs).collect()
+    assert {(r["__mix_text"], r["__mix_tokens"], r.of_source, r.chance, r.tokens) for r in rows} == {("q", "r", "c", "d", 3)}
+    again = mixing.mix(docs.withColumn("doc", F.lit("e")).withColumn("whole", F.lit("f"))).collect()
+    assert {(r.doc, r.whole) for r in again} == {("e", "f")}
+
+
 def test_mixing_of_odd_rows(spark):
     docs = [(1, None), (None, "a b"), (2, ""), (3, "a"), (3, "a")]
     rows = mixing.mix(frame(spark, docs)).collect()

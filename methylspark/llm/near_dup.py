@@ -9,7 +9,7 @@ signatures meet under a key. No key is capped.
 What meets under a key is linked in two passes, without a row for each pair of a large group. First each set is
 compared with the least id under each of its keys (a star), which already joins most of a group of copies. Two sets that
 meet are then members of one star at least; stars whose members are of several components are looked at again. Their
-members go in blocks of BLOCK, so that a large star is work for many tasks. Pairs of blocks are compared by signature, and
+members go in blocks of BLOCK, and pairs of blocks are dealt to tasks each by itself. Pairs of blocks are compared by signature, and
 the members that are within DISTANCE of one of another component are compared in full, again by pairs of blocks; a link for each two
 components that are found to touch is enough. A link that is skipped joins two documents that are connected anyway. Whatever is
 within DISTANCE is confirmed on the full sets.
@@ -140,7 +140,7 @@ def _shared(sets: list[np.ndarray], rows: list[np.ndarray], sizes: list[int]) ->
     """How many elements each set of the first group has in common with each of the second."""
     common = np.intersect1d(*sets)
     places = [np.minimum(np.searchsorted(common, s), max(0, len(common) - 1)) for s in sets]
-    out = np.zeros(sizes, np.float32)
+    out = np.zeros(sizes, np.int64)
     if len(common):
         inside = [common[p] == s for p, s in zip(places, sets, strict=True)]
         for lo in range(0, len(common), 4096):
@@ -150,7 +150,7 @@ def _shared(sets: list[np.ndarray], rows: list[np.ndarray], sizes: list[int]) ->
                 x = np.zeros((n, min(4096, len(common) - lo)), np.float32)
                 x[row[here], p[here] - lo] = 1
                 one.append(x)
-            out += one[0] @ one[1].T
+            out += (one[0] @ one[1].T).astype(np.int64)  # at most 4096 each, so exact
     return out
 
 
@@ -197,12 +197,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return links
 
 
-def _block_pairs(members: DataFrame, *columns: str) -> DataFrame:
-    """Rows (center, block, columns) as pairs of blocks, each block's columns in lists: <column>s and <column>s2."""
+def _block_pairs(members: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (center, block, blocks, columns) as pairs of blocks, each block's columns in lists: <column>s and <column>s2. Both blocks' numbers are keys of the join, so the pairs of one center go to many tasks. Second, the table that they are read from."""
     lists = [f"{c}s" for c in columns]
-    packed = written(members.groupBy("center", "block").agg(*(F.collect_list(c).alias(n) for c, n in zip(columns, lists, strict=True))), "blocks")
-    other = packed.select("center", F.col("block").alias("block2"), *(F.col(n).alias(f"{n}2") for n in lists))
-    return packed.join(other, "center").where("block <= block2").select("center", *lists, *(f"{n}2" for n in lists))
+    packed = written(members.groupBy("center", "block", "blocks").agg(*(F.collect_list(c).alias(n) for c, n in zip(columns, lists, strict=True))), "blocks")
+    first = packed.withColumn("block2", F.explode(F.sequence("block", F.col("blocks") - 1))).drop("blocks")
+    other = packed.select("center", F.col("block").alias("block2"), *(F.col(n).alias(f"{n}2") for n in lists)).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), "block2")))
+    return first.join(other, ["center", "block", "block2"]).select("center", *lists, *(f"{n}2" for n in lists)), packed
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -227,19 +228,25 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     starred = written(shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct(), "starred")
     signs = groups.select("id", "signature")
     stars = starred.join(signs.select(F.col("id").alias("a"), F.col("signature").alias("x")), "a").join(signs.select(F.col("id").alias("b"), F.col("signature").alias("y")), "b").select("a", "b", "x", "y")
-    links = _confirmed(written(stars.mapInArrow(_close, "a bigint, b bigint"), "stars"), texts, size, percent)
+    pairs = written(stars.mapInArrow(_close, "a bigint, b bigint"), "stars")
+    links = _confirmed(pairs, texts, size, percent)
+    discard(pairs)
     joined = connected(links)
 
     comps = groups.select("id").join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     members = written(starred.select(F.col("a").alias("center"), F.col("b").alias("id")).join(comps, "id"), "members")
     several = members.groupBy("center").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("center", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    placed = written(members.join(several, "center").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("blocks"), "placed")
-    near = _block_pairs(placed.join(signs, "id"), "id", "component", "signature").mapInArrow(_near, "center bigint, id bigint")
-    near = written(near.distinct(), "near")
+    placed = written(members.join(several, "center").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "placed")
+    pairs, blocks = _block_pairs(placed.join(signs, "id"), "id", "component", "signature")
+    near = written(pairs.mapInArrow(_near, "center bigint, id bigint").distinct(), "near")
     wanted = _sets_of(near.select("id"), texts, size)
-    close = _block_pairs(placed.join(near, ["center", "id"]).join(wanted, "id"), "id", "component", "set")
+    close, full_blocks = _block_pairs(placed.join(near, ["center", "id"]).join(wanted, "id"), "id", "component", "set")
     more = written(close.mapInArrow(lambda it: _touching(it, percent), "a bigint, b bigint"), "links")
+    for table in (starred, members, placed, blocks, near, wanted, full_blocks):
+        discard(table)
     joined = connected(links.union(more))
+    discard(links)
+    discard(more)
 
     of_set = groups.select(*sets, "id").join(joined, "id", "left").select(*sets, F.coalesce("component", "id").alias("component_id"))
     hashed = full.join(of_set, sets).select("doc_id", "n_shingles", "component_id")

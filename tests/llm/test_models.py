@@ -52,13 +52,9 @@ def test_words_outside_the_head_are_counted_too(spark, monkeypatch):
 
 
 def test_probabilities_sum_to_one(spark):
-    """Over all words and the unknown one, after any history."""
+    """Over the classes, and the counts within them; `test_trees_sum_to_one` has the trees."""
     docs = [(k, f"a b c{k % 3} a b d e f a", "en") for k in range(30)]
     known = sorted({w for _, t, _ in docs for w in words(t)})
-    history = "a b"
-    asked = [(100 + k, f"{history} {w}", "en") for k, w in enumerate([*known, "unknown"])]
-    rows = {r.doc_id: r.score for r in maxent.score(frame(spark, docs + asked + [(99, history, "en")]), F.col("doc_id") >= 99).collect()}
-    # P(history, w, END) / P(END | history, w) isn't at hand: sum P(w | history) by the model's own parts instead
     counts = maxent.word_counts(frame(spark, docs).select("text"))
     v = maxent.vocabulary(counts, maxent.HEAD, maxent.CLASSES)
     mass = 10.0**v.log_sums
@@ -66,7 +62,61 @@ def test_probabilities_sum_to_one(spark):
     inside = [np.sum(10.0 ** v.log_counts[v.classes == k]) + (k == maxent.CLASSES - 1) for k in range(maxent.CLASSES)]
     assert inside == pytest.approx(mass.tolist())
     p = maxent.softmax(np.random.default_rng(0).normal(size=(8, 5)).astype(np.float32), np.array([[0, 1, 2, 3]]), np.zeros(5, np.float32))
-    assert p.sum() == pytest.approx(1) and len(rows) == len(asked) + 31
+    assert p.sum() == pytest.approx(1) and len(known) == v.distinct - 1
+
+
+def test_score_by_brute_force(spark, monkeypatch):
+    """Token by token from random weights: the class, each branch of its tree, and what words of a leaf share."""
+    rng = random.Random(3)
+    pool = [f"w{k}" for k in range(120)]
+    docs = [(k, " ".join(rng.choice(pool[: 5 + k]) for _ in range(rng.randrange(0, 30))), "en") for k in range(115)] + [(200, "w1 never seen w2", "en"), (201, None, "en"), (202, "w110 w111 w112", "en")]
+    table = frame(spark, docs)
+    apart = F.col("doc_id") % 5 == 0
+    monkeypatch.setattr(maxent, "HEAD", 40)
+    monkeypatch.setattr(maxent, "BATCH", 16)
+    counts = maxent.word_counts(table.where(~apart).select("text"))
+    v = maxent.vocabulary(counts, 40, maxent.CLASSES)
+    weights = np.random.default_rng(1).normal(size=(v.rows, maxent.CLASSES)).astype(np.float32)
+    bias = np.random.default_rng(2).normal(size=maxent.CLASSES).astype(np.float32)
+    monkeypatch.setattr(maxent, "train", lambda *a: (weights, bias))
+    got = {r.doc_id: r for r in maxent.score(table, apart).collect()}
+    train = Counter(w for d, t, _ in docs if d % 5 for w in [*words(t), None])
+    code = lambda w: int(maxent.END if w is None else maxent.tokens(*buffers(pa.array([w])))[0][0])
+    place = {w: int(v.find(np.array([code(w)], np.uint64))[0]) for _, t, _ in docs for w in [*words(t), None]}
+    assert 30 < len(v.words) < 50 and len(train) > 80 and len(place) > len(train)
+
+    def p_of(wide, node, own, branch):
+        row = wide if node is None else maxent.mix((wide + np.uint64((node + 1) * 0x9E3779B97F4A7C15 % 2**64)).astype(np.uint64))
+        logits = weights[(row & np.uint64(v.rows - 1)).astype(int)].astype(float).sum(axis=0) + own
+        return np.exp(logits[branch] - logits.max()) / np.exp(logits - logits.max()).sum()
+
+    last = maxent.CLASSES - 1
+    for d, t, _ in docs:
+        told, total = [], 0.0
+        for w in [*words(t), None]:
+            at = place[w]
+            kind = int(v.classes[at]) if at >= 0 else last
+            name = int(v.names[at]) if 0 <= at and v.names[at] < v.named else v.named + kind
+            past = [told[-k] if len(told) >= k else (-2, maxent.CLASSES) for k in (1, 2, 3)]
+            (n1, c1), (n2, c2), (n3, c3) = past
+            parts = [(1, n1 + 2), (2, n2 + 2), (3, n3 + 2), (4, n1 + 2, n2 + 2), (5, c1, c2, c3)]
+            wide = np.array([maxent._hashed(*(np.array([x]) for x in q), rows=1 << 62)[0] for q in parts]).astype(np.uint64)
+            p = p_of(wide, None, bias, kind)
+            if at >= 0:
+                for node, branch in zip(v.nodes[:, at], v.branches[:, at], strict=True):
+                    p *= p_of(wide, int(node), v.bias[node], branch) if node >= 0 else 1
+            elif w in train:
+                node = v.outer
+                for k in range(v.outer_levels):
+                    low = code(w) >> (5 * k)
+                    p *= p_of(wide, node + (code(w) & ((1 << 5 * k) - 1)), v.bias[node + (code(w) & ((1 << 5 * k) - 1))], low & 31)
+                    node += 1 << 5 * k
+                p *= (1 - 10.0 ** -v.log_sums[-1]) * (train[w] + 1) / 10.0 ** v.leaf_sums[code(w) & (len(v.leaf_sums) - 1)]
+            else:
+                p *= 10.0 ** -v.log_sums[-1]
+            total += math.log10(p)
+            told.append((name, kind))
+        assert got[d].score == pytest.approx(total, abs=1e-3), d
 
 
 def test_model_beats_its_base_where_words_follow_words(spark):

@@ -2,8 +2,8 @@
 
 A hash rolls over the last WINDOW bytes; where its low bits are all ones, a chunk ends. Block size b (a power of two) takes log2 b
 bits, so chunks of 2 b end where chunks of b do. Each chunk becomes one of 64 letters. A fingerprint is "b:letters at b:letters
-at 2 b", with the least b by which LETTERS chunks of b bytes hold the text; what follows the last but one letter is one chunk, so that
-no signature is longer. Fingerprints of equal or neighbouring block sizes are compared by edit distance.
+at 2 b", with the least b by which LETTERS chunks of b bytes hold the text, halved while fewer than LETTERS / 4 chunks end (as in a text that repeats few lines);
+what follows the last but one letter is one chunk, so that no signature is longer. Fingerprints of equal or neighbouring block sizes are compared by edit distance.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from methylspark.llm.wordhash import buffers, mix, polynomial, slices
 WINDOW, LETTERS, LEAST_BLOCK = 7, 64, 4
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 _LETTER = {int(c): k for k, c in enumerate(ALPHABET)}
-#: Bytes of text in a range of doc_ids that one task works through.
-RANGE_BYTES = 8 << 20
+#: Bytes of text in a range of doc_ids that one task works through, and doc_ids that are looked at for each range's bound (about).
+RANGE_BYTES, RANGE_IDS = 32 << 20, 64
 SCHEMA = "doc_id bigint, text string, next_text string, edited string, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -33,6 +33,18 @@ def block_size(n_bytes: int) -> int:
     return b
 
 
+def settled(blocks: np.ndarray, rolled: np.ndarray, rows: np.ndarray) -> list[int]:
+    """Each row's block size, halved while too few of its chunks end."""
+    blocks = blocks.copy()
+    while True:
+        mask = (blocks - 1).astype(np.uint64)[rows]
+        ends = np.bincount(rows[rolled & mask == mask], minlength=len(blocks))
+        few = (ends < LETTERS // 4) & (blocks > LEAST_BLOCK)
+        if not few.any():
+            return blocks.tolist()
+        blocks[few] //= 2
+
+
 def _signatures(total: np.ndarray, inverse: np.ndarray, at: np.ndarray, spots: np.ndarray, rolled: np.ndarray, rows: np.ndarray, mask: np.ndarray) -> list[bytes]:
     """Letters of each row (at: the rows' offsets), given the spots where the least block size ends a chunk, and each row's block size - 1."""
     hit = rolled & mask[rows] == mask[rows]
@@ -65,7 +77,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> list[str]:
         rows = np.searchsorted(at, spots, side="right") - 1
         inside = spots - at[rows] >= WINDOW - 1
         rolled, spots, rows = rolled[inside], spots[inside], rows[inside]
-        blocks = [block_size(s) for s in np.diff(at).tolist()]
+        blocks = settled(np.array([block_size(s) for s in np.diff(at).tolist()], np.int64), rolled, rows)
         small, large = (_signatures(total, inverse, at, spots, rolled, rows, np.array([k * b - 1 for b in blocks], np.uint64)) for k in (1, 2))
         out += [f"{b}:{x.decode()}:{y.decode()}" for b, x, y in zip(blocks, small, large, strict=True)]
     return out
@@ -180,7 +192,7 @@ def _dealt(batches: Iterator[pa.RecordBatch], bounds: list[int], null_text: str
         where = np.concatenate((part, (part[again] - 1) % n))
         guard = np.arange(len(rows)) >= len(part)
         take = pa.array(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int64)), pa.array(guard), ids.take(take), b.column(1).take(take)], names=["range", "guard", "doc_id", "text"])
+        yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), pa.array(guard), ids.take(take), b.column(1).take(take)], names=["range", "guard", "doc_id", "text"])
 
 
 def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
@@ -191,7 +203,7 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
     Null texts are empty: an empty text's fingerprint has no letters. A table of one row is its own next; further columns are
     ignored; an empty table gives an empty one.
 
-    Documents go by ranges of doc_id to tasks of about RANGE_BYTES, whose bounds are doc_ids; the document at a bound goes
+    Documents go by ranges of doc_id to tasks of about RANGE_BYTES, whose bounds are doc_ids drawn by a hash; the document at a bound goes
     to both ranges, so texts move once and no range waits for another.
     """
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text"))
@@ -199,7 +211,8 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
     ranges = min(max(1, round(at.bytes / RANGE_BYTES)), max(1, at.n))
     bounds = [at.least] if at.n else []
     if ranges > 1:
-        shares = [k / ranges for k in range(1, ranges)]
-        bounds = sorted({at.least, *rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * ranges))).first()[0]})
-    dealt = rows.mapInArrow(lambda it: _dealt(it, bounds, at.null_text, at.nulls > 0), "range bigint, guard boolean, doc_id bigint, text string")
-    return dealt.repartition("range").sortWithinPartitions("range", "guard", "doc_id", "text").mapInArrow(_compared, SCHEMA)
+        share = min(1.0, ranges * RANGE_IDS / at.n)
+        drawn = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(share * (1 << 40))).where("doc_id is not null").select("doc_id").toArrow()["doc_id"].to_numpy()
+        bounds = sorted({at.least, *np.quantile(drawn, np.arange(1, ranges) / ranges, method="lower").tolist()}) if len(drawn) else bounds
+    dealt = rows.mapInArrow(lambda it: _dealt(it, bounds, at.null_text, at.nulls > 0), "range int, guard boolean, doc_id bigint, text string")
+    return dealt.repartitionById(max(1, len(bounds)), "range").sortWithinPartitions("range", "guard", "doc_id", "text").mapInArrow(_compared, SCHEMA)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from methylspark.llm import fingerprint, mixing, queries, topk
+from methylspark.llm import fingerprint, mixing, queries, topk, wordhash
 from methylspark.llm.wordhash import buffers
 from tests.llm.test_near_dup import brute
 
@@ -57,6 +57,37 @@ def test_fingerprints_stand_alone():
     assert fingerprint.likeness([a], [c])[0] < 0.3
 
 
+def written_out(text):
+    """A fingerprint byte by byte: the rolling hash of each window, the chunks that it ends, and a letter for each."""
+    data, p, mask = text.encode(), 0x9E3779B97F4A7C15, 2**64 - 1
+    number = [int(x) for x in wordhash._BYTE]
+    spread = lambda h: int(wordhash.mix(np.array([h], np.uint64))[0])
+    of = lambda part: sum(number[b] * pow(p, k, 2**64) for k, b in enumerate(part)) & mask
+    w = fingerprint.WINDOW
+    rolled = {k + w: of(data[k : k + w]) >> 36 for k in range(len(data) - w + 1)}
+    b = fingerprint.LEAST_BLOCK
+    while b * fingerprint.LETTERS < len(data):
+        b *= 2
+    while b > fingerprint.LEAST_BLOCK and sum(h % b == b - 1 for h in rolled.values()) < fingerprint.LETTERS // 4:
+        b //= 2
+    out = []
+    for size in (b, 2 * b):
+        ends = [e for e, h in rolled.items() if h % size == size - 1 and e < len(data)][: fingerprint.LETTERS - 1] + [len(data)] * bool(data)
+        out.append("".join(chr(fingerprint.ALPHABET[spread(of(data[a:z])) % 64]) for a, z in zip([0, *ends], ends, strict=False)))
+    return f"{b}:{out[0]}:{out[1]}"
+
+
+def test_fingerprints_byte_by_byte():
+    some = [*texts(6, 40), "", "é", "one line again\n" * 150]
+    assert fingerprint.fingerprints(*buffers(pa.array(some))) == [written_out(t) for t in some]
+
+
+def test_a_text_of_one_line_keeps_chunks():
+    lines = "this line comes again and again\n" * 3000
+    own, changed = fingerprint.fingerprints(*buffers(pa.array([lines, fingerprint.edited(lines, "other words " * 9000)])))
+    assert len(own.split(":")[1]) >= fingerprint.LETTERS // 4 and fingerprint.likeness([own], [changed])[0] > 0.3
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_neighbours(spark, monkeypatch, parts):
     monkeypatch.setattr(fingerprint, "RANGE_BYTES", 20_000)

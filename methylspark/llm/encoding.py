@@ -2,12 +2,14 @@
 
 A byte-level BPE splits a text before it merges: before a space that a non-space follows, around a line break between two
 words, and between a letter and a sign. So ids of a text are the ids of the pieces between such places, one after the other. Pieces are
-found and told apart (by 64-bit hashes) for many texts at once; the tokenizer encodes those that are new, and ids are put together by array operations.
-Texts that hold an added token's string are encoded whole.
+found by 64-bit hashes for many texts at once, and compared byte by byte with the piece that they are taken for; the tokenizer encodes those that are new, and ids are put together by array operations.
+Texts that hold an added token's string, or a piece that only shares another's hash, are encoded whole. So are all texts where the file's tokenizer splits in another way: where it has a normaliser,
+another pre-tokenizer, a prefix space, or a model other than a plain BPE.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,8 +21,8 @@ from methylspark.llm.wordhash import buffers, mix, polynomial, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Pieces that a worker process remembers. More are encoded again; ids don't depend on it.
-MEMORY_PIECES = 1_000_000
+#: Pieces that a worker process remembers, and ids and bytes of them. More are encoded again; ids don't depend on it.
+MEMORY_PIECES, MEMORY_SIZE = 500_000, 4_000_000
 #: Bytes of text that are encoded together.
 CHUNK_BYTES = 2 << 20
 
@@ -55,18 +57,28 @@ def cuts(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:n])
 
 
+def splits_at_cuts(tokenizer: str) -> bool:
+    """Whether a tokenizer's JSON splits texts at `cuts` before it merges."""
+    told = json.loads(tokenizer)
+    first, model = told.get("pre_tokenizer") or {}, told.get("model") or {}
+    splits = first.get("type") == "ByteLevel" and not first.get("add_prefix_space", True) and first.get("use_regex", True)
+    return splits and told.get("normalizer") is None and told.get("truncation") is None and model.get("type") == "BPE" and not model.get("dropout")
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = splits_at_cuts(self.tokenizer.to_str())
         vocab = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 1 << 16 else "<u4")
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.names, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, self.dtype)
+        # of each piece: its hash, where its ids begin and how many they are, where its bytes begin and how many they are
+        self.names, self.begin, self.size, self.at, self.wide = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
+        self.ids, self.bytes = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -105,29 +117,47 @@ class Encoder:
         del total, inverse
         names, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
         place = self._known(names)
-        new = np.flatnonzero(place < 0)
+        new, old = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
         raw = text.tobytes()
         found = self._encoded([raw[a:z].decode() for a, z in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
-        size, begin = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-        old = np.flatnonzero(place >= 0)
-        size[old], begin[old] = self.size[place[old]], self.begin[place[old]]
+        size, begin, known_at, wide = (np.zeros(len(names), np.int64) for _ in range(4))
+        for mine, kept in ((size, self.size), (begin, self.begin), (known_at, self.at), (wide, self.wide)):
+            mine[old] = kept[place[old]]
         size[new] = [len(x) for x in found]
         begin[new] = len(self.ids) + np.cumsum(size[new]) - size[new]
+        known_at[new], wide[new] = len(self.bytes) + starts[first[new]], (ends - starts)[first[new]]
         arena = np.concatenate([self.ids, *found]) if found else self.ids
-        if len(new) and len(self.names) + len(new) <= MEMORY_PIECES:
-            every = np.concatenate((self.names, names[new]))
-            order = np.argsort(every, kind="stable")
-            self.names, self.ids = every[order], arena
-            self.begin, self.size = (np.concatenate((a, b[new]))[order] for a, b in ((self.begin, begin), (self.size, size)))
         lengths = size[kind]
         until = np.cumsum(lengths)
         out = arena[np.repeat(begin[kind] - (until - lengths), lengths) + np.arange(until[-1])]
         rows = np.append(0, until)[np.searchsorted(starts, at)]
-        return self._with_added(raw, at, out, rows)
-
-    def _with_added(self, raw: bytes, at: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same, with texts that hold an added token's string encoded whole."""
-        odd = set()
+        mistaken = self._mistaken(text, starts, ends, known_at[kind], wide[kind])
+        if len(new) and len(self.names) + len(new) <= MEMORY_PIECES and max(len(arena), len(self.bytes) + int(wide[new].sum())) <= MEMORY_SIZE:
+            known_at[new] = len(self.bytes) + np.cumsum(wide[new]) - wide[new]
+            body = np.repeat(starts[first[new]] - (known_at[new] - len(self.bytes)), wide[new]) + np.arange(int(wide[new].sum()))
+            every = np.concatenate((self.names, names[new]))
+            order = np.argsort(every, kind="stable")
+            self.names, self.ids, self.bytes = every[order], arena, np.concatenate((self.bytes, text[body]))
+            self.begin, self.size, self.at, self.wide = (np.concatenate((a, b[new]))[order] for a, b in ((self.begin, begin), (self.size, size), (self.at, known_at), (self.wide, wide)))
+        return self._with_whole(raw, at, out, rows, np.searchsorted(at, starts[mistaken], side="right") - 1)
+
+    def _mistaken(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray, known_at: np.ndarray, wide: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces whose bytes aren't those that they are taken for; these stand among the remembered bytes, or beyond them in this text."""
+        fits = wide == ends - starts
+        part = np.flatnonzero(fits)
+        size = wide[part]
+        until = np.cumsum(size)
+        step = np.arange(until[-1] if len(until) else 0)
+        shift = until - size
+        here = text if len(part) == len(starts) else text[np.repeat(starts[part] - shift, size) + step]
+        same = np.concatenate((self.bytes, text))[np.repeat(known_at[part] - shift, size) + step] == here
+        if same.all() and fits.all():
+            return np.zeros(0, np.int64)
+        return np.union1d(np.flatnonzero(~fits), part[np.searchsorted(until, np.flatnonzero(~same), side="right")])
+
+    def _with_whole(self, raw: bytes, at: np.ndarray, ids: np.ndarray, rows: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, with the texts `odd` and those that hold an added token's string encoded whole."""
+        odd = set(odd.tolist())
         for token in self.added:
             k = raw.find(token)
             while k >= 0:
@@ -142,6 +172,9 @@ class Encoder:
         """Ids of a text column's rows, some rows at a time; a null is an empty text."""
         data, offsets = buffers(column)
         for lo, hi in slices(offsets, CHUNK_BYTES):
+            if not self.plain:
+                yield self.whole([bytes(data[a:z]).decode() for a, z in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1], strict=True)])
+                continue
             ids, rows = self.encode(data, offsets[lo : hi + 1])
             yield np.split(ids, rows[1:-1])
 

@@ -3,7 +3,8 @@
 A file is a run of records, each: payload length (8 bytes, little-endian), masked checksum of these 8 bytes (4), the payload,
 masked checksum of the payload (4). The checksum is CRC-32, masked as rotate-right(crc, 15) + 0xA282EAD8 modulo 2**32, so that a
 checksum stored within checked data does no harm. A payload is: doc_id (8, signed), bytes per id (1), then the ids
-little-endian. `<file>.idx` holds each record's offset in the file (8 bytes each), for reads in any order.
+little-endian. `<file>.idx` holds for each record its offset in the file and the ids in the records before it (8 bytes each), for reads in any order
+and for reading a file in parts.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from methylspark.llm.store import written
 #: Added to a rotated checksum (fixed value of the record format).
 MASK_DELTA = 0xA282EAD8
 FILES = "file int, path string, docs bigint, tokens bigint, bytes bigint"
+#: Bytes of records that a task reads (about; a record is never split).
+PART_BYTES = 16 << 20
 #: Stored for a null doc_id.
 NULL_ID = -(1 << 63)
 
@@ -82,7 +85,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_i
                 for ids, doc in zip(found, names, strict=False):
                     ids = ids.tobytes() + end
                     record = frame(struct.pack("<qB", NULL_ID if doc is None else doc, encode.dtype.itemsize) + ids)
-                    offsets.append(at)
+                    offsets += (at, tokens)
                     at += len(record)
                     tokens += len(ids) // encode.dtype.itemsize
                     docs += 1
@@ -113,44 +116,59 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2)
     return files.withColumn("first_token", F.coalesce(before, F.lit(0)))
 
 
+def _index(fs, name: str, first: int, last: int) -> np.ndarray:
+    """Offsets and ids before them of the records first to last - 1, and where the last one ends."""
+    with fs.open_input_file(f"{name}.idx") as f:
+        whole = f.size() // 16
+        rows = np.frombuffer(f.read_at(16 * (min(last + 1, whole) - first), 16 * first), "<u8").reshape(-1, 2)
+    return rows if last < whole else np.concatenate((rows, [[fs.get_file_info(name).size, 0]])).astype(np.uint64)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of parts of files: path, first and last position, ids before the file."""
     for b in batches:
-        for content, start in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            data = content.as_buffer()
-            at, n = 0, start
-            while at < data.size:
-                docs, starts, ids, size = [], [], [], 0
-                while at < data.size and size < 1 << 22:
-                    payload, at = unframe(data, at)
-                    doc, found = parse(payload)
-                    docs.append(doc)
-                    starts.append(n)
-                    ids.append(found.astype("<u4").tobytes())
-                    n += len(found)
-                    size += len(payload)
-                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "start", "ids"])
+        for path, first, last, before in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            fs, name = _opened(path)
+            index = _index(fs, name, first, last).astype(np.int64)
+            with fs.open_input_file(name) as f:
+                lo = 0
+                while lo < last - first:
+                    # about 4 MB of records, at least one
+                    hi = max(lo + 1, int(np.searchsorted(index[:, 0], index[lo, 0] + (1 << 22), side="right")) - 1)
+                    data, at = f.read_at(index[hi, 0] - index[lo, 0], index[lo, 0]), 0
+                    docs, ids, n = [], [], before + int(index[lo, 1])
+                    starts = []
+                    for _ in range(lo, hi):
+                        payload, at = unframe(data, at)
+                        doc, found = parse(payload)
+                        docs.append(doc)
+                        starts.append(n)
+                        ids.append(found.astype("<u4").tobytes())
+                        n += len(found)
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "start", "ids"])
+                    lo = hi
 
 
 def read_records(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """All records of these files (rows of `write_records`), checksums tested: doc_id, start (ids of all documents before it), ids (little-endian uint32)."""
-    if not (paths := [r.path for r in files.select("path").collect()]):
-        return spark.createDataFrame([], "doc_id bigint, start bigint, ids binary")
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    content = spark.read.format("binaryFile").load(paths).select(name.alias("name"), "content")
-    starts = files.select(name.alias("name"), "first_token")
-    return content.join(F.broadcast(starts), "name").select("content", "first_token").mapInArrow(_read, "doc_id bigint, start bigint, ids binary")
+    """All records of these files (rows of `write_records`), checksums tested: doc_id, start (ids of all documents before it), ids (little-endian uint32).
+
+    Files are read in parts of about PART_BYTES, found by their indices, each by a task of its own.
+    """
+    parts = F.greatest(F.lit(1), F.least(F.col("docs"), F.ceil(F.col("bytes") / PART_BYTES)))
+    edge = lambda k: F.floor(F.col("docs") * k / F.col("parts")).cast("bigint")
+    dealt = files.withColumn("parts", parts).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    dealt = dealt.select("path", edge(F.col("part")).alias("first"), edge(F.col("part") + 1).alias("last"), "first_token").where("last > first")
+    n = files.agg(F.sum(parts).alias("n")).first().n or 1
+    return dealt.repartition(n).mapInArrow(_read, "doc_id bigint, start bigint, ids binary")
 
 
 def read_at(path: str, positions: list[int]) -> list[tuple[int | None, np.ndarray]]:
     """The records at these positions of one file, in the order asked for, by its offset index."""
     fs, name = _opened(path)
     out = []
-    with fs.open_input_file(f"{name}.idx") as f:
-        offsets = np.frombuffer(f.read(), "<u8")
     with fs.open_input_file(name) as f:
-        size = f.size()
         for p in positions:
-            lo, hi = int(offsets[p]), int(offsets[p + 1]) if p + 1 < len(offsets) else size
+            lo, hi = _index(fs, name, p, p + 1)[:, 0].tolist()
             payload, _ = unframe(f.read_at(hi - lo, lo), 0)
             out.append(parse(payload))
     return out

@@ -1,5 +1,6 @@
 """Packing and token records against the tokenizer itself."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -49,6 +50,25 @@ def test_encoder_is_the_tokenizer():
             assert ids == ids_of(text), text
 
 
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}])
+def test_encoder_of_another_kind(tmp_path, change):
+    """A file that lower-cases, puts a space before, or doesn't split."""
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(json.loads(TOKENIZER.to_str()) | change))
+    other, encode = Tokenizer.from_file(str(path)), encoding.Encoder(str(path))
+    texts = ["The THE the", "a b", None, "", *ODD[:12]]
+    got = [x.tolist() for block in encode.column(pa.array(texts)) for x in block]
+    assert got == [other.encode(t or "", add_special_tokens=False).ids for t in texts] and not encode.plain
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(encoding, "mix", lambda h: h % np.uint64(5))
+    monkeypatch.setattr(encoding, "CHUNK_BYTES", 40)
+    texts = ["one two three four five six seven", "eight nine ten", "one two", "zz two one", "a bb ccc dddd"] * 3
+    got = [x.tolist() for block in encoding.Encoder(PATH).column(pa.array(texts)) for x in block]
+    assert got == [ids_of(t) for t in texts]
+
+
 def test_encoder_forgets_nothing(monkeypatch):
     monkeypatch.setattr(encoding, "MEMORY_PIECES", 3)
     monkeypatch.setattr(encoding, "CHUNK_BYTES", 10)
@@ -137,7 +157,9 @@ def test_packing_query(spark, sf_dir):
         assert r.doc_tokens == len(ids) and r.ids_crc32 == crc(ids[r.start : r.start + r.length])
 
 
-def test_records_round_trip(spark, docs):
+@pytest.mark.parametrize("part", [1, 100, 16 << 20])
+def test_records_round_trip(spark, docs, part, monkeypatch):
+    monkeypatch.setattr(records, "PART_BYTES", part)
     files = records.write_records(docs[1], new_path(spark, "records"), PATH, 2)
     rows = records.read_records(spark, files).collect()
     ordered = sorted(docs[0], key=lambda d: (d[0] is not None, d[0] or 0, d[1] or ""))

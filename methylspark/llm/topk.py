@@ -3,7 +3,7 @@
 Vectors are sparse rows of integer weights, one term a component. Queries go in rounds of at most ROUND, each sent to the
 executors once; a round's bound is on rows, so what is sent does not grow with the table. A task inverts its candidates, a
 block at a time, into postings by term. Term after term, each query's weight times the postings is added to that query's dense
-array of scores; then a partition selection takes the block's best, and the blocks' best are merged.
+array of scores; then a partition selection takes the block's best, which are merged with the task's best so far. A task sends one best list a query, and these are merged.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 from methylspark.llm.store import written
 
 ROUND, BLOCK = 2048, 4096
+#: Weights beyond this count as this: it is the last up to which doubles hold all whole numbers.
+LARGEST = 2.0**53
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -34,7 +36,7 @@ def sparse(column: pa.Array, scale: int) -> tuple[np.ndarray, np.ndarray, np.nda
     starts = np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
     term = np.arange(len(flat)) - starts[row]
     keep = ~bad[row]
-    weight = np.floor(flat[keep] * scale).astype(np.int64)
+    weight = np.clip(np.floor(flat[keep] * scale), -LARGEST, LARGEST).astype(np.int64)
     row, term = (np.cumsum(~bad) - 1)[row[keep]], term[keep]
     full = weight != 0
     return np.flatnonzero(~bad), row[full], term[full], weight[full]
@@ -62,8 +64,30 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return row[first], col[first]
 
 
+class Best:
+    """Each query's `most` best candidates so far, the best first; empty places have the least score and the largest id."""
+
+    def __init__(self, queries: int, most: int):
+        self.scores = np.full((queries, most), np.iinfo(np.int64).min)
+        self.ids = np.full((queries, most), np.iinfo(np.int64).max)
+        self.filled = np.zeros(queries, np.int64)
+
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        """A block's scores, a row a query and a column an id."""
+        n, most = self.scores.shape
+        row, col = best(scores, ids, most)
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        found = Best(n, most)
+        found.scores[row, place], found.ids[row, place] = scores[row, col], ids[col]
+        both = np.concatenate((self.scores, found.scores), axis=1), np.concatenate((self.ids, found.ids), axis=1)
+        order = np.lexsort((both[1], ~both[0]), axis=1)[:, :most]  # ~ turns the order round without overflow
+        self.scores, self.ids = (np.take_along_axis(x, order, axis=1) for x in both)
+        self.filled = np.minimum(self.filled + np.bincount(row, minlength=n), most)
+
+
 def _scored(batches: Iterator[pa.RecordBatch], asked: tuple, k: int, scale: int) -> Iterator[pa.RecordBatch]:
     query_ids, queries = asked
+    held = Best(len(query_ids), k + 1)  # one more, for the query itself, which has one row
     for b in batches:
         for lo in range(0, b.num_rows, BLOCK):
             part = b.slice(lo, BLOCK)
@@ -73,17 +97,16 @@ def _scored(batches: Iterator[pa.RecordBatch], asked: tuple, k: int, scale: int)
             scores = np.zeros((len(query_ids), len(ids)), np.int64)
             for term, (of, weight) in queries.items():
                 if term in postings:
-                    held, values = postings[term]
-                    if len(held) == len(ids):
+                    at, values = postings[term]
+                    if len(at) == len(ids):
                         for q, w in zip(of, weight, strict=True):
                             scores[q] += w * values
                     else:
                         for q, w in zip(of, weight, strict=True):
-                            scores[q, held] += w * values
-            row, col = best(scores, ids, k + 1)  # one more, for the query itself, which has one row
-            other = query_ids[row] != ids[col]
-            row, col = row[other], col[other]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (query_ids[row], ids[col], scores[row, col])], names=["query_id", "vec_id", "score"])
+                            scores[q, at] += w * values
+            held.add(scores, ids)
+    row, col = np.nonzero((np.arange(k + 1) < held.filled[:, None]) & (held.ids != query_ids[:, None]))
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (query_ids[row], held.ids[row, col], held.scores[row, col])], names=["query_id", "vec_id", "score"])
 
 
 def single(rows: DataFrame) -> DataFrame:
@@ -101,7 +124,7 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024)
     A component x counts as floor(scale * x); the score is the integer inner product (a shorter vector's missing
     components are 0), ties go to the smaller vec_id. All are returned where fewer than k are there. Rows whose
     vec_id is null, whose vector is null or holds a null or non-finite component take no part; an empty vector scores 0 with all.
-    A repeated vec_id is asked and found once, by the first of its rows in the order of components. Further columns are ignored.
+    Scaled components beyond 2^53 count as that, and scores are numbers of 64 bits. A repeated vec_id is asked and found once, by the first of its rows in the order of components. Further columns are ignored.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")

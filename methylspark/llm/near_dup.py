@@ -28,7 +28,7 @@ from methylspark.llm.components import connected
 from methylspark.llm.store import discard, written
 from methylspark.llm.wordhash import buffers, mix, slices, word_hashes
 
-VALUES, DISTANCE, CHUNKS, BLOCK = 64, 27, 14, 256
+VALUES, DISTANCE, CHUNKS, BLOCK, SALTS = 64, 27, 14, 256, 32
 #: At similarity 0.8 a value differs with a probability of 0.2 (less a 65,536th of it); of 64 more than 27 do so about once in 100,000 pairs.
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 63, VALUES, dtype=np.uint64) | np.uint64(1)
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -236,7 +236,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     comps = groups.select("id").join(joined, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     members = written(starred.select(F.col("a").alias("center"), F.col("b").alias("id")).join(comps, "id"), "members")
     several = members.groupBy("center").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("center", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    placed = written(members.join(several, "center").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "placed")
+    # each such star is known under SALTS keys, so that no task has all members of a large one
+    salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    members_of = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["center", "salt"]).drop("salt")
+    placed = written(members_of.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks"))), "placed")
     pairs, blocks = _block_pairs(placed.join(signs, "id"), "id", "component", "signature")
     near = written(pairs.mapInArrow(_near, "center bigint, id bigint").distinct(), "near")
     wanted = _sets_of(near.select("id"), texts, size)

@@ -23,7 +23,7 @@ TRIMS = {"R1": (3, 2), "R2": (1, 0)}
 READS_ABOVE = 20
 BIAS = mbias.BiasConfig(r1_length=30, max_cycle=30)
 CUTOFF = mbias.CutoffConfig(r1_length=30, rate_tolerance=0.2, coverage_fraction=0.2, min_coverage=3, run=3)
-POSITIONS = [3, 6, 10]
+POSITIONS = dna.methylated_positions("3,6,10", barcodes.INSERT_LEFT)
 
 
 def query(name: str, twin: str) -> Callable[[Query], Query]:
@@ -124,7 +124,8 @@ def overlap_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("depth_cap", sql.query(sql.BASES, "SELECT ordinal, qpos, pos FROM (SELECT ordinal, qpos, rpos AS pos, row_number() OVER (PARTITION BY rname, rpos ORDER BY ordinal, qpos) AS k FROM bases) WHERE k <= 40"))
 def depth_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aligned.depth_capped(aligned.bases(tables(spark, sf_dir, "reads")[0], "ordinal", "rname"), 40).select("ordinal", "qpos", "pos")
+    reads = tables(spark, sf_dir, "reads")[0]
+    return aligned.depth_capped(aligned.bases(reads, "ordinal", "rname"), 40, reads).select("ordinal", "qpos", "pos")
 
 
 MBIAS = f"""mbias AS (SELECT CASE WHEN (flag & 64) > 0 THEN 'R1' ELSE 'R2' END AS read, CAST(CASE WHEN (flag & 64) > 0 THEN {BIAS.r1_length} - len ELSE 0 END + CASE WHEN (flag & 16) > 0 THEN len - qpos ELSE qpos + 1 END AS INTEGER) AS cycle,
@@ -175,15 +176,19 @@ def mbias_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
 CG = (sql.SITES, sql.BASES, sql.SPOTS, sql.cg_calls(Assay.TAPS, TRIMS, True, "cg"))
 
 
+#: Calls of spots with enough reads, as saturation takes them.
+GOOD = (*CG, sql.READS_PER_SPOT, f"good AS (SELECT spot_id FROM spot_reads WHERE reads > {READS_ABOVE} AND spot_id IN (SELECT spot_id FROM cg))", sql.HISTOGRAM)
+
+
 def histogram_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return saturation.depth_histogram(host_cg(spark, sf_dir))
+    return saturation.depth_histogram(host_cg(spark, sf_dir), reads_per_spot(spark, sf_dir), READS_ABOVE)
 
 
 def curve_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saturation.medians(saturation.expected_unique(histogram_of(spark, sf_dir)))
 
 
-@query("depth_histogram", sql.query(*CG, sql.HISTOGRAM, "SELECT * FROM histogram"))
+@query("depth_histogram", sql.query(*GOOD, "SELECT * FROM histogram"))
 def depth_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_of(spark, sf_dir)
 
@@ -193,22 +198,22 @@ def good_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saturation.good_spots(reads_per_spot(spark, sf_dir), host_cg(spark, sf_dir), READS_ABOVE)
 
 
-@query("expected_unique", sql.query(*CG, sql.HISTOGRAM, sql.EXPECTED, "SELECT spot_id, fraction, round_even(expected, 6) AS expected FROM expected"))
+@query("expected_unique", sql.query(*GOOD, sql.EXPECTED, "SELECT spot_id, fraction, round_even(expected, 6) AS expected FROM expected"))
 def expected_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saturation.expected_unique(histogram_of(spark, sf_dir)).withColumn("expected", F.bround("expected", 6))
 
 
-@query("saturation_medians", sql.query(*CG, sql.HISTOGRAM, sql.EXPECTED, sql.CURVE, "SELECT fraction, round_even(median, 6) AS median, round_even(greatest(0, median - q1), 6) AS low, round_even(greatest(0, q3 - median), 6) AS high FROM curve"))
+@query("saturation_medians", sql.query(*GOOD, sql.EXPECTED, sql.CURVE, "SELECT fraction, round_even(median, 6) AS median, round_even(greatest(0, median - q1), 6) AS low, round_even(greatest(0, q3 - median), 6) AS high FROM curve"))
 def saturation_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_of(spark, sf_dir).select("fraction", *(F.bround(c, 6).alias(c) for c in ("median", "low", "high")))
 
 
-@query("saturation_linear_fit", sql.query(*CG, sql.HISTOGRAM, sql.EXPECTED, sql.CURVE, sql.LINEAR, "SELECT round_even(slope, 6) AS slope, round_even(r2, 6) AS r2 FROM linear"))
+@query("saturation_linear_fit", sql.query(*GOOD, sql.EXPECTED, sql.CURVE, sql.LINEAR, "SELECT round_even(slope, 6) AS slope, round_even(r2, 6) AS r2 FROM linear"))
 def saturation_linear_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saturation.linear_fit(curve_of(spark, sf_dir)).select(F.bround("slope", 6).alias("slope"), F.bround("r2", 6).alias("r2"))
 
 
-@query("saturation_exp_fit", sql.query(*CG, sql.HISTOGRAM, sql.EXPECTED, sql.CURVE, sql.FIT, "SELECT round_even(maximum, 4) AS maximum, round_even(rate, 6) AS rate FROM fit3"))
+@query("saturation_exp_fit", sql.query(*GOOD, sql.EXPECTED, sql.CURVE, sql.FIT, "SELECT round_even(maximum, 4) AS maximum, round_even(rate, 6) AS rate FROM fit3"))
 def saturation_exp_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return saturation.saturation_fit(curve_of(spark, sf_dir)).select(F.bround("maximum", 4).alias("maximum"), F.bround("rate", 6).alias("rate"))
 
@@ -218,7 +223,7 @@ CAST(round_even(CASE WHEN r2 >= 0.99 THEN slope * 2 WHEN maximum > 0 THEN maximu
 CASE WHEN r2 >= 0.99 THEN 'linear' ELSE 'saturation' END AS extrapolation_model, (SELECT count(DISTINCT spot_id) FROM histogram) AS hq_spot_count FROM linear, fit3, (SELECT arg_max(median, fraction) AS observed FROM curve)"""
 
 
-@query("saturation_summary", sql.query(*CG, sql.HISTOGRAM, sql.EXPECTED, sql.CURVE, sql.LINEAR, sql.FIT, SUMMARY_SQL))
+@query("saturation_summary", sql.query(*GOOD, sql.EXPECTED, sql.CURVE, sql.LINEAR, sql.FIT, SUMMARY_SQL))
 def saturation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     histogram = histogram_of(spark, sf_dir)
     used = histogram.agg(F.count_distinct("spot_id").alias("n"))
@@ -235,7 +240,7 @@ def stats_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STATS = tuple(sql.stats("cg" if c == "CG" else "ch", f"stats_{c.lower()}", "true" if c == "CG" else f"context = '{c}'") for c in CONTEXTS)
 _SHOWN = ", ".join(f"{c.lower()}.mean AS {summary.names_of(c)[0]}, CAST({c.lower()}.sites AS DOUBLE) AS {summary.names_of(c)[1]}" for c in CONTEXTS)
-_KEYS = " UNION ".join(f"SELECT spot_id FROM {t}" for t in ("spot_reads", *(f"stats_{c.lower()}" for c in CONTEXTS)))
+_KEYS = " UNION ".join(f"SELECT spot_id FROM {t}" for t in ("manifest", "spot_reads", *(f"stats_{c.lower()}" for c in CONTEXTS)))
 
 
 @query("spot_context_stats", sql.query(*BOTH, *STATS, " UNION ALL ".join(f"SELECT '{c}' AS context, * FROM stats_{c.lower()}" for c in CONTEXTS)))
@@ -292,33 +297,44 @@ def barcode_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barcodes.nearest(seen, whitelist).withColumn("distance", F.coalesce("distance", F.lit(-1)))
 
 
-@query("extract_rejections", sql.query(sql.PLACED, sql.NEAREST, sql.REJECTED, "SELECT ordinal, barcode1, barcode2, array_to_string(reasons, ',') AS reasons, coalesce(insert_at + 34, -1) AS insert_start, CASE WHEN len(reasons) = 0 THEN concat('@', barcode1, '+', barcode2, ':', substr(h1, 2)) END AS header FROM judged"))
-def extract_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+REJECTIONS_SQL = "SELECT ordinal, barcode1, barcode2, array_to_string(reasons, ',') AS reasons, coalesce(insert_at + 34, -1) AS insert_start, CASE WHEN len(reasons) = 0 THEN concat('@', barcode1, '+', barcode2, ':', substr(h1, 2)) END AS header FROM judged"
+
+
+def rejected(spark: SparkSession, sf_dir: str, assay: Assay = Assay.TAPS) -> DataFrame:
     pairs, whitelist = tables(spark, sf_dir, "pairs", "whitelist")
-    found = barcodes.rejections(pairs, whitelist, barcodes.Layout())
+    return barcodes.rejections(pairs, whitelist, barcodes.Layout(assay))
+
+
+def rejections_of(spark: SparkSession, sf_dir: str, assay: Assay) -> DataFrame:
     header = F.when(F.size("reasons") == 0, dna.annotated_header(F.col("h1"), F.col("barcode1"), F.col("barcode2")))
-    return found.select("ordinal", "barcode1", "barcode2", F.concat_ws(",", "reasons").alias("reasons"), F.coalesce("insert_start", F.lit(-1)).alias("insert_start"), header.alias("header"))
+    return rejected(spark, sf_dir, assay).select("ordinal", "barcode1", "barcode2", F.concat_ws(",", "reasons").alias("reasons"), F.coalesce("insert_start", F.lit(-1)).alias("insert_start"), header.alias("header"))
+
+
+for _assay in Assay:
+    _name = "extract_rejections" if _assay == Assay.TAPS else f"extract_rejections_{_assay.value.replace('-', '_')}"
+    query(_name, sql.query(sql.placed_sql(_assay), sql.nearest_sql(_assay in barcodes.CONVERTED), sql.REJECTED, REJECTIONS_SQL))(lambda spark, d, a=_assay: rejections_of(spark, d, a))
 
 
 @query("extract_reject_counts", sql.query(sql.PLACED, sql.NEAREST, sql.REJECTED, "SELECT count(*) AS total_reads, count(*) FILTER (len(reasons) = 0) AS kept_reads, " + ", ".join(f"count(*) FILTER (list_contains(reasons, '{r}')) AS {r}" for r in barcodes.REASONS) + " FROM judged"))
 def extract_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, whitelist = tables(spark, sf_dir, "pairs", "whitelist")
-    return barcodes.reject_counts(barcodes.rejections(pairs, whitelist, barcodes.Layout()))
+    return barcodes.reject_counts(rejected(spark, sf_dir))
 
 
-INSERTS = "seen AS (SELECT ordinal, substr(whole, 111, 30) AS insert FROM made)"
+#: The insert-left that taps-v2 found in kept pairs, and its places of C.
+INSERTS = (sql.placed_sql(Assay.TAPS_V2), sql.NEAREST, sql.REJECTED, "seen AS (SELECT ordinal, substr(s1, CAST(insert_at AS INTEGER) + 1, 34) AS insert FROM judged WHERE len(reasons) = 0)")
+C_PLACES = dna.c_positions(barcodes.INSERT_LEFT)
 
 
 def inserts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables(spark, sf_dir, "made")[0].select("ordinal", F.substr("whole", F.lit(111), F.lit(30)).alias("insert"))
+    return barcodes.found_inserts(rejected(spark, sf_dir, Assay.TAPS_V2), barcodes.Layout(Assay.TAPS_V2))
 
 
-@query("insert_conversion_by_position", sql.query(INSERTS, "scored AS (SELECT ordinal, unnest([3, 6, 10]) AS position, insert FROM seen)", "letters AS (SELECT position, coalesce(nullif(substr(insert, position + 1, 1), ''), '.') AS b FROM scored)", "SELECT position, count(*) FILTER (b = 'T') AS t_count, count(*) FILTER (b = 'C') AS c_count, count(*) FILTER (b NOT IN ('T', 'C')) AS other_count FROM letters GROUP BY position"))
+@query("insert_conversion_by_position", sql.query(*INSERTS, f"letters AS (SELECT position, substr(insert, CAST(position AS INTEGER) + 1, 1) AS b FROM (SELECT insert, unnest({C_PLACES}) AS position FROM seen))", "SELECT position, count(*) FILTER (b = 'T') AS t_count, count(*) FILTER (b = 'C') AS c_count, count(*) FILTER (b NOT IN ('T', 'C')) AS other_count FROM letters GROUP BY position"))
 def insert_conversion_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return barcodes.insert_conversion(inserts_of(spark, sf_dir), POSITIONS)[0]
+    return barcodes.insert_conversion(inserts_of(spark, sf_dir), C_PLACES)[0]
 
 
-@query("insert_conversion_qc", sql.query(INSERTS, "letters AS (SELECT ordinal, concat(substr(insert, 4, 1), substr(insert, 7, 1), substr(insert, 11, 1)) AS s FROM seen)", "numbers AS (SELECT ordinal, s, length(replace(replace(replace(s, 'A', ''), 'G', ''), 'C', '')) AS t, length(replace(replace(replace(s, 'A', ''), 'G', ''), 'T', '')) AS c FROM letters)", "SELECT count(*) AS reads, count(*) FILTER (t + c > 0) AS informative, round_even(avg(CASE WHEN t + c > 0 THEN t / (t + c) END), 6) AS mean_rate, count(*) FILTER (s = 'TTT') AS fully_converted FROM numbers"))
+@query("insert_conversion_qc", sql.query(*INSERTS, "letters AS (SELECT ordinal, concat(substr(insert, 4, 1), substr(insert, 7, 1), substr(insert, 11, 1)) AS s FROM seen)", "numbers AS (SELECT ordinal, s, length(replace(replace(replace(s, 'A', ''), 'G', ''), 'C', '')) AS t, length(replace(replace(replace(s, 'A', ''), 'G', ''), 'T', '')) AS c FROM letters)", "SELECT count(*) AS reads, count(*) FILTER (t + c > 0) AS informative, round_even(avg(CASE WHEN t + c > 0 THEN t / (t + c) END), 6) AS mean_rate, count(*) FILTER (s = 'TTT') AS fully_converted FROM numbers"))
 def insert_conversion_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barcodes.insert_conversion(inserts_of(spark, sf_dir), POSITIONS)[1]
 

@@ -40,12 +40,35 @@ def exact_positions(text: Column, pattern: Column | str, start: Column | int, en
     return F.when(last >= start, at).otherwise(F.array().cast("array<int>"))
 
 
-def unique_position(text: Column, pattern: str, start: Column | int, end: Column | int) -> Column:
-    """Where a pattern stands in text[start:end], if that is one place (0-based in the text); else null."""
-    start, end = (F.lit(x) if isinstance(x, int) else x for x in (start, end))
-    window = F.substr(text, start + 1, F.greatest(end - start, F.lit(0)))
-    first = F.instr(window, pattern)
-    return F.when((first > 0) & (F.instr(F.substr(window, first + 1), pattern) == 0), start + first - 1)
+def parts_of(pattern: str, count: int) -> list[tuple[int, str]]:
+    """A pattern in `count` parts of about one length, with the place of each."""
+    cut = [len(pattern) * k // count for k in range(count + 1)]
+    return [(a, pattern[a:z]) for a, z in zip(cut, cut[1:], strict=False) if z > a]
+
+
+def edited_pattern(pattern: str, edits: int) -> str:
+    """A regular expression of all texts that so many edits make of a pattern; of those that begin at one place it finds the longest first."""
+    if edits == 0:
+        return pattern
+    out = ""
+    for k in reversed(range(len(pattern))):
+        rest = pattern[k + 1 :]
+        put_in, other, left_out = edited_pattern(pattern[k:], edits - 1), edited_pattern(rest, edits - 1), edited_pattern(rest, edits - 1)
+        out = f"(?:{pattern[k]}{out}|.{put_in}|.{other}|{left_out})" if out else f"(?:.{put_in}|.{other}|{left_out})"
+    return out
+
+
+def near_position(window: Column, pattern: str, most: int) -> Column:
+    """Where a pattern stands in a text: exactly and at one place; or nowhere exactly, but with the fewest edits that any match needs, at most `most`, and no other such match
+    behind the first one's end. Null otherwise. Regular expressions find matches, so that rows stay in the JVM; they grow fast with `most`, which is 1 or 2 in use."""
+    exact = F.instr(window, pattern)
+    out = F.when(exact > 0, F.when(F.instr(F.substr(window, exact + 1), pattern) == 0, exact - 1))
+    for edits in range(1, most + 1):
+        regex = F.lit(edited_pattern(pattern, edits))
+        found = F.regexp_substr(window, regex)
+        at = F.instr(window, found)
+        out = out.when(found.isNotNull(), F.when(F.regexp_instr(F.substr(window, at + F.length(found)), regex) == 0, at - 1))
+    return out
 
 
 def only(found: Column) -> Column:
@@ -60,14 +83,47 @@ def c_t_mismatches(observed: Column, expected: Column) -> Column:
     return F.when((F.length(observed) == F.length(expected)) & ~bad, F.aggregate(costs, F.lit(0), lambda n, c: n + c))
 
 
-def c_t_position(text: Column, pattern: str, most: int) -> Column:
-    """Where a C/T-aware pattern stands with the fewest mismatches, at most `most`; null where that is not one place."""
+def c_t_pattern(pattern: str) -> str:
+    """A regular expression in which a C may also be read as T."""
+    return pattern.upper().replace("C", "[CT]")
+
+
+def c_t_position(window: Column, pattern: str, most: int) -> Column:
+    """Where a C/T-aware pattern stands in a text with the fewest mismatches, at most `most`; null where that is not one place.
+
+    Exact places are found by a regular expression. Without one, places are compared at which one of most + 1 parts of the pattern stands unchanged.
+    """
     n = len(pattern)
-    starts = F.when(F.length(text) >= n, F.sequence(F.lit(0), F.length(text) - n)).otherwise(F.array().cast("array<int>"))
-    scored = F.transform(starts, lambda i: F.struct(c_t_mismatches(F.substr(text, i + 1, F.lit(n)), F.lit(pattern)).alias("cost"), i.alias("at")))
-    good = F.filter(scored, lambda s: s["cost"] <= most)
-    least = F.array_min(F.transform(good, lambda s: s["cost"]))
-    return only(F.transform(F.filter(good, lambda s: s["cost"] == least), lambda s: s["at"]))
+    regex = F.lit(c_t_pattern(pattern))
+    first = F.regexp_instr(window, regex)
+    exact = F.when(F.regexp_instr(F.substr(window, first + 1), regex) == 0, first - 1)
+    if most <= 0:
+        return F.when(first > 0, exact)
+    whole = "|".join(f"^.{{{place}}}{c_t_pattern(part)}" for place, part in parts_of(pattern, most + 1))
+    starts = F.when(F.length(window) >= n, F.sequence(F.lit(0), F.length(window) - n)).otherwise(F.array().cast("array<int>"))
+    likely = F.filter(starts, lambda i: F.substr(window, i + 1, F.lit(n)).rlike(whole))
+    scored = F.transform(likely, lambda i: F.struct(c_t_mismatches(F.substr(window, i + 1, F.lit(n)), F.lit(pattern)).alias("cost"), i.alias("at")))
+    best = F.slice(F.array_sort(F.filter(scored, lambda s: s["cost"] <= most)), F.lit(1), F.lit(2))
+    # of the two best the first, if it is better
+    near = F.aggregate(best, F.lit(None).cast("struct<cost:int,at:int>"), lambda one, s: F.when(one.isNull(), s).when(one["cost"] < s["cost"], one).otherwise(F.struct(one["cost"].alias("cost"), F.lit(-1).alias("at"))), lambda one: F.when(one["at"] >= 0, one["at"]))
+    return F.when(first > 0, exact).otherwise(near)
+
+
+def c_positions(pattern: str) -> list[int]:
+    return [k for k, base in enumerate(pattern.upper()) if base == "C"]
+
+
+def methylated_positions(text: str, pattern: str) -> list[int]:
+    """The 0-based places that a list such as "3,6,10" names, each once; they must lie in the pattern and hold a C, and there must be one at least."""
+    out: list[int] = []
+    for token in filter(None, (t.strip() for t in text.split(","))):
+        if not token.lstrip("+-").isdigit() or not 0 <= int(token) < len(pattern) or pattern[int(token)] != "C":
+            raise ValueError(f"{token!r} is not the place of a C in {pattern}")
+        if int(token) not in out:
+            out.append(int(token))
+    if not out:
+        raise ValueError("no methylated place is named")
+    return out
 
 
 def annotated_header(header: Column, first: Column, second: Column) -> Column:

@@ -52,10 +52,24 @@ def overlaps_resolved(aligned: DataFrame, name: str = "qname", contig: str = "rn
     return aligned.withColumn("qual", F.when((F.col(name) != "*") & (F.count("*").over(both) == 2), F.when(first, kept).otherwise(0)).otherwise(F.col("qual")).cast("int"))
 
 
-def depth_capped(aligned: DataFrame, most: int, contig: str = "rname") -> DataFrame:
-    """At most so many bases of each reference position, the first in order of their records' ordinals. Counts by position and more need no further shuffle."""
+#: Reference positions that depth is bounded for together.
+DEPTH_BIN = 1024
+
+
+def deep_bins(records: DataFrame, most: int) -> DataFrame:
+    """(contig, bin) of DEPTH_BIN positions that more than `most` records reach. No position of any other bin is covered more often. Records, not bases, are counted, and partly before the shuffle."""
+    longest = F.aggregate(F.regexp_extract_all("cigar", F.lit(r"(\d+)"), F.lit(1)), F.lit(0), lambda n, x: n + x.cast("int"))
+    bins = F.sequence(F.floor(F.col("pos") / DEPTH_BIN), F.floor((F.col("pos") + longest) / DEPTH_BIN))
+    return records.select(F.col("rname").alias("contig"), F.explode(bins).alias("bin")).groupBy("contig", "bin").agg(F.count("*").alias("n")).where(F.col("n") > most).select("contig", "bin")
+
+
+def depth_capped(aligned: DataFrame, most: int, records: DataFrame, contig: str = "rname") -> DataFrame:
+    """At most so many bases of each reference position, the first in order of their records' ordinals. Only bases in bins that enough of the records reach are ranked, as a rule none: the others aren't moved."""
+    deep = deep_bins(records, most)
+    here = [F.col(contig) == F.col("contig"), F.floor(F.col("pos") / DEPTH_BIN) == F.col("bin")]
     rank = F.row_number().over(Window.partitionBy(contig, "pos").orderBy("ordinal", "qpos"))
-    return aligned.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+    ranked = aligned.join(deep, here, "left_semi").withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+    return aligned.join(deep, here, "left_anti").unionByName(ranked)
 
 
 def reference_sites(blocks: DataFrame) -> DataFrame:

@@ -2,27 +2,46 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from methylspark.functions import dna
+from methylspark.functions.chemistry import Assay
 
 #: The construct's fixed parts (fixed values).
 LINKER = "ATCCACGTGCTTGAGAGGCCAGAGCATTCG"
 INSERT_LEFT = "CATCGGCGTACGACTAGATGTGTATAAGAGACAG"
 ALPHABET = "ACGTN"
+#: Assays whose unmethylated C are read as T, in barcodes and linkers too.
+CONVERTED = (Assay.EMSEQ, Assay.CABERNET)
+
+
+#: Variants of a whitelist that are sent to every task, at most; more are joined by a shuffle.
+SENT_VARIANTS = 2_000_000
 
 
 @dataclass(frozen=True)
 class Layout:
-    """[barcode2][linker][barcode1][insert-left][insert]"""
+    """[barcode2][linker][barcode1][insert-left][insert], and how far each part may be off.
+
+    The linker is looked for in the first bases, up to `slack` beyond its place. Taps reads have the insert-left found by its last `seed` bases, within `span` bases of
+    where they belong; both are found within `linker_edits` edits. Other assays have the insert-left found C/T-aware within `insert_mismatches`, and where the assay converts
+    unmethylated bases the linker too, and barcodes are compared with C read as T.
+    """
 
+    assay: Assay = Assay.TAPS
     linker: str = LINKER
     insert_left: str = INSERT_LEFT
     barcode: int = 8
     slack: int = 62
+    seed: int = 15
+    span: int = 40
+    linker_edits: int = 1
+    insert_mismatches: int = 1
+    barcode_distance: int = 1
 
     @property
     def shortest(self) -> int:
@@ -35,42 +54,71 @@ def neighbours(seq: Column) -> Column:
     return F.array_distinct(F.concat(F.array(seq), changed))
 
 
-def nearest(observed: DataFrame, whitelist: DataFrame, column: str = "observed") -> DataFrame:
-    """(observed, barcode, distance) of distinct observed barcodes: itself where the whitelist has it, else the only one at distance 1, else null.
+def corrections(whitelist: DataFrame, most: int = 1, converted: bool = False) -> DataFrame:
+    """(observed, barcode, distance) for every text within `most` places of a barcode that one barcode alone is nearest to; a barcode is itself. With `converted` C is read as T in barcodes."""
+    seq = dna.converted(F.upper("seq")) if converted else F.upper("seq")
+    # of equal barcodes, as conversion may make them, one stands for all
+    near = whitelist.select(seq.alias("barcode")).distinct().select(F.col("barcode").alias("observed"), "barcode", F.lit(0).alias("distance"))
+    for d in range(1, most + 1):
+        wider = near.select(F.explode(neighbours(F.col("observed"))).alias("observed"), "barcode").withColumn("distance", F.lit(d))
+        near = near.unionByName(wider).groupBy("observed", "barcode").agg(F.min("distance").alias("distance"))
+    found = near.groupBy("observed").agg(F.array_sort(F.collect_list(F.struct("distance", "barcode"))).alias("all"))
+    first, second = F.get("all", F.lit(0)), F.get("all", F.lit(1))
+    alone = (first["distance"] == 0) | second.isNull() | (first["distance"] < second["distance"])
+    return found.where(alone).select("observed", first["barcode"].alias("barcode"), first["distance"].alias("distance"))
+
+
+def known(whitelist: DataFrame, layout: Layout) -> DataFrame:
+    """`corrections` for a layout, sent to all tasks where the whitelist's size bounds them."""
+    found = corrections(whitelist, layout.barcode_distance, layout.assay in CONVERTED)
+    each = sum(math.comb(layout.barcode, d) * (len(ALPHABET) - 1) ** d for d in range(layout.barcode_distance + 1))
+    return F.broadcast(found) if whitelist.count() * each <= SENT_VARIANTS else found
 
-    The whitelist's one-place variants are joined by equality, so no observed barcode is compared with all.
+
+def nearest(observed: DataFrame, whitelist: DataFrame, column: str = "observed", most: int = 1) -> DataFrame:
+    """(observed, barcode, distance) of distinct observed barcodes: itself where the whitelist has it, else the only nearest one within `most` places, else null.
+
+    The whitelist's variants are joined by equality, so no observed barcode is compared with all.
     """
     seen = observed.select(column).where(F.col(column).isNotNull()).distinct()
-    variants = whitelist.select(F.col("seq").alias("barcode"), F.explode(neighbours(F.col("seq"))).alias(column)).withColumn("distance", (F.col("barcode") != F.col(column)).cast("int"))
-    best = variants.groupBy(column).agg(F.min("distance").alias("distance"), F.min_by("barcode", "distance").alias("barcode"), F.count_if(F.col("distance") == 1).alias("ones"))
-    kept = best.where((F.col("distance") == 0) | (F.col("ones") == 1)).select(column, "barcode", "distance")
-    return seen.join(kept, column, "left")
+    return seen.join(known(whitelist, Layout(barcode_distance=most)).withColumnRenamed("observed", column), column, "left")
 
 
 def placed(pairs: DataFrame, layout: Layout, column: str = "s1") -> DataFrame:
-    """Pairs with the places of linker and insert-left (exact and unique within their windows) and both observed barcodes."""
-    seq = F.upper(F.col(column))
-    linker = dna.unique_position(seq, layout.linker, layout.barcode, F.least(F.length(seq), F.lit(layout.barcode + layout.slack)))
-    after = F.col("linker_at") + len(layout.linker)
-    insert = dna.unique_position(seq, layout.insert_left, after + layout.barcode, F.length(seq))
-    out = pairs.withColumn("linker_at", linker).withColumn("insert_at", F.when(F.col("linker_at").isNotNull(), insert))
-    second = F.when(F.col("linker_at") >= layout.barcode, F.substr(seq, F.col("linker_at") - layout.barcode + 1, F.lit(layout.barcode)))
-    first = F.when(after + layout.barcode <= F.length(seq), F.substr(seq, after + 1, F.lit(layout.barcode)))
-    return out.withColumns({"observed2": second, "observed1": first})
-
-
-def rejections(pairs: DataFrame, whitelist: DataFrame, layout: Layout, column: str = "s1", quality: str = "q1") -> DataFrame:
-    """`placed` pairs with barcode1, barcode2, reasons (empty: kept) and insert_start, where the insert begins."""
+    """Pairs with the places of linker and insert-left and both observed barcodes."""
+    n, size, m = len(layout.linker), layout.barcode, len(layout.insert_left)
+    seq, window = F.col("_seq"), F.col("_window")
+    # each step is a column of its own, so that none is computed again within the next
+    out = pairs.withColumn("_seq", F.upper(column)).withColumn("_window", F.left("_seq", F.lit(size + n + layout.slack)))
+    out = out.withColumn("linker_at", dna.c_t_position(window, layout.linker, layout.linker_edits) if layout.assay in CONVERTED else dna.near_position(window, layout.linker, layout.linker_edits))
+    after = F.col("linker_at") + n + size
+    out = out.withColumn("_after", F.when((F.col("linker_at") >= size) & (after <= F.length(seq)), after))
+    if layout.assay == Assay.TAPS:
+        seed = layout.insert_left[-layout.seed :]
+        out = out.withColumn("_window", F.substr(seq, F.col("_after") + (m - len(seed)) + 1, F.lit(layout.span)))
+        out = out.withColumn("_at", dna.near_position(window, seed, layout.linker_edits))
+    else:
+        out = out.withColumn("_window", F.substr(seq, F.col("_after") + 1, F.lit(m + layout.span)))
+        out = out.withColumn("_at", dna.c_t_position(window, layout.insert_left, layout.insert_mismatches))
+    at = F.col("_after") + F.col("_at")
+    out = out.withColumn("insert_at", F.when(at + m <= F.length(seq), at))
+    return out.withColumns({"observed2": F.substr(seq, F.col("_after") - (n + 2 * size) + 1, F.lit(size)), "observed1": F.substr(seq, F.col("_after") - size + 1, F.lit(size))}).drop("_seq", "_window", "_after", "_at")
+
+
+def rejections(pairs: DataFrame, whitelist: DataFrame, layout: Layout, column: str = "s1", quality: str = "q1", second: DataFrame | None = None) -> DataFrame:
+    """`placed` pairs with barcode1, barcode2, reasons (empty: kept) and insert_start, where the insert begins. Barcodes of the second place may have a whitelist of their own.
+
+    Both barcodes are looked up in tables that every task has, so pairs aren't shuffled.
+    """
     found = placed(pairs, layout, column)
-    for k in ("1", "2"):
-        near = nearest(found, whitelist, f"observed{k}").select(F.col(f"observed{k}"), F.col("barcode").alias(f"barcode{k}"))
-        found = found.join(near, f"observed{k}", "left")
+    for k, names in (("1", whitelist), ("2", whitelist if second is None else second)):
+        table = known(names, layout).select(F.col("observed").alias(f"observed{k}"), F.col("barcode").alias(f"barcode{k}"))
+        found = found.join(table, f"observed{k}", "left")
     short = (F.length(column) < layout.shortest) | (F.length(quality) < layout.shortest)
-    no_barcode = F.col("observed1").isNull() | F.col("observed2").isNull()
     reasons = (
         F.when(short, F.array(F.lit("short_r1")))
         .when(F.col("linker_at").isNull(), F.array(F.lit("structure_mismatch"), F.lit("linker2_not_found")))
-        .when(no_barcode, F.array(F.lit("structure_mismatch")))
+        .when(F.col("observed1").isNull(), F.array(F.lit("structure_mismatch")))
         .when(F.col("insert_at").isNull(), F.array(F.lit("structure_mismatch"), F.lit("tn5_not_found")))
         .when(F.col("barcode1").isNull(), F.array(F.lit("barcode1_not_in_whitelist")))
         .when(F.col("barcode2").isNull(), F.array(F.lit("barcode2_not_in_whitelist")))
@@ -79,6 +127,11 @@ def rejections(pairs: DataFrame, whitelist: DataFrame, layout: Layout, column: s
     return found.withColumns({"reasons": reasons, "insert_start": F.col("insert_at") + len(layout.insert_left)})
 
 
+def found_inserts(kept: DataFrame, layout: Layout, column: str = "s1") -> DataFrame:
+    """Kept pairs of `rejections` with `insert`, the bases that were taken for the insert-left."""
+    return kept.where(F.size("reasons") == 0).withColumn("insert", F.substr(F.upper(column), F.col("insert_at") + 1, F.lit(len(layout.insert_left))))
+
+
 REASONS = ("short_r1", "structure_mismatch", "linker2_not_found", "tn5_not_found", "barcode1_not_in_whitelist", "barcode2_not_in_whitelist")
 
 

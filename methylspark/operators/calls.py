@@ -72,19 +72,21 @@ def _counted(found: DataFrame, keys: list[str], methylated: Column) -> DataFrame
 def call_cg(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = ()) -> DataFrame:
     """CpG counts by `by` (columns of the records), contig and position of the forward C: meth, unmeth, pct."""
     sites = reference_sites(blocks).where("context = 'CG'").select(F.col("contig").alias("rname"), "pos")
-    placed = bases(callable_records(records, config), *by, *_named(records), "ordinal", "flag", "rname")
+    records = callable_records(records, config)
+    placed = bases(records, *by, *_named(records), "ordinal", "flag", "rname")
     placed = _good(placed.join(sites, ["rname", "pos"]), config, "base", by)
     cut = [chemistry.trimmed(F.col("flag"), F.col("qpos") + k, F.col("length"), config.trims) for k in (0, 1)]
-    kept = depth_capped(placed, config.max_depth).where(F.col("next_base").isNotNull() & ~cut[0] & ~cut[1])
+    kept = depth_capped(placed, config.max_depth, records).where(F.col("next_base").isNotNull() & ~cut[0] & ~cut[1])
     return _counted(kept, [*by, "rname", "pos"], chemistry.cg_methylated(F.concat("base", "next_base"), config.assay))
 
 
 def call_ch(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = ()) -> DataFrame:
     """CH counts by `by`, contig, position, context and strand. On the plus strand the base sequenced next must be the context's second."""
     sites = reference_sites(blocks).where("context <> 'CG'").select(F.col("contig").alias("rname"), "pos", "context", "strand")
-    placed = as_sequenced(callable_records(records, config), *by, *_named(records), "ordinal", "rname")
+    records = callable_records(records, config)
+    placed = as_sequenced(records, *by, *_named(records), "ordinal", "rname")
     placed = _good(placed.join(sites, ["rname", "pos"]), config, "placed_base", by)
     cut = chemistry.trimmed(F.col("flag"), F.col("qpos"), F.col("length"), config.trims)
     follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
-    kept = depth_capped(placed, config.max_depth).where(~cut & follows)
+    kept = depth_capped(placed, config.max_depth, records).where(~cut & follows)
     return _counted(kept, [*by, "rname", "pos", "context", "strand"], chemistry.ch_methylated(F.col("base"), F.col("strand"), config.assay))

@@ -13,9 +13,11 @@ FRACTIONS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
 GRID, REFINED = (-4.0, 2.0, 800), (0.7, 240, 3)
 
 
-def depth_histogram(calls: DataFrame) -> DataFrame:
-    """(spot_id, depth, sites) of called CpGs that have depth."""
+def depth_histogram(calls: DataFrame, reads: DataFrame | None = None, above: int = 0) -> DataFrame:
+    """(spot_id, depth, sites) of called CpGs that have depth; with `reads` (spot_id, reads) of spots with more than `above` alone."""
     depth = F.col("meth") + F.col("unmeth")
+    if reads is not None:
+        calls = calls.join(reads.where(F.col("reads") > above), "spot_id", "left_semi")
     return calls.where(depth > 0).groupBy("spot_id", depth.alias("depth")).agg(F.count("*").alias("sites"))
 
 

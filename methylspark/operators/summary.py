@@ -52,10 +52,10 @@ def names_of(context: str) -> tuple[str, str]:
 
 
 def per_spot(manifest: DataFrame, reads: DataFrame, stats: DataFrame, contexts: tuple[str, ...]) -> DataFrame:
-    """A row for each spot that has reads or a call: X_index, Y_index, spot, each context's columns, reads. `stats` has a row for each spot and context."""
+    """A row for each spot of the manifest, and any other that has reads or a call: X_index, Y_index, spot, each context's columns, reads. `stats` has a row for each spot and context."""
     wide = stats.groupBy("spot_id").pivot("context", list(contexts)).agg(F.first("mean").alias("mean"), F.first("sites").alias("sites"))
     shown = [F.col(f"{c}_{k}").alias(name) for c in contexts for k, name in zip(("mean", "sites"), names_of(c), strict=True)]
-    rows = wide.join(reads, "spot_id", "full").join(manifest.select("spot_id", "x", "y"), "spot_id", "left")
+    rows = wide.join(reads, "spot_id", "full").join(manifest.select("spot_id", "x", "y"), "spot_id", "full")
     return rows.select(F.col("x").alias("X_index"), F.col("y").alias("Y_index"), F.col("spot_id").alias("spot"), *shown, F.coalesce("reads", F.lit(0)).alias("reads"))
 
 

@@ -25,6 +25,11 @@ bases AS (SELECT *, 25 AS len, CAST(pos + CASE cigar WHEN '5S20M' THEN qpos - 5
   CASE WHEN (flag & 16) = 0 THEN nullif(substr(seq, qpos + 2, 1), '') WHEN qpos > 0 THEN translate(substr(seq, qpos, 1), 'ACGT', 'TGCA') END AS fwd_next
   FROM offsets WHERE NOT (cigar = '5S20M' AND qpos < 5) AND NOT (cigar = '12M3I10M' AND qpos BETWEEN 12 AND 14))
 """
+#: Bases of callable records, with what both mates of a pair cover counted once: of two, the better (the earlier, if equal) has the sum of both qualities where they agree and four fifths of its own where not, and the other none.
+BASES += f""",
+resolved AS (SELECT * REPLACE (CAST(CASE WHEN n <> 2 THEN q WHEN k > 1 THEN 0 WHEN lo = hi THEN least(total, 200) ELSE floor(q * 0.8::DOUBLE) END AS INTEGER) AS q) FROM (SELECT *, count(*) OVER w AS n, row_number() OVER (w ORDER BY q DESC, ordinal) AS k, min(base) OVER w AS lo, max(base) OVER w AS hi, sum(q) OVER w AS total
+  FROM bases WHERE {PAIRED} AND mapq >= 10 WINDOW w AS (PARTITION BY qname, rname, rpos)))
+"""
 SPOTS = """
 manifest AS (SELECT concat(a.barcode_index, '_', b.barcode_index) AS spot_id, a.ord AS x, b.ord AS y, a.barcode_index AS barcode1_index, b.barcode_index AS barcode2_index,
   a.seq AS barcode1, b.seq AS barcode2, concat(a.seq, '+', b.seq) AS raw_cb FROM whitelist a CROSS JOIN whitelist b),
@@ -44,8 +49,8 @@ def cg_calls(assay: Assay, trims: dict, by_spot: bool, name: str) -> str:
     meth, unmeth = ("('TG', 'CA')", "('CG')") if assay.converts_methylated else ("('CG')", "('TG', 'CA')")
     key, join, where = ("spot_id, ", "JOIN spots s ON s.cb = upper(bases.cb)", "") if by_spot else ("", "", "")
     return f"""
-{name}_pairs AS (SELECT {key}rname, rpos AS pos, concat(base, next_base) AS pair FROM bases JOIN sites ON sites.contig = rname AND sites.pos = rpos AND context = 'CG' {join}
-  WHERE {PAIRED} AND mapq >= 10 AND q >= 30 AND next_base IS NOT NULL AND NOT {trimmed("qpos", trims)} AND NOT {trimmed("qpos + 1", trims)} {where}),
+{name}_pairs AS (SELECT {key}rname, rpos AS pos, concat(base, next_base) AS pair FROM resolved bases JOIN sites ON sites.contig = rname AND sites.pos = rpos AND context = 'CG' {join}
+  WHERE q >= 30 AND next_base IS NOT NULL AND NOT {trimmed("qpos", trims)} AND NOT {trimmed("qpos + 1", trims)} {where}),
 {name} AS (SELECT {key}rname, pos, count(*) FILTER (pair IN {meth}) AS meth, count(*) FILTER (pair IN {unmeth}) AS unmeth,
   round_even(count(*) FILTER (pair IN {meth}) / count(*) * 100, 2) AS pct FROM {name}_pairs WHERE pair IN ('TG', 'CA', 'CG') GROUP BY ALL)"""
 
@@ -55,8 +60,8 @@ def ch_calls(assay: Assay, trims: dict, by_spot: bool, name: str) -> str:
     meth = f"NOT {kept}" if assay.converts_methylated else kept
     key, join = ("spot_id, ", "JOIN spots s ON s.cb = upper(bases.cb)") if by_spot else ("", "")
     return f"""
-{name}_seen AS (SELECT {key}rname, rpos AS pos, context, strand, {meth} AS m FROM bases JOIN sites ON sites.contig = rname AND sites.pos = rpos AND context <> 'CG' {join}
-  WHERE {PAIRED} AND mapq >= 10 AND q >= 30 AND NOT {trimmed("qpos", trims)} AND CASE WHEN strand = '+' THEN fwd IN ('C', 'T') AND fwd_next = substr(context, 2, 1) ELSE fwd IN ('G', 'A') END),
+{name}_seen AS (SELECT {key}rname, rpos AS pos, context, strand, {meth} AS m FROM resolved bases JOIN sites ON sites.contig = rname AND sites.pos = rpos AND context <> 'CG' {join}
+  WHERE q >= 30 AND NOT {trimmed("qpos", trims)} AND CASE WHEN strand = '+' THEN fwd IN ('C', 'T') AND fwd_next = substr(context, 2, 1) ELSE fwd IN ('G', 'A') END),
 {name} AS (SELECT {key}rname, pos, context, strand, count(*) FILTER (m) AS meth, count(*) FILTER (NOT m) AS unmeth, round_even(count(*) FILTER (m) / count(*) * 100, 2) AS pct FROM {name}_seen GROUP BY ALL)"""
 
 
@@ -73,7 +78,7 @@ def stats(calls: str, name: str, where: str = "true") -> str:
     return f"{name} AS (SELECT spot_id, round_even(sum(CAST(round_even(pct * 100, 0) AS BIGINT)) / 100 / count(*), 6) AS mean, count(*) AS sites FROM {calls} WHERE {where} GROUP BY spot_id)"
 
 
-HISTOGRAM = "histogram AS (SELECT spot_id, meth + unmeth AS depth, count(*) AS sites FROM cg WHERE meth + unmeth > 0 GROUP BY ALL)"
+HISTOGRAM = "histogram AS (SELECT spot_id, meth + unmeth AS depth, count(*) AS sites FROM cg WHERE meth + unmeth > 0 AND spot_id IN (SELECT spot_id FROM good) GROUP BY ALL)"
 EXPECTED = f"expected AS (SELECT spot_id, f AS fraction, sum(sites * (1 - power(1 - f, depth))) AS expected FROM histogram CROSS JOIN (SELECT unnest([{', '.join(map(str, FRACTIONS))}]::DOUBLE[]) AS f) GROUP BY ALL)"
 CURVE = "curve AS (SELECT fraction, quantile_cont(expected, 0.5) AS median, quantile_cont(expected, 0.25) AS q1, quantile_cont(expected, 0.75) AS q3 FROM expected GROUP BY fraction)"
 LINEAR = "linear AS (SELECT slope, CASE WHEN total > 0 THEN 1 - rest / total WHEN rest <= 0 THEN 1.0 ELSE 0.0 END AS r2 FROM (SELECT any_value(slope) AS slope, sum(power(median - mean, 2)) AS total, sum(power(median - slope * fraction, 2)) AS rest FROM curve, (SELECT sum(fraction * median) / sum(fraction * fraction) AS slope, avg(median) AS mean FROM curve)))"
@@ -89,21 +94,57 @@ def searched(name: str, before: str, low: str, high: str, count: int) -> str:
 
 FIT = ", ".join(["start AS (SELECT 0.0::DOUBLE AS maximum, 1.0::DOUBLE AS rate, 'inf'::DOUBLE AS error)", searched("fit0", "start", "-4.0::DOUBLE", "2.0::DOUBLE", 800).strip(), *(searched(f"fit{k}", f"fit{k - 1}", "log10(rate) - 0.7", "log10(rate) + 0.7", 240).strip() for k in (1, 2, 3))])
 
-NEAREST = """
-variants AS (SELECT seq AS barcode, seq AS observed, 0 AS distance FROM whitelist UNION ALL
-  SELECT seq, concat(substr(seq, 1, i - 1), b, substr(seq, i + 1)), 1 FROM whitelist, (SELECT CAST(unnest(range(1, 9)) AS INTEGER) AS i), (SELECT unnest(['A', 'C', 'G', 'T', 'N']) AS b) WHERE substr(seq, i, 1) <> b),
+
+def near_sql(name: str, source: str, pattern: str) -> str:
+    """CTEs that end in `name` (ordinal, place): where a pattern stands in `w` of a source, exactly at one place or, nowhere exactly, within one edit. All parts of `w` are compared; the first is the longest of those that begin first, and none may follow it."""
+    n = len(pattern)
+    return f"""
+{name}_exact AS (SELECT ordinal, w, list_filter(range(0, greatest(length(w) - {n - 1}, 0)), lambda i: substr(w, CAST(i AS INTEGER) + 1, {n}) = '{pattern}') AS l FROM {source}),
+{name}_tries AS (SELECT ordinal, a, n FROM (SELECT ordinal, w, CAST(unnest(range(0, length(w))) AS INTEGER) AS a FROM {name}_exact WHERE len(l) = 0), (SELECT unnest([{n - 1}, {n}, {n + 1}]) AS n) WHERE a + n <= length(w) AND levenshtein(substr(w, a + 1, n), '{pattern}') = 1),
+{name}_first AS (SELECT ordinal, a, n FROM (SELECT *, row_number() OVER (PARTITION BY ordinal ORDER BY a, n DESC) AS k FROM {name}_tries) WHERE k = 1),
+{name} AS (SELECT ordinal, l[1] AS place FROM {name}_exact WHERE len(l) = 1 UNION ALL SELECT ordinal, a FROM {name}_first f WHERE NOT EXISTS (SELECT 1 FROM {name}_tries t WHERE t.ordinal = f.ordinal AND t.a >= f.a + f.n))"""
+
+
+def c_t_sql(name: str, source: str, pattern: str, most: int = 1) -> str:
+    """The same for a C/T-aware pattern: the one place with the fewest mismatches of all."""
+    n = len(pattern)
+    cost = f"list_sum(list_transform(range(1, {n + 1}), lambda k: CASE WHEN substr('{pattern}', CAST(k AS INTEGER), 1) = 'C' THEN CASE WHEN substr(v, CAST(k AS INTEGER), 1) IN ('C', 'T') THEN 0 ELSE 1000 END WHEN substr('{pattern}', CAST(k AS INTEGER), 1) <> substr(v, CAST(k AS INTEGER), 1) THEN 1 ELSE 0 END))"
+    return f"""
+{name}_costs AS (SELECT ordinal, a, {cost} AS cost FROM (SELECT ordinal, a, substr(w, a + 1, {n}) AS v FROM (SELECT ordinal, w, CAST(unnest(range(0, greatest(length(w) - {n - 1}, 0))) AS INTEGER) AS a FROM {source}))),
+{name}_least AS (SELECT ordinal, min(cost) AS cost FROM {name}_costs WHERE cost <= {most} GROUP BY ordinal),
+{name} AS (SELECT ordinal, min(a) AS place FROM {name}_costs JOIN {name}_least USING (ordinal, cost) GROUP BY ordinal HAVING count(*) = 1)"""
+
+
+def placed_sql(assay: Assay) -> str:
+    """CTEs that end in `placed`: pairs with linker_at, insert_at, observed1 and observed2."""
+    linker = (near_sql if assay.value.startswith("taps") else c_t_sql)("linker_found", "linker_windows", LINKER)
+    if assay == Assay.TAPS:
+        insert = near_sql("insert_found", "(SELECT ordinal, substr(s1, CAST(linker_at AS INTEGER) + 58, 40) AS w FROM fitting)", INSERT_LEFT[-15:])
+    else:
+        insert = c_t_sql("insert_found", "(SELECT ordinal, substr(s1, CAST(linker_at AS INTEGER) + 39, 74) AS w FROM fitting)", INSERT_LEFT)
+    return f"""
+linker_windows AS (SELECT ordinal, substr(s1, 1, 100) AS w FROM pairs),{linker},
+fitting AS (SELECT ordinal, s1, place AS linker_at FROM pairs JOIN linker_found USING (ordinal) WHERE place >= 8 AND place + 38 <= length(s1)),{insert},
+whole_inserts AS (SELECT ordinal, linker_at + 38 + place AS insert_at FROM fitting JOIN insert_found USING (ordinal) WHERE linker_at + 38 + place + 34 <= length(s1)),
+placed AS (SELECT p.*, l.place AS linker_at, insert_at, CASE WHEN f.ordinal IS NOT NULL THEN substr(p.s1, CAST(f.linker_at AS INTEGER) - 7, 8) END AS observed2, CASE WHEN f.ordinal IS NOT NULL THEN substr(p.s1, CAST(f.linker_at AS INTEGER) + 31, 8) END AS observed1
+  FROM pairs p LEFT JOIN linker_found l USING (ordinal) LEFT JOIN fitting f USING (ordinal) LEFT JOIN whole_inserts USING (ordinal))
+"""
+
+
+def nearest_sql(converted: bool = False) -> str:
+    seq = "translate(seq, 'C', 'T')" if converted else "seq"
+    return f"""
+names AS (SELECT DISTINCT {seq} AS seq FROM whitelist),
+variants AS (SELECT seq AS barcode, seq AS observed, 0 AS distance FROM names UNION ALL
+  SELECT seq, concat(substr(seq, 1, i - 1), b, substr(seq, i + 1)), 1 FROM names, (SELECT CAST(unnest(range(1, 9)) AS INTEGER) AS i), (SELECT unnest(['A', 'C', 'G', 'T', 'N']) AS b) WHERE substr(seq, i, 1) <> b),
 best AS (SELECT observed, min(distance) AS distance, arg_min(barcode, distance) AS barcode, count(*) FILTER (distance = 1) AS ones FROM variants GROUP BY observed),
 known AS (SELECT observed, barcode, distance FROM best WHERE distance = 0 OR ones = 1)
 """
-PLACED = f"""
-linkers AS (SELECT *, list_filter(range(8, least(length(s1), 70) - 29), lambda i: substr(s1, CAST(i AS INTEGER) + 1, 30) = '{LINKER}') AS l FROM pairs),
-linked AS (SELECT *, CASE WHEN len(l) = 1 THEN l[1] END AS linker_at FROM linkers),
-inserts AS (SELECT *, list_filter(range(linker_at + 38, length(s1) - 33), lambda i: substr(s1, CAST(i AS INTEGER) + 1, 34) = '{INSERT_LEFT}') AS j FROM linked),
-placed AS (SELECT *, CASE WHEN len(j) = 1 THEN j[1] END AS insert_at, CASE WHEN linker_at >= 8 THEN substr(s1, CAST(linker_at AS INTEGER) - 7, 8) END AS observed2,
-  CASE WHEN linker_at + 38 <= length(s1) THEN substr(s1, CAST(linker_at AS INTEGER) + 31, 8) END AS observed1 FROM inserts)
-"""
+
+
+NEAREST, PLACED = nearest_sql(), placed_sql(Assay.TAPS)
 REJECTED = f"""
 judged AS (SELECT p.*, k1.barcode AS barcode1, k2.barcode AS barcode2, CASE WHEN length(s1) < 80 OR length(q1) < 80 THEN ['short_r1'] WHEN linker_at IS NULL THEN ['structure_mismatch', 'linker2_not_found']
-  WHEN observed1 IS NULL OR observed2 IS NULL THEN ['structure_mismatch'] WHEN insert_at IS NULL THEN ['structure_mismatch', 'tn5_not_found'] WHEN k1.barcode IS NULL THEN ['{REASONS[4]}'] WHEN k2.barcode IS NULL THEN ['{REASONS[5]}'] ELSE [] END AS reasons
+  WHEN observed1 IS NULL THEN ['structure_mismatch'] WHEN insert_at IS NULL THEN ['structure_mismatch', 'tn5_not_found'] WHEN k1.barcode IS NULL THEN ['{REASONS[4]}'] WHEN k2.barcode IS NULL THEN ['{REASONS[5]}'] ELSE [] END AS reasons
   FROM placed p LEFT JOIN known k1 ON k1.observed = observed1 LEFT JOIN known k2 ON k2.observed = observed2)
 """

@@ -54,7 +54,6 @@ def sample(records: DataFrame, blocks: DataFrame, whitelist: DataFrame, config:
 
 def saturation_of(found: Sample, config: SampleConfig) -> DataFrame:
     """The saturation row of a sample's spots with more than `reads_above` reads."""
-    good = saturation.good_spots(found.reads, found.cg, config.reads_above)
-    histogram = saturation.depth_histogram(found.cg.join(good, "spot_id", "left_semi"))
+    histogram = saturation.depth_histogram(found.cg, found.reads, config.reads_above)
     used = histogram.agg(F.count_distinct("spot_id").alias("n"))
     return saturation.summary(saturation.medians(saturation.expected_unique(histogram)), used)

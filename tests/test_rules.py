@@ -165,3 +165,68 @@ def test_calls_count_what_mates_both_cover_once(spark):
     assert called("CG", "TG", 35, 34, calls.call_cg, 3) == [[], [(1, 1)]]
     # mates agree along the reference, though they were sequenced in opposite directions
     assert called("AGT", "AGT", 20, 20, calls.call_ch, 9) == [[(0, 1)], []]
+
+
+@pytest.mark.parametrize(("text", "place"), [("xxABCDEFGHxx", 2), ("xxABCDXFGHxx", 2), ("xxABCEFGHxx", 2), ("xxABCDxEFGHxx", 2), ("ABCDEFGHABCDEFGH", None), ("ABXDEFGHABCDXFGH", None), ("xxABXDXFGHxx", None), ("xBCDEFGH", 0), ("", None), (None, None)])
+def test_near_position(spark, text, place):
+    assert value(spark, dna.near_position(F.col("t"), "ABCDEFGH", 1), t=text or "") == place
+
+
+def test_near_position_within_two_edits(spark):
+    """Against all parts of random texts by the edit distance written out."""
+    import random
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    rng = random.Random(1)
+    pattern = "ACGTTGCA"
+    texts = []
+    for _ in range(150):
+        p = list(pattern)
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(p))
+            p[k : k + 1] = rng.choice([[], [rng.choice("ACGT")], [p[k], rng.choice("ACGT")]])
+        texts.append("".join(rng.choice("ACGT") for _ in range(rng.randrange(8))) + "".join(p) + "".join(rng.choice("ACGT") for _ in range(rng.randrange(8))))
+    for most in (0, 1, 2):
+        rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", dna.near_position(F.col("t"), pattern, most).alias("at")).collect()
+        for r in rows:
+            tried = [(d, a, n) for a in range(len(r.t)) for n in range(max(1, 8 - most), 9 + most) if a + n <= len(r.t) and (d := distance(r.t[a : a + n], pattern)) <= most]
+            least = min((d for d, *_ in tried), default=None)
+            best = [(a, n) for d, a, n in tried if d == least]
+            want = None
+            if best:
+                first = min(a for a, _ in best)
+                ends = [first + n for a, n in best if a == first]
+                # of matches that begin at the first place any may be taken; another behind them all makes it unclear
+                if all(a < min(ends) for a, _ in best):
+                    want = first
+                elif any(a < max(ends) for a, _ in best if a >= min(ends)):
+                    continue
+            assert r.at == want, r.t
+
+
+def test_corrections_within_a_distance(spark):
+    whitelist = spark.createDataFrame([("AAAA",), ("AATT",), ("CCGG",)], "seq string")
+    one, two = ({r.observed: (r.barcode, r.distance) for r in barcodes.corrections(whitelist, d).collect()} for d in (1, 2))
+    assert one["AAAA"] == ("AAAA", 0) and one["CAAA"] == ("AAAA", 1) and "AAAT" not in one and "CCTT" not in one
+    assert two["AGGA"] == ("AAAA", 2) and two["CAAA"] == ("AAAA", 1) and "AAAT" not in two
+    assert {r.barcode for r in barcodes.corrections(whitelist, 0, True).collect()} == {"AAAA", "AATT", "TTGG"}
+
+
+def test_mates_count_once_and_depth_is_capped(spark):
+    """A site under both mates of a pair; and one under more records than the cap."""
+    quals = [35] * 4
+    pair = [(0, "p", 99, "c", 0, 60, "4M", "TGAA", quals, "x", "1"), (1, "p", 147, "c", 0, 60, "4M", "TGAA", quals, "x", "1")]
+    blocks = spark.createDataFrame([("c", 0, "CGAA")], "contig string, block_start int, seq string")
+    config = calls.CallConfig(max_depth=3)
+    (row,) = calls.call_cg(spark.createDataFrame(pair, RECORD), blocks, config).collect()
+    assert (row.meth, row.unmeth) == (1, 0)
+    apart = [(k, f"q{k}", 99, "c", 0, 60, "4M", "TGAA" if k < 2 else "CGAA", quals, "x", "1") for k in range(6)]
+    (row,) = calls.call_cg(spark.createDataFrame(apart, RECORD), blocks, config).collect()
+    assert (row.meth, row.unmeth) == (2, 1)

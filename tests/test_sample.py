@@ -53,11 +53,13 @@ def test_fastq_of_kept_and_rejected(spark, sf_dir, made, tmp_path):
     found = barcodes.rejections(pairs, whitelist, barcodes.Layout())
     sinks.write_fastq(found, str(tmp_path / "out"))
     counted = barcodes.reject_counts(found).first()
+    inserts = {r.h1[1:]: r.s1[r.insert_start :] for r in found.where("size(reasons) = 0").collect()}
+    assert {len(x) for x in inserts.values()} == {29, 30}  # 29 where the seed lacked a base
     n = 0
     for p in (tmp_path / "out" / "status=kept" / "mate=R1").glob("*.gz"):
         lines = gzip.decompress(p.read_bytes()).decode().splitlines()
         n += len(lines) // 4
-        assert all(lines[k].startswith("@") and "+" in lines[k] and len(lines[k + 1]) == len(lines[k + 3]) == 30 for k in range(0, len(lines), 4))
+        assert all(lines[k].startswith("@") and "+" in lines[k] and inserts[lines[k].split(":", 1)[1]] == lines[k + 1] and len(lines[k + 1]) == len(lines[k + 3]) for k in range(0, len(lines), 4))
     assert n == counted.kept_reads
     sinks.write_stats(barcodes.reject_counts(found), str(tmp_path / "stats"))
     assert spark.read.json(str(tmp_path / "stats")).first().total_reads == counted.total_reads

@@ -69,6 +69,34 @@ def call_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cg.select(shown).unionByName(calls.call_ch(reads, blocks, config).select(shown))
 
 
+TARGETS = {"host": ["chr1", "chr2", "chr3"], "host_mito": ["chrM"], "lambda": ["lambda"]}
+
+
+@query("target_records", sql.query("SELECT CASE WHEN role = 'spike' THEN contig WHEN role = 'mito' THEN 'host_mito' ELSE 'host' END AS target, count(*) AS records, count(DISTINCT rname) AS contigs FROM reads JOIN contigs ON contig = rname GROUP BY ALL"))
+def target_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calls.with_target(tables(spark, sf_dir, "reads")[0], TARGETS).groupBy("target").agg(F.count("*").alias("records"), F.count_distinct("rname").alias("contigs"))
+
+
+@query("call_totals", sql.query(sql.SITES, sql.BASES, sql.SPOTS, sql.cg_calls(Assay.TAPS, TRIMS, True, "cg"), "SELECT rname, count(*) AS processed, count(*) FILTER (meth + unmeth > 0) AS covered FROM cg GROUP BY rname"))
+def call_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calls.totals(host_cg(spark, sf_dir), "rname")
+
+
+@query("first_records", sql.query("SELECT ordinal, qname, flag FROM reads WHERE mapq >= 10 ORDER BY ordinal LIMIT 100"))
+def first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mbias.first_records(tables(spark, sf_dir, "reads")[0].where("mapq >= 10"), 100, "ordinal").select("ordinal", "qname", "flag")
+
+
+FOUND_TRIMS = {"R1": (2, 1), "R2": (1, 2)}
+
+
+@query("call_cg_found_trims", sql.query(sql.SITES, sql.BASES, sql.SPOTS, sql.cg_calls(Assay.TAPS, FOUND_TRIMS, False, "cg"), "SELECT * FROM cg"))
+def call_cg_found_trims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads, blocks = tables(spark, sf_dir, "reads", "ref_blocks")
+    cutoffs = spark.createDataFrame([(r, *cut) for r, cut in FOUND_TRIMS.items()], "read string, left_trim int, right_trim int")
+    return calls.call_cg(reads, blocks, calls.CallConfig(trims=TRIMS), trims=calls.trims_of(cutoffs, TRIMS))
+
+
 @query("spot_manifest", sql.query(sql.SPOTS, "SELECT * FROM manifest"))
 def spot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(spark, sf_dir)

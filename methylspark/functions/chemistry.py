@@ -50,7 +50,7 @@ def site(previous: Column, base: Column, following: Column) -> Column:
     return F.when(base == "C", plus).when(base == "G", minus)
 
 
-def trimmed(flag: Column, qpos: Column, length: Column, trims: dict[str, tuple[int, int]]) -> Column:
+def trimmed(flag: Column, qpos: Column, length: Column, trims: dict[str, tuple[int | Column, int | Column]]) -> Column:
     """Whether a base lies in its read's left or right trim, counted in sequencing direction."""
     left, right = (F.when(is_read1(flag), trims["R1"][k]).when(is_read2(flag), trims["R2"][k]).otherwise(0) for k in (0, 1))
     from_start = F.when(is_reverse(flag), length - qpos).otherwise(qpos + 1)

@@ -52,6 +52,35 @@ def unknown_cbs(records: DataFrame, spots: DataFrame) -> DataFrame:
     return records.where("cb is not null").withColumn("cb", F.upper("cb")).join(spots, "cb", "left_anti").groupBy("cb").agg(F.count("*").alias("records"))
 
 
+def with_target(records: DataFrame, targets: dict[str, list[str]], contig: str = "rname") -> DataFrame:
+    """Records of the targets' contigs with `target`: the host's chromosomes, its mitochondrion, spikes. A contig is of one target; records of other contigs are left out."""
+    if len(set(of := [c for names in targets.values() for c in names])) < len(of):
+        raise ValueError("a contig is named for two targets")
+    named = F.create_map(*(F.lit(x) for t, names in targets.items() for c in names for x in (c, t))) if of else F.lit(None)
+    kept = records.where(F.col(contig).isin(*of)) if of else records.where(F.lit(False))
+    return kept.withColumn("target", named[F.col(contig)] if of else F.lit(None).cast("string"))
+
+
+def totals(calls: DataFrame, *keys: str) -> DataFrame:
+    """How many sites calls have, and how many of them with depth, by these keys."""
+    return calls.groupBy(*keys).agg(F.count("*").alias("processed"), F.count_if(F.col("meth") + F.col("unmeth") > 0).alias("covered"))
+
+
+def trims_of(cutoffs: DataFrame, otherwise: dict[str, tuple[int, int]]) -> DataFrame:
+    """One row of trims (R1_left, R1_right, R2_left, R2_right): those that `mbias.cutoffs` found for both reads, or else the given ones."""
+    sides = {f"{r}_{side}": (r, side, otherwise[r][k]) for r in ("R1", "R2") for k, side in enumerate(("left", "right"))}
+    found = cutoffs.agg(F.count_distinct("read").alias("n"), *(F.max(F.when(F.col("read") == r, F.col(f"{side}_trim"))).alias(name) for name, (r, side, _) in sides.items()))
+    return found.select(*(F.when(F.col("n") == 2, F.col(name)).otherwise(given).cast("int").alias(name) for name, (_, _, given) in sides.items()))
+
+
+TRIM_COLUMNS = ("R1_left", "R1_right", "R2_left", "R2_right")
+
+
+def _cut(config: CallConfig, trims: DataFrame | None) -> dict:
+    """Trims by read: numbers, or the columns of a row that every record has."""
+    return config.trims if trims is None else {r: (F.col(f"{r}_left"), F.col(f"{r}_right")) for r in ("R1", "R2")}
+
+
 def _named(records: DataFrame) -> tuple[str, ...]:
     """The column that tells mates, if these records have one."""
     return ("qname",) if "qname" in records.columns else ()
@@ -69,24 +98,28 @@ def _counted(found: DataFrame, keys: list[str], methylated: Column) -> DataFrame
     return counts.withColumn("pct", formats.percent(F.col("meth"), F.col("unmeth")))
 
 
-def call_cg(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = ()) -> DataFrame:
-    """CpG counts by `by` (columns of the records), contig and position of the forward C: meth, unmeth, pct."""
+def call_cg(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = (), trims: DataFrame | None = None) -> DataFrame:
+    """CpG counts by `by` (columns of the records), contig and position of the forward C: meth, unmeth, pct. `trims`, a row of `trims_of`, takes the place of the configured ones."""
     sites = reference_sites(blocks).where("context = 'CG'").select(F.col("contig").alias("rname"), "pos")
     records = callable_records(records, config)
-    placed = bases(records, *by, *_named(records), "ordinal", "flag", "rname")
+    if trims is not None:
+        records = records.crossJoin(F.broadcast(trims))  # one row
+    placed = bases(records, *by, *_named(records), *(TRIM_COLUMNS if trims is not None else ()), "ordinal", "flag", "rname")
     placed = _good(placed.join(sites, ["rname", "pos"]), config, "base", by)
-    cut = [chemistry.trimmed(F.col("flag"), F.col("qpos") + k, F.col("length"), config.trims) for k in (0, 1)]
+    cut = [chemistry.trimmed(F.col("flag"), F.col("qpos") + k, F.col("length"), _cut(config, trims)) for k in (0, 1)]
     kept = depth_capped(placed, config.max_depth, records).where(F.col("next_base").isNotNull() & ~cut[0] & ~cut[1])
     return _counted(kept, [*by, "rname", "pos"], chemistry.cg_methylated(F.concat("base", "next_base"), config.assay))
 
 
-def call_ch(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = ()) -> DataFrame:
+def call_ch(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = (), trims: DataFrame | None = None) -> DataFrame:
     """CH counts by `by`, contig, position, context and strand. On the plus strand the base sequenced next must be the context's second."""
     sites = reference_sites(blocks).where("context <> 'CG'").select(F.col("contig").alias("rname"), "pos", "context", "strand")
     records = callable_records(records, config)
-    placed = as_sequenced(records, *by, *_named(records), "ordinal", "rname")
+    if trims is not None:
+        records = records.crossJoin(F.broadcast(trims))  # one row
+    placed = as_sequenced(records, *by, *_named(records), *(TRIM_COLUMNS if trims is not None else ()), "ordinal", "rname")
     placed = _good(placed.join(sites, ["rname", "pos"]), config, "placed_base", by)
-    cut = chemistry.trimmed(F.col("flag"), F.col("qpos"), F.col("length"), config.trims)
+    cut = chemistry.trimmed(F.col("flag"), F.col("qpos"), F.col("length"), _cut(config, trims))
     follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
     kept = depth_capped(placed, config.max_depth, records).where(~cut & follows)
     return _counted(kept, [*by, "rname", "pos", "context", "strand"], chemistry.ch_methylated(F.col("base"), F.col("strand"), config.assay))

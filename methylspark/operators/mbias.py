@@ -22,6 +22,7 @@ class BiasConfig:
     r1_length: int = 150
     fraction: float = 1.0
     seed: int = 42
+    max_records: int = 0
 
 
 def hash_sample(records: DataFrame, fraction: float, seed: int, *keys: str) -> DataFrame:
@@ -31,10 +32,15 @@ def hash_sample(records: DataFrame, fraction: float, seed: int, *keys: str) -> D
     return records.where(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) < int(fraction * 1_000_000))
 
 
+def first_records(records: DataFrame, most: int, *order: str) -> DataFrame:
+    """The first `most` records in this order (a file and the place in it, as a rule); all for 0."""
+    return records.orderBy(*order).limit(most) if most else records
+
+
 def cycles(records: DataFrame, blocks: DataFrame, config: BiasConfig) -> DataFrame:
     """(read, cycle, methylated_count, unmethylated_count, coverage, methylation_rate) of CpG observations with enough quality at both bases."""
     kept = records.where(F.col("flag").isin(*chemistry.PAIRED_FLAGS) & (F.col("mapq") >= config.min_mapq))
-    kept = hash_sample(kept, config.fraction, config.seed, "qname", "flag")
+    kept = first_records(hash_sample(kept, config.fraction, config.seed, "qname", "flag"), config.max_records, *(c for c in ("file", "ordinal") if c in records.columns))
     sites = reference_sites(blocks).where("context = 'CG'").select(F.col("contig").alias("rname"), "pos")
     placed = bases(kept, "flag", "rname").join(sites, ["rname", "pos"]).where("next_base is not null")
     good = F.coalesce((F.col("qual") >= config.min_base_quality) & (F.col("next_qual") >= config.min_base_quality), F.lit(False)) if config.min_base_quality > 0 else F.lit(True)

@@ -3,6 +3,9 @@ to target weights, and what is kept is packed into token sequences.
 
 Each stage works on all that the one before it kept, and its decisions take effect in what it returns. Classifiers learn from the labelled rows among
 the documents that reach them, and judge each row by itself.
+
+All stages take null and empty texts (no words), null doc_ids, sources and languages, repeated rows, which are judged alike, and further columns, which they leave out. An empty table gives an
+empty one, and without labels of both kinds a classifier's stage keeps all.
 """
 
 from __future__ import annotations
@@ -21,13 +24,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that are likely toxic."""
+    """Without documents that are likely toxic. Texts that are null or have no letter or digit stay."""
     machine = toxicity.learn(docs, queries.table(spark, sf_dir, "labels"))
     return toxicity.detect(docs, machine, COLUMNS).where(F.col("score") < queries.TOXIC_LIMIT).select(*COLUMNS)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents of likely poor quality."""
+    """Without documents of likely poor quality. A null text is judged as an empty one."""
     model = quality.learn(docs, queries.table(spark, sf_dir, "labels"))
     return quality.assess(docs, model, COLUMNS).where(F.col("score") >= queries.QUALITY_LIMIT).select(*COLUMNS)
 
@@ -42,12 +45,12 @@ def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and forms have their target weights."""
+    """A sample whose sources, languages and forms have their target weights. Texts without a word, which weigh nothing, stay; rows of one doc_id stay or go together, those without a doc_id too."""
     return mixing.mix(docs).where("kept").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, with digests of their ids."""
+    """Pieces of token sequences, with digests of their ids. A text without a word is its end id alone."""
     pieces = packing.harmonic_pack(docs, public_tokenizers.path(queries.BYTE_BPE), 1024, 0)
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 

@@ -229,3 +229,29 @@ def test_pipeline_stages_stand_on_each_other(spark, sf_dir):
             assert after == {d for d, (_, _, kept) in brute(list(before.items()), 5, 80).items() if kept}
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     assert {p.doc_id for p in pieces} == after
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows and ids, columns of clashing names; and an empty table."""
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, topic string, kept boolean, _rank int, component_id string"
+    rng = random.Random(1)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    long = prose(20_000)
+    docs = [(k, prose(60), "en", "web", 360) for k in range(40)]
+    docs += [(50, None, None, None, None), (51, "", "en", "web", 0), (None, prose(30), "en", None, 180), (None, None, None, "web", None), (52, long, "de", "book", len(long)), (53, long, "de", "book", len(long)), (1, docs[1][1], "en", "web", 360), (1, docs[1][1], "en", "web", 360), (2, prose(60), None, "web", 360), (54, " \t\n", "en", "web", 3)]
+    for rows in (docs, []):
+        folder = str(tmp_path / f"t{len(rows)}")
+        spark.createDataFrame([(*d, 0.5, "x", True, 1, "y") for d in rows], kinds).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(k, k % 2, int(k % 5 == 0)) for k, *_ in rows if k is not None and k < 30] + [(None, 1, 1), (999, None, None)] * bool(rows), "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        now = queries.table(spark, folder, "documents")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            before = now.select(*corpus_pipeline.COLUMNS)
+            now = stage(spark, now, folder)
+            assert now.columns == list(corpus_pipeline.COLUMNS)
+            assert now.exceptAll(before).count() == 0, name
+            if name == "near duplicates" and rows:
+                kept = [r.doc_id for r in now.collect()]
+                assert len([k for k in kept if k is not None]) == len({k for k in kept if k is not None}) and not {52, 53} <= set(kept)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, now, folder).collect()
+        assert bool(pieces) == bool(rows)
+        assert corpus_pipeline.run(spark, folder).count() == len(pieces)

@@ -127,9 +127,9 @@ def rejections(pairs: DataFrame, whitelist: DataFrame, layout: Layout, column: s
     return found.withColumns({"reasons": reasons, "insert_start": F.col("insert_at") + len(layout.insert_left)})
 
 
-def found_inserts(kept: DataFrame, layout: Layout, column: str = "s1") -> DataFrame:
-    """Kept pairs of `rejections` with `insert`, the bases that were taken for the insert-left."""
-    return kept.where(F.size("reasons") == 0).withColumn("insert", F.substr(F.upper(column), F.col("insert_at") + 1, F.lit(len(layout.insert_left))))
+def found_inserts(found: DataFrame, layout: Layout, column: str = "s1") -> DataFrame:
+    """Pairs of `rejections` with `insert`, the bases that were taken for the insert-left, or null for those that aren't kept. (A filter would be pushed below the search, which is then made for it again.)"""
+    return found.withColumn("insert", F.when(F.size("reasons") == 0, F.substr(F.upper(column), F.col("insert_at") + 1, F.lit(len(layout.insert_left)))))
 
 
 REASONS = ("short_r1", "structure_mismatch", "linker2_not_found", "tn5_not_found", "barcode1_not_in_whitelist", "barcode2_not_in_whitelist")
@@ -141,11 +141,13 @@ def reject_counts(found: DataFrame) -> DataFrame:
 
 
 def insert_conversion(inserts: DataFrame, positions: list[int], column: str = "insert") -> tuple[DataFrame, DataFrame]:
-    """Of inserts whose C at these positions are methylated: T, C and other bases by position; and one row with the mean of the reads' conversion rates, and the share of reads that are T throughout."""
-    scored = inserts.select(F.col("ordinal"), dna.conversion(F.upper(column), positions).alias("bases"))
-    by_position = scored.select(F.posexplode("bases").alias("k", "base")).groupBy("k").agg(F.count_if(F.col("base") == "T").alias("t_count"), F.count_if(F.col("base") == "C").alias("c_count"), F.count_if(~F.col("base").isin("T", "C")).alias("other_count"))
-    by_position = by_position.select(F.get(F.array(*map(F.lit, positions)), F.col("k")).alias("position"), "t_count", "c_count", "other_count")
+    """Of inserts whose C at these positions are methylated: T, C and other bases by position; and one row with the mean of the reads' conversion rates, and the share of reads that are T throughout. Null inserts count for nothing."""
+    scored = inserts.select(F.when(F.col(column).isNotNull(), dna.conversion(F.upper(column), positions)).alias("bases"))
+    at = [F.get("bases", F.lit(k)) for k in range(len(positions))]
+    kinds = {"t_count": lambda b: b == "T", "c_count": lambda b: b == "C", "other_count": lambda b: ~b.isin("T", "C")}
+    counted = scored.agg(*(F.count_if(is_it(b)).alias(f"{name}_{k}") for k, b in enumerate(at) for name, is_it in kinds.items()))
+    by_position = counted.select(F.explode(F.array(*(F.struct(F.lit(p).alias("position"), *(F.col(f"{name}_{k}").alias(name) for name in kinds)) for k, p in enumerate(positions)))).alias("row")).select("row.*")
     number = lambda letter: F.size(F.filter("bases", lambda b: b == letter))
-    rates = scored.select((number("T") / F.nullif(number("T") + number("C"), F.lit(0))).alias("rate"), F.forall("bases", lambda b: b == "T").alias("full"))
-    whole = rates.agg(F.count("*").alias("reads"), F.count("rate").alias("informative"), F.bround(F.avg("rate"), 6).alias("mean_rate"), F.count_if("full").alias("fully_converted"))
+    rates = scored.select("bases", F.when(F.col("bases").isNotNull(), number("T") / F.nullif(number("T") + number("C"), F.lit(0))).alias("rate"), F.forall("bases", lambda b: b == "T").alias("full"))
+    whole = rates.agg(F.count("bases").alias("reads"), F.count("rate").alias("informative"), F.bround(F.avg("rate"), 6).alias("mean_rate"), F.count_if("full").alias("fully_converted"))
     return by_position, whole

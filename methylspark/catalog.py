@@ -315,7 +315,7 @@ def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("barcode_exact", sql.query(sql.PLACED, "SELECT ordinal, linker_at, observed2, ord FROM placed JOIN whitelist ON seq = observed2"))
 def barcode_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, whitelist = tables(spark, sf_dir, "pairs", "whitelist")
-    return barcodes.placed(pairs, barcodes.Layout()).join(whitelist, F.col("seq") == F.col("observed2")).select("ordinal", "linker_at", "observed2", "ord")
+    return barcodes.placed(pairs, barcodes.Layout()).join(whitelist, F.col("seq") == F.coalesce("observed2", F.lit(""))).select("ordinal", "linker_at", "observed2", "ord")
 
 
 @query("barcode_nearest", sql.query(sql.PLACED, sql.NEAREST, "SELECT DISTINCT p.observed1 AS observed, barcode, coalesce(distance, -1) AS distance FROM placed p LEFT JOIN known ON known.observed = p.observed1 WHERE p.observed1 IS NOT NULL"))

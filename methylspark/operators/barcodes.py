@@ -80,7 +80,8 @@ def nearest(observed: DataFrame, whitelist: DataFrame, column: str = "observed",
 
     The whitelist's variants are joined by equality, so no observed barcode is compared with all.
     """
-    seen = observed.select(column).where(F.col(column).isNotNull()).distinct()
+    # a count drops nulls, since a filter would be pushed below what finds the barcodes, which is then made for it again
+    seen = observed.groupBy(column).agg(F.count(column).alias("n")).where("n > 0").select(column)
     return seen.join(known(whitelist, Layout(barcode_distance=most)).withColumnRenamed("observed", column), column, "left")
 
 

@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from methylspark.llm import fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, topk, toxicity
+from methylspark.llm import fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, token_counts, topk, toxicity
 from methylspark.llm.store import new_path
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+#: Tokens that a document may have.
+TOKEN_LIMIT = 2048
 #: Scores from which a document counts as of quality, and as toxic.
 QUALITY_LIMIT, TOXIC_LIMIT = 0.5, 0.7
 
@@ -108,8 +110,13 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records)
+    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records, op11_token_counts)
 }
 ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op7_top_k": OP7_SQL, "op9_mixing": mixing.oracle_sql()}

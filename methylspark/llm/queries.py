@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from methylspark.llm import fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, token_counts, topk, toxicity
+from methylspark.llm import divergence, fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, token_counts, topk, toxicity
 from methylspark.llm.store import new_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -115,8 +115,32 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least=3, top=200)
+
+
+OP13_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+flat AS (SELECT id, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM flat GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+cells AS (SELECT lang, source, term, count(*) AS n FROM flat JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sizes AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * CAST(coalesce(c.n, 0) + 1 AS HUGEINT)) // (coalesce(s.total, 0) + v) AS p, 1 + (1000000000 * (k.n + 1)) // (langs.total + v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang) LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term GROUP BY a.lang, a.source, b.source),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM dense WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records, op11_token_counts)
+    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records, op11_token_counts, op13_source_divergence)
 }
-ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op7_top_k": OP7_SQL, "op9_mixing": mixing.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op7_top_k": OP7_SQL, "op9_mixing": mixing.oracle_sql(), "op13_source_divergence": OP13_SQL}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from methylspark.llm import divergence, fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, token_counts, topk, toxicity
+from methylspark.llm import collocations, divergence, fingerprint, langid, maxent, mixing, near_dup, packing, quality, records, token_counts, topk, toxicity
 from methylspark.llm.store import new_path
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -115,6 +115,26 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+OP12_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM lists GROUP BY lang),
+grams AS (SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM lists, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+counts AS (SELECT lang, g, len(g) AS words, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 100),
+cuts AS (SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r, CAST(t.n AS HUGEINT) AS n, (1000 * c.f * CAST(t.n AS HUGEINT)) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM counts) c JOIN totals t ON t.lang = c.lang JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:c.words]),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM cuts),
+within AS (SELECT DISTINCT lang, g[i:i + k - 1] AS g, f FROM (SELECT lang, g, f, words, k, unnest(range(1, words - k + 2)) AS i FROM (SELECT *, unnest(range(2, words)) AS k FROM counts))),
+kept AS (SELECT * FROM firsts c WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM within w WHERE w.lang = c.lang AND w.g = c.g AND w.f >= c.a)),
+ranked AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(g, ' '))) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), least=3, top=200)
 
@@ -141,6 +161,6 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records, op11_token_counts, op13_source_divergence)
+    for f in (op1_lm_scores, op2_near_duplicates, op3_packing, op4_quality, op5_toxicity, op6_fingerprints, op7_top_k, op8_languages, op9_mixing, op10_token_records, op11_token_counts, op12_collocations, op13_source_divergence)
 }
-ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op7_top_k": OP7_SQL, "op9_mixing": mixing.oracle_sql(), "op13_source_divergence": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_near_duplicates": OP2_SQL, "op7_top_k": OP7_SQL, "op9_mixing": mixing.oracle_sql(), "op12_collocations": OP12_SQL, "op13_source_divergence": OP13_SQL}

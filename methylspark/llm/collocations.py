@@ -31,13 +31,13 @@ from methylspark.llm.wordhash import buffers, mix, polynomial
 #: Words of a phrase at most.
 WORDS = 5
 #: Bytes of text or pieces that a task works on together, and bytes of pieces for each partition of buckets.
-FLUSH_BYTES, PART_BYTES = 16 << 20, 16 << 20
+FLUSH_BYTES, PART_BYTES = 6 << 20, 12 << 20
 #: Buckets for each partition of buckets.
 BUCKETS = 8
 #: A beginning is heavy if more than this share of windows has it (at most WORDS / HEAVY of them can be); it is looked for in one of LOOK pieces.
 HEAVY, LOOK = 1 / 1000, 8
 #: What duckdb may hold in memory in a task, and rows that it gets at once.
-MEMORY, ROWS = "256MB", 400_000
+MEMORY, ROWS = "160MB", 200_000
 #: Parts of a word are asked for so often that its count stands on so many rows.
 SALTS = 16
 PIECES = "lang string, piece binary, times bigint"
@@ -124,31 +124,39 @@ class Windows:
         starts, ends = _spans(~_SPACE[text], at)
         coded = _slices_of(text, starts, ends).dictionary_encode()
         self.words = coded.dictionary
-        piece = np.searchsorted(at, starts, side="right") - 1
+        piece = (np.searchsorted(at, starts, side="right") - 1).astype(np.int32)
         langs = rows.column("lang").combine_chunks().dictionary_encode()
         self.langs = langs.dictionary
         n, bits = len(starts), max(1, int(len(self.words)).bit_length())
-        ids = np.append(np.asarray(coded.indices).astype(np.int64) + 1, np.zeros(WORDS, np.int64))
-        of = np.append(piece, np.full(WORDS, -1))
-        lang = np.asarray(langs.indices).astype(np.int64)[piece]
-        columns = [lang, *(np.where(of[k : k + n] == piece, ids[k : k + n], 0) for k in range(WORDS))]
+        ids = np.append(np.asarray(coded.indices) + np.int32(1), np.zeros(WORDS, np.int32))
+        # the place after a piece's last word
+        stop = np.searchsorted(starts, at[1:])[piece].astype(np.int32)
+        del text, starts, ends, coded
+        langs_of = np.asarray(langs.indices)[piece]
         # as many columns as fit stand in one number
         keys, room = [], 0
-        for c, wide in zip(columns, [max(1, len(self.langs)).bit_length(), *[bits] * WORDS], strict=True):
+        for k, wide in enumerate([max(1, len(self.langs)).bit_length(), *[bits] * WORDS]):
+            c = np.where(np.arange(k - 1, k - 1 + n, dtype=np.int32) < stop, ids[k - 1 : k - 1 + n], 0).astype(np.int64) if k else langs_of.astype(np.int64)
             if room < wide:
-                keys.append(c.copy())
+                keys.append(c)
                 room = 63 - wide
             else:
-                keys[-1] = keys[-1] << wide | c
+                keys[-1] <<= wide
+                keys[-1] |= c
                 room -= wide
         order = np.lexsort(keys[::-1])
         new = np.ones(n, bool)
-        new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys]) if n else True
+        if n:
+            new[1:] = False
+            for k in keys:
+                k = k[order]
+                new[1:] |= k[1:] != k[:-1]
+        del keys
         begin = np.flatnonzero(new)
         keep = order[begin]
         self.weight = np.add.reduceat(rows.column("times").to_numpy()[piece][order], begin) if n else np.zeros(0, np.int64)
-        self.lang = lang[keep]
-        self.ids = np.stack([c[keep] - 1 for c in columns[1:]]).astype(np.int32)
+        self.lang = langs_of[keep].astype(np.int64)
+        self.ids = np.stack([np.where(keep + k < stop[keep], ids[keep + k], 0) - 1 for k in range(WORDS)]).astype(np.int32)
         self.size = (self.ids >= 0).sum(axis=0)
 
     def __len__(self) -> int:

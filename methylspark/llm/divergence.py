@@ -22,7 +22,7 @@ from methylspark.llm.store import written
 from methylspark.llm.wordhash import buffers
 
 #: Numbers of a chunk: its terms times the sources of its language. And pairs of sources that a task makes of it.
-CELLS, PAIRS = 1 << 20, 1 << 20
+CELLS, PAIRS = 1 << 16, 1 << 20
 #: Bytes of text that are counted together before they are sent.
 FLUSH_BYTES = 24 << 20
 UNIT = 1_000_000_000

@@ -2,10 +2,11 @@
 
 Pieces of text between signs are told apart once, with how often each comes. Every word of a piece begins one window of up to WORDS words, and a
 phrase is counted as a beginning of windows: all windows that may begin with it go to one of many hash buckets, where duckdb, out of core,
-sums their weights over words' numbers. Frequent parts of a phrase are counted in other buckets, so each phrase sends a request for
-every part, and requests meet counts in a shuffled join.
+sums their weights over words' numbers. This is done for words and pairs first, and then for longer phrases in windows that reach as far as pairs
+that are frequent (told by a bit for each pair's hash, of fixed size: a bit that another pair set keeps a window longer and changes no count). Frequent parts of a
+phrase are counted in other buckets, so each phrase sends a request for every part, and requests meet counts in a shuffled join.
 
-Windows are dealt by their first word. Where a beginning is so common that its bucket would hold more than a small share of all windows (a heavy
+Windows are dealt by their first words. Where a beginning is so common that its bucket would hold more than a small share of all windows (a heavy
 beginning, as those of a frequent word, pair or line), windows are dealt by one word more, and so on; the heavy beginning itself is counted in every task and its
 counts are added up in its own bucket. Which beginnings are heavy is found on a share of the pieces and decides only where a phrase is counted, never
 how often.
@@ -25,15 +26,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from methylspark.llm.store import written
-from methylspark.llm.wordhash import buffers, mix, polynomial
+from methylspark.llm.store import discard, written
+from methylspark.llm.wordhash import buffers, mix, polynomial, slices
 
 #: Words of a phrase at most.
 WORDS = 5
 #: Bytes of text or pieces that a task works on together, and bytes of pieces for each partition of buckets.
 FLUSH_BYTES, PART_BYTES = 6 << 20, 12 << 20
 #: Buckets for each partition of buckets.
-BUCKETS = 8
+BUCKETS = 4
+#: Bits that tell frequent pairs.
+BITS = 1 << 25
 #: A beginning is heavy if more than this share of windows has it (at most WORDS / HEAVY of them can be); it is looked for in one of LOOK pieces.
 HEAVY, LOOK = 1 / 1000, 8
 #: What duckdb may hold in memory in a task, and rows that it gets at once.
@@ -89,54 +92,83 @@ def _spans(solid: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, piece, times) of the columns lang, text: each different piece of these texts that has a word, from its first word to its last."""
-    for rows in _batched(batches):
-        data, offsets = buffers(rows.column("text"))
-        text, at = _FOLD[data[int(offsets[0]) : int(offsets[-1])]], offsets - int(offsets[0])
-        if not len(text):
-            continue
-        sign, space = _SIGN[text], _SPACE[text]
-        starts, ends = _spans(~(sign | space), at)
-        # words of one piece: no sign and no end of a row between them
-        cut = np.cumsum(sign)
-        row = np.searchsorted(at, starts, side="right")
-        first = np.ones(len(starts), bool)
-        first[1:] = (cut[starts[1:]] != cut[starts[:-1]]) | (row[1:] != row[:-1])
-        begin = np.flatnonzero(first)
-        if not len(begin):
-            continue
-        last = np.append(begin[1:], len(starts)) - 1
-        pieces = _slices_of(text, starts[begin], ends[last]).dictionary_encode()
-        langs = rows.column("lang").combine_chunks().dictionary_encode()
-        kinds = len(pieces.dictionary)
-        code = np.asarray(langs.indices).astype(np.int64)[row[begin] - 1] * kinds + np.asarray(pieces.indices)
-        code, times = np.unique(code, return_counts=True)
-        columns = [langs.dictionary.take(pa.array(code // kinds)), pieces.dictionary.take(pa.array(code % kinds)).cast(pa.binary()), pa.array(times.astype(np.int64))]
-        for lo in range(0, len(code), 50_000):
-            yield pa.RecordBatch.from_arrays([c.slice(lo, 50_000) for c in columns], names=["lang", "piece", "times"])
+    for b in batches:
+        data, offsets = buffers(b.column(1))
+        langs = b.column(0).dictionary_encode()
+        for lo, hi in slices(offsets, FLUSH_BYTES):
+            at = offsets[lo : hi + 1] - offsets[lo]
+            text = _FOLD[data[int(offsets[lo]) : int(offsets[hi])]]
+            if not len(text):
+                continue
+            sign = _SIGN[text]
+            starts, ends = _spans(~(sign | _SPACE[text]), at)
+            # words of one piece: no sign and no end of a row between them
+            cut, row = np.cumsum(sign, dtype=np.int32)[starts], np.searchsorted(at, starts, side="right")
+            first = np.ones(len(starts), bool)
+            first[1:] = (cut[1:] != cut[:-1]) | (row[1:] != row[:-1])
+            begin = np.flatnonzero(first)
+            if not len(begin):
+                continue
+            last = np.append(begin[1:], len(starts)) - 1
+            pieces = _slices_of(text, starts[begin], ends[last]).dictionary_encode()
+            kinds = len(pieces.dictionary)
+            code = np.asarray(langs.indices).astype(np.int64)[lo + row[begin] - 1] * kinds + np.asarray(pieces.indices)
+            code, times = np.unique(code, return_counts=True)
+            columns = [langs.dictionary.take(pa.array(code // kinds)), pieces.dictionary.take(pa.array(code % kinds)).cast(pa.binary()), pa.array(times.astype(np.int64))]
+            for k in range(0, len(code), 20_000):
+                yield pa.RecordBatch.from_arrays([c.slice(k, 20_000) for c in columns], names=["lang", "piece", "times"])
+
+
+def _hashes(words: pa.LargeBinaryArray) -> np.ndarray:
+    """A hash of each word that is the same in every task."""
+    data, offsets = buffers(words.cast(pa.large_string()))
+    text, at = data[int(offsets[0]) : int(offsets[-1])], offsets - int(offsets[0])
+    total, inverse = polynomial(text)
+    return mix((total[at[1:]] - total[at[:-1]]) * inverse[at[:-1]] + np.diff(at).astype(np.uint64))
+
+
+def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = (h % np.uint64(BITS)).astype(np.int64)
+    return (bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
 class Windows:
-    """The different windows of some pieces, in order: words' numbers (-1 beyond a piece's end), language and weight."""
+    """The different windows of up to `size` words of some pieces, in order: words' numbers (-1 beyond a window's end), language and weight.
 
-    def __init__(self, rows: pa.Table):
-        data, offsets = buffers(rows.column("piece").cast(pa.large_binary()).cast(pa.large_string(), safe=False))
+    With `bits`, those of at least three words that reach as far as pairs that have one."""
+
+    def __init__(self, rows: pa.Table, size: int, bits: np.ndarray | None = None):
+        data, offsets = buffers(rows.column("piece").cast(pa.large_binary()).cast(pa.large_string()))
         text, at = data[int(offsets[0]) : int(offsets[-1])], offsets - int(offsets[0])
         starts, ends = _spans(~_SPACE[text], at)
         coded = _slices_of(text, starts, ends).dictionary_encode()
-        self.words = coded.dictionary
+        self.words, ids = coded.dictionary, np.asarray(coded.indices)
+        self.hashes = _hashes(self.words)
         piece = (np.searchsorted(at, starts, side="right") - 1).astype(np.int32)
         langs = rows.column("lang").combine_chunks().dictionary_encode()
         self.langs = langs.dictionary
-        n, bits = len(starts), max(1, int(len(self.words)).bit_length())
-        ids = np.append(np.asarray(coded.indices) + np.int32(1), np.zeros(WORDS, np.int32))
-        # the place after a piece's last word
+        self.lang_hashes = _hashes(self.langs.cast(pa.large_binary()))
+        n, lang = len(starts), np.asarray(langs.indices)[piece]
+        # the place after a window's last word
         stop = np.searchsorted(starts, at[1:])[piece].astype(np.int32)
+        place = np.arange(n, dtype=np.int32)
         del text, starts, ends, coded
-        langs_of = np.asarray(langs.indices)[piece]
+        if bits is not None and n:
+            h = mix(self.lang_hashes[lang] + self.hashes[ids])
+            h[:-1] = mix(h[:-1] + self.hashes[ids[1:]])
+            rare = np.ones(n, bool)
+            rare[:-1] = ~_has(bits, h[:-1])
+            rare |= place + 1 >= stop
+            # the first place from here on whose word and the next are no frequent pair
+            last = np.minimum.accumulate(np.where(rare, place, n - 1)[::-1])[::-1]
+            stop = np.minimum(stop, last + 1)
+            place = place[stop - place > 2]
+        ids = np.append(ids + np.int32(1), np.zeros(size, np.int32))
+        wide = max(1, int(len(self.words)).bit_length())
         # as many columns as fit stand in one number
-        keys, room = [], 0
-        for k, wide in enumerate([max(1, len(self.langs)).bit_length(), *[bits] * WORDS]):
-            c = np.where(np.arange(k - 1, k - 1 + n, dtype=np.int32) < stop, ids[k - 1 : k - 1 + n], 0).astype(np.int64) if k else langs_of.astype(np.int64)
+        keys, room = [lang[place].astype(np.int64)], 63 - max(1, len(self.langs)).bit_length()
+        for k in range(size):
+            c = np.where(place + k < stop[place], ids[place + k], 0).astype(np.int64)
             if room < wide:
                 keys.append(c)
                 room = 63 - wide
@@ -144,19 +176,19 @@ class Windows:
                 keys[-1] <<= wide
                 keys[-1] |= c
                 room -= wide
-        order = np.lexsort(keys[::-1])
-        new = np.ones(n, bool)
-        if n:
-            new[1:] = False
-            for k in keys:
-                k = k[order]
-                new[1:] |= k[1:] != k[:-1]
+        order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+        new = np.ones(len(place), bool)
+        new[1:] = False
+        for k in keys:
+            k = k[order]
+            new[1:] |= k[1:] != k[:-1]
         del keys
         begin = np.flatnonzero(new)
-        keep = order[begin]
-        self.weight = np.add.reduceat(rows.column("times").to_numpy()[piece][order], begin) if n else np.zeros(0, np.int64)
-        self.lang = langs_of[keep].astype(np.int64)
-        self.ids = np.stack([np.where(keep + k < stop[keep], ids[keep + k], 0) - 1 for k in range(WORDS)]).astype(np.int32)
+        place = place[order]
+        self.weight = np.add.reduceat(rows.column("times").to_numpy()[piece[place]], begin) if len(place) else np.zeros(0, np.int64)
+        place = place[begin]
+        self.lang = lang[place].astype(np.int64)
+        self.ids = np.stack([np.where(place + k < stop[place], ids[place + k], 0) - np.int32(1) for k in range(size)])
         self.size = (self.ids >= 0).sum(axis=0)
 
     def __len__(self) -> int:
@@ -176,7 +208,7 @@ class Windows:
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, words, n): beginnings that more than a share HEAVY / 2 of these windows has. A row without words is the number of windows."""
     for rows in _batched(batches):
-        found = Windows(rows)
+        found = Windows(rows, WORDS)
         out: list[tuple] = [(None, None, len(found))]
         for size in range(1, WORDS):
             begin = found.runs(size)
@@ -199,38 +231,31 @@ def heavy_beginnings(pieces: DataFrame) -> list[tuple[str, tuple[bytes, ...]]]:
     return sorted((r.lang, tuple(map(bytes, r.words))) for r in found)
 
 
-def _hashes(words: pa.LargeBinaryArray) -> np.ndarray:
-    """A hash of each word that is the same in every task."""
-    data, offsets = buffers(words.cast(pa.large_string(), safe=False))
-    text, at = data[int(offsets[0]) : int(offsets[-1])], offsets - int(offsets[0])
-    total, inverse = polynomial(text)
-    return mix((total[at[1:]] - total[at[:-1]]) * inverse[at[:-1]] + np.diff(at).astype(np.uint64))
-
-
-def _dealt(batches: Iterator[pa.RecordBatch], sent: Broadcast, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Windows by bucket: (bucket, langs, words, rows, body). body holds the rows' languages, words (each as a number into its own langs and words, +1), the fewest words of phrases that are counted there, and weights."""
+def _dealt(batches: Iterator[pa.RecordBatch], sent: Broadcast, buckets: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
+    """Windows for phrases of `low` to `high` words by bucket: (bucket, langs, words, rows, body). body holds the rows' languages, words (each as a number into its own langs and words, +1), the fewest words of phrases that are counted there, and weights."""
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1)
+    heavy, bits = sent.value
     for rows in _batched(batches):
-        found = Windows(rows)
+        found = Windows(rows, high, bits if low > 1 else None)
         if not len(found):
             continue
-        word = {w: k for k, w in enumerate(found.words.to_pylist())} if sent.value else {}
+        word = {w: k for k, w in enumerate(found.words.to_pylist())} if heavy else {}
         lang = {x: k for k, x in enumerate(found.langs.to_pylist())}
         # a heavy beginning's number, by that of the beginning one word shorter and by its last word
         numbers: list[dict[tuple[int, int], int]] = [{} for _ in range(WORDS)]
         known: dict[tuple[str, tuple[bytes, ...]], int] = {}
-        for name, words in sorted(sent.value, key=lambda x: len(x[1])):
+        for name, words in sorted(heavy, key=lambda x: len(x[1])):
             before = lang.get(name) if len(words) == 1 else known.get((name, words[:-1]))
             if before is not None and words[-1] in word:
                 known[name, words] = numbers[len(words)].setdefault((before, word[words[-1]]), len(numbers[len(words)]))
         kinds = len(found.words)
-        least = np.ones(len(found), np.int64)
+        least = np.full(len(found), low)
         state = found.lang.copy()
         live = np.arange(len(found))
-        extra: list[tuple] = []
-        for size in range(1, WORDS):
+        extra: list[tuple[int, int, int]] = []
+        for size in range(1, high):
             if not numbers[size] or not len(live):
                 break
             keys = np.array(sorted(numbers[size]), np.int64)
@@ -241,30 +266,28 @@ def _dealt(batches: Iterator[pa.RecordBatch], sent: Broadcast, buckets: int) ->
             hit = (keys[at] == mine) & (found.ids[size - 1, live] >= 0)
             live = live[hit]
             state[live] = number[at[hit]]
-            least[live] = size + 1
-            total = np.zeros(len(number), np.int64)
-            np.add.at(total, state[live], found.weight[live])
-            one = np.zeros(len(number), np.int64)
-            one[state[live]] = live
-            for k in np.flatnonzero(total).tolist():
-                extra.append((one[k], size, total[k]))
+            if size >= low:
+                least[live] = size + 1
+                total, one = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+                np.add.at(total, state[live], found.weight[live])
+                one[state[live]] = live
+                extra += [(int(one[k]), size, int(total[k])) for k in np.flatnonzero(total).tolist()]
         stay = np.flatnonzero(least <= found.size)
         heads, sizes, weights = (np.array([x[k] for x in extra], np.int64) for k in range(3))
         every = np.concatenate((stay, heads))
         ids = found.ids[:, every]
-        ids[:, len(stay) :][np.arange(WORDS)[:, None] >= sizes] = -1
+        ids[:, len(stay) :][np.arange(high)[:, None] >= sizes] = -1
         least = np.concatenate((least[stay], sizes))
         weight = np.concatenate((found.weight[stay], weights))
         langs = found.lang[every]
-        h, name = np.append(_hashes(found.words), np.uint64(0)), _hashes(found.langs.cast(pa.large_binary()))
-        key = name[langs]
-        for k in range(WORDS):
+        h, key = np.append(found.hashes, np.uint64(0)), found.lang_hashes[langs]
+        for k in range(high):
             key = np.where(k < least, mix(key + h[ids[k]]), key)
         bucket = (key % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)).tolist() + [len(order)]
         used, place = np.zeros(kinds + 1, bool), np.zeros(kinds + 1, np.int32)
-        out: tuple[list, list, list, list] = ([], [], [], [])
+        names = found.langs.to_pylist()
         for lo, hi in zip(edges, edges[1:], strict=False):
             part = order[lo:hi]
             own = ids[:, part]
@@ -274,17 +297,15 @@ def _dealt(batches: Iterator[pa.RecordBatch], sent: Broadcast, buckets: int) ->
             kept = np.flatnonzero(used)
             place[kept] = np.arange(1, len(kept) + 1)
             place[-1] = 0
-            body = b"".join(x.tobytes() for x in (langs[part].astype(np.int32), place[own], least[part].astype(np.int32), weight[part].astype(np.int64)))
-            for column, x in zip(out, (int(bucket[part[0]]), found.words.take(pa.array(kept)).cast(pa.binary()).to_pylist(), hi - lo, press.compress(body)), strict=True):
-                column.append(x)
-        names = found.langs.to_pylist()
-        for k in range(0, len(out[0]), 32):
-            some = [c[k : k + 32] for c in out]
-            yield pa.RecordBatch.from_arrays([pa.array(some[0], pa.int64()), pa.array([names] * len(some[0]), pa.list_(pa.string())), pa.array(some[1], pa.list_(pa.binary())), pa.array(some[2], pa.int64()), pa.array(some[3], pa.binary())], names=["bucket", "langs", "words", "rows", "body"])
+            body = b"".join(x.tobytes() for x in (weight[part].astype(np.int64), langs[part].astype(np.int32), place[own], least[part].astype(np.int8)))
+            # no word holds a space
+            text = b" ".join(found.words.take(pa.array(kept)).to_pylist())
+            columns = [pa.array([int(bucket[part[0]])], pa.int64()), pa.array([names], pa.list_(pa.string())), pa.array([press.compress(text)], pa.binary()), pa.array([hi - lo], pa.int64()), pa.array([press.compress(body)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "langs", "words", "rows", "body"])
 
 
-def _phrases(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, words, n) of the buckets of one partition: phrases that come at least `least` times; an entry of 0 words is the number of words that were counted there."""
+def _phrases(batches: Iterator[pa.RecordBatch], least: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, words, n) of the buckets of one partition: phrases of `low` to `high` words that come at least `least` times. With single words also entries of 0 words, the number of words that were counted there."""
     import duckdb
     import zstandard
 
@@ -292,40 +313,40 @@ def _phrases(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
     spill = tempfile.mkdtemp(prefix="phrases-")
     try:
         con = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": MEMORY, "temp_directory": spill, "preserve_insertion_order": "false"})
-        names = [f"w{k}" for k in range(WORDS)]
-        con.execute(f"CREATE TABLE windows (lang INTEGER, {', '.join(f'{w} INTEGER' for w in names)}, least INTEGER, weight BIGINT)")
+        names = [f"w{k}" for k in range(high)]
+        con.execute(f"CREATE TABLE windows (weight BIGINT, lang INTEGER, {', '.join(f'{w} INTEGER' for w in names)}, least TINYINT)")
         words: dict[bytes, int] = {}
         langs: dict[str, int] = {}
         held: list[pa.RecordBatch] = []
         count = 0
 
         def send() -> None:
-            table = pa.Table.from_batches(held)
-            con.register("part", table)
+            con.register("part", pa.Table.from_batches(held))
             con.execute("INSERT INTO windows SELECT * FROM part")
             con.unregister("part")
 
         for b in batches:
-            for own_langs, own_words, n, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+            for own_langs, own_words, n, body in zip(*(b.column(k).to_pylist() for k in range(1, 5)), strict=True):
                 raw = expand.decompress(body)
-                numbers = np.frombuffer(raw, np.int32, n * (WORDS + 2)).reshape(WORDS + 2, n)
+                numbers = np.frombuffer(raw, np.int32, n * (high + 1), n * 8).reshape(high + 1, n)
                 lang = np.array([langs.setdefault(x, len(langs)) for x in own_langs], np.int32)
-                word = np.array([-1, *[words.setdefault(w, len(words)) for w in own_words]], np.int32)
-                columns = [lang[numbers[0]], *word[numbers[1 : WORDS + 1]], numbers[-1], np.frombuffer(raw, np.int64, n, n * (WORDS + 2) * 4)]
-                held.append(pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lang", *names, "least", "weight"]))
+                word = np.array([-1, *[words.setdefault(w, len(words)) for w in expand.decompress(own_words).split(b" ")]], np.int32)
+                columns = [np.frombuffer(raw, np.int64, n), lang[numbers[0]], *word[numbers[1:]], np.frombuffer(raw, np.int8, n, n * (12 + 4 * high))]
+                held.append(pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["weight", "lang", *names, "least"]))
                 count += n
                 if count >= ROWS:
                     send()
                     held, count = [], 0
         if held:
             send()
+            held = []
         lang_names, word_names = pa.array(list(langs), pa.string()), pa.array(list(words), pa.large_binary())
-        for size in range(WORDS, -1, -1):
+        words = {}
+        for size in [*range(high, low - 1, -1), *([0] if low == 1 else [])]:
             by = ", ".join(["lang", *names[:size]])
             where = f"least <= {size} AND w{size - 1} >= 0" if size else "least = 1"
             having = f"HAVING sum(weight) >= {int(least)}" if size else ""
-            reader = con.sql(f"SELECT {by}, CAST(sum(weight) AS BIGINT) AS n FROM windows WHERE {where} GROUP BY {by} {having}").to_arrow_reader(50_000)
-            for b in reader:
+            for b in con.sql(f"SELECT {by}, CAST(sum(weight) AS BIGINT) AS n FROM windows WHERE {where} GROUP BY {by} {having}").to_arrow_reader(20_000):
                 if b.num_rows:
                     parts = [word_names.take(c) for c in b.columns[1:-1]]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())).cast(pa.binary()).cast(pa.string()) if size else pa.nulls(b.num_rows, pa.string())
@@ -335,16 +356,41 @@ def _phrases(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
         shutil.rmtree(spill, ignore_errors=True)
 
 
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slot, mask): bits of the pairs of (lang, phrase) rows, 64 a slot."""
+    for b in batches:
+        if b.num_rows:
+            first, second = (pa.array(x, pa.large_binary()) for x in zip(*(p.encode().split(b" ") for p in b.column(1).to_pylist()), strict=True))
+            h = mix(mix(_hashes(b.column(0).cast(pa.large_binary())) + _hashes(first)) + _hashes(second))
+            at = (h % np.uint64(BITS)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["slot", "mask"])
+
+
+def frequent_pairs(pairs: DataFrame) -> np.ndarray:
+    """A bit for the hash of each pair, BITS in all, which also bounds what comes to the driver."""
+    slots = pairs.select("lang", "phrase").mapInArrow(_slots, "slot bigint, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(-(-BITS // 64), np.uint64)
+    out[slots["slot"].to_numpy()] = slots["mask"].to_numpy().view(np.uint64)
+    return out
+
+
 def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, words, n): phrases of up to WORDS words that come at least `least` times in a language, and rows of 0 words whose n add up to a language's words."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     pieces = written(rows.mapInArrow(_pieces, PIECES).groupBy("lang", "piece").agg(F.sum("times").alias("times")), "pieces")
     size = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     partitions = max(1, -(-size // PART_BYTES))
-    # a bounded number of short beginnings
-    sent = docs.sparkSession.sparkContext.broadcast(heavy_beginnings(pieces))
-    dealt = pieces.mapInArrow(lambda it: _dealt(it, sent, partitions * BUCKETS), "bucket bigint, langs array<string>, words array<binary>, rows bigint, body binary")
-    return written(dealt.repartition(partitions, "bucket").mapInArrow(lambda it: _phrases(it, least), PHRASES), "phrases")
+    heavy = heavy_beginnings(pieces)
+
+    def counted(low: int, high: int, bits: np.ndarray | None) -> DataFrame:
+        sent = docs.sparkSession.sparkContext.broadcast((heavy, bits))
+        dealt = pieces.mapInArrow(lambda it: _dealt(it, sent, partitions * BUCKETS, low, high), "bucket bigint, langs array<string>, words binary, rows bigint, body binary")
+        return written(dealt.repartition(partitions, "bucket").mapInArrow(lambda it: _phrases(it, least, low, high), PHRASES), "phrases")
+
+    short = counted(1, 2, None)
+    long = counted(3, WORDS, frequent_pairs(short.where("words = 2")))
+    discard(pieces)
+    return short.unionByName(long)
 
 
 def exact_score(scale: int) -> Column:

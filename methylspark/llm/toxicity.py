@@ -4,8 +4,8 @@ Instances are the tokens of labelled sentences. The kernel counts common subsequ
 letters, each occurrence weighing DECAY to the power of its span, so that gaps and inserted letters cost little; it is normalised by each token's
 kernel with itself. Punctuation within a token is passed over and lone letters in a row are one token, as in "i.d.i.o.t" or "i d i o t".
 With landmarks L, a token's Nyström features are K(L, L)^(-1/2) K(L, token), on which a linear machine with squared hinge loss is
-trained by Newton steps. Labels are of documents: a clean document's tokens are all negative, a toxic document's worst
-token is positive, chosen anew in ROUNDS rounds. The machine is a sum over landmarks of subsequence weights, so scoring is one table lookup for each
+trained by Newton steps. Labels are of documents: a clean document's tokens are all negative, a toxic document's tokens are positive where they are far likelier in
+toxic documents, and in later rounds where they resemble these. The machine is a sum over landmarks of subsequence weights, so scoring is one table lookup for each
 subsequence. A document scores as its worst token, made a probability by Platt's method.
 """
 
@@ -27,9 +27,13 @@ from methylspark.llm.wordhash import buffers, mix, slices
 ORDER, SPAN, DECAY = 3, 6, 0.75
 #: Letters of a token that are looked at together; longer tokens are cut into windows of this length, half of it apart.
 WIDTH = 24
-LANDMARKS, ROUNDS, PENALTY = 224, 3, 1.0
+LANDMARKS, ROUNDS, PENALTY, INSERTED = 384, 3, 4.0, 0.3
 #: Labelled documents of either class that the machine learns from (about; drawn by a hash), and negative tokens.
-TOXIC_DOCS, CLEAN_DOCS, NEGATIVES = 2500, 4000, 12_000
+TOXIC_DOCS, CLEAN_DOCS, NEGATIVES, POSITIVES = 2500, 4000, 12_000, 4000
+#: Lower bounds of a token's log odds: from the one it is an insult, from the other it may be one.
+LIKELY, POSSIBLE = 2.6, 1.0
+#: One labelled text in so many is kept for calibration, if these are so many of each class.
+APART, FEW = 4, 4
 
 _SKIP, _GAP, _EDGE = 0, 1, 2
 #: Letter classes: 0 passed over, 1 ends a token, 2 a token's edges, then digits, letters, and bytes over 127 by their low bits.
@@ -227,17 +231,35 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.shift, -30, 30)))
 
 
+def with_insertions(rows: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """These windows with a letter inserted at each place between two of theirs, and the row each is of."""
+    out, of = [], []
+    for k, row in enumerate(rows):
+        letters = row[1 : np.count_nonzero(row) - 1]
+        for at in range(1, len(letters) if len(letters) < WIDTH else 0):
+            new = np.zeros(WIDTH + 2, np.uint8)
+            new[: len(letters) + 3] = [_EDGE, *letters[:at], rng.integers(4, 30), *letters[at:], _EDGE]
+            out.append(new)
+            of.append(k)
+    return np.array(out, np.uint8).reshape(-1, WIDTH + 2), np.array(of, np.int64)
+
+
 def _machine(positive: np.ndarray, times: np.ndarray, negative: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, float]:
-    """Table and bias of a machine from positive windows, how often each was chosen, and negative windows."""
-    top = np.argsort(-times, kind="stable")[: LANDMARKS * 3 // 4]
-    landmarks = np.concatenate((positive[top], negative[rng.choice(len(negative), min(len(negative), LANDMARKS - len(top)), replace=False)]))
+    """Table and bias of a machine from positive windows, how often each was chosen, and negative windows, the hardest first."""
+    top = np.argsort(-times, kind="stable")[: LANDMARKS // 2]
+    hard = min(len(negative), LANDMARKS // 4)
+    some = hard + rng.choice(len(negative) - hard, min(len(negative) - hard, LANDMARKS - len(top) - hard), replace=False)
+    landmarks = np.concatenate((positive[top], negative[:hard], negative[some]))
     near = gram(landmarks, landmarks).astype(np.float64)
     scale, basis = np.linalg.eigh((near + near.T) / 2)
     root = (basis / np.sqrt(np.maximum(scale, 1e-3))) @ basis.T
-    y = np.append(np.ones(len(positive)), -np.ones(len(negative)))
-    weight = np.append(np.minimum(times, 20), np.ones(len(negative)))
+    # the insults found most often also count with a letter inserted, all its places together INSERTED times as much
+    inserted, of = with_insertions(positive[top], rng)
+    times = np.minimum(times, 20)
+    y = np.append(np.ones(len(positive) + len(inserted)), -np.ones(len(negative)))
+    weight = np.concatenate((times, INSERTED * times[top][of] / np.bincount(of)[of] if len(of) else [], np.ones(len(negative))))
     weight[y > 0] *= 0.25 * max(1, len(negative)) / weight[y > 0].sum()
-    w, bias = squared_hinge(gram(np.concatenate((positive, negative)), landmarks) @ root, y, weight, PENALTY)
+    w, bias = squared_hinge(gram(np.concatenate((positive, inserted, negative)), landmarks) @ root, y, weight, PENALTY)
     beta = (root @ w) / energy(landmarks)
     table = np.zeros(1 << 18, np.float32)
     for keys, factor in subsequences(landmarks):
@@ -285,47 +307,61 @@ def _with_value(rows: DataFrame, machine: tuple[np.ndarray, float] | None, odds:
 
 
 def fit(texts: DataFrame) -> Machine | None:
-    """A machine from whole labelled texts (toxic 0 or 1, text); None where a class has none.
+    """A machine from whole labelled texts (toxic 0 or 1, text); None where a class has none, or no token is likely an insult.
+
+    Positive are the tokens whose log odds of a toxic text are above LIKELY at the lower end of what their counts allow; in later rounds also, of each toxic text without
+    one, the worst token, if the machine takes it for one and clean texts hardly hold it. Toxic texts without either teach nothing. One text in APART (by a hash)
+    isn't learned from, and values are made probabilities on these; where they have fewer than FEW of a class, on all.
 
-    Texts become their distinct windows in tasks, and windows are counted, valued and chosen there; to the driver come one window for
-    each toxic text, at most NEGATIVES others, and one number a text.
+    Texts become their distinct windows in tasks, and windows are counted, valued and chosen there; to the driver come at most POSITIVES + NEGATIVES windows and one number a text.
     """
-    found = written(texts.select(F.col("toxic").cast("int"), "text").where("toxic in (0, 1)").mapInArrow(_windowed, "row bigint, toxic int, window binary"), "windows")
+    known = texts.select(F.col("toxic").cast("int"), "text").where("toxic in (0, 1)")
+    kind = F.col("toxic") + F.when(F.pmod(F.xxhash64("text"), F.lit(APART)) == 0, 2).otherwise(0)
+    found = written(known.select(kind.alias("toxic"), "text").mapInArrow(_windowed, "row bigint, toxic int, window binary"), "windows")
     number = {r.toxic: r.n for r in found.groupBy("toxic").agg(F.count_distinct("row").alias("n")).collect()}
-    n1, n0 = number.get(1, 0), number.get(0, 0)
+    apart = min(number.get(2, 0), number.get(3, 0)) >= FEW
+    taught = found.where("toxic < 2") if apart else found.withColumn("toxic", F.col("toxic") % 2)
+    n1, n0 = (number.get(x, 0) + (0 if apart else number.get(x + 2, 0)) for x in (1, 0))
     if not n1 or not n0:
         discard(found)
         return None
-    kinds = written(found.groupBy("window").agg(F.count_if(F.col("toxic") == 1).alias("df1"), F.count_if(F.col("toxic") == 0).alias("df0")).select("df1", "df0", "window"), "kinds")
-    bad = written(found.where("toxic = 1").join(kinds, "window").select("row", "df1", "df0", "window"), "bad")
-    clean = kinds.where("df0 > 0")
+    kinds = written(taught.groupBy("window").agg(F.count_if(F.col("toxic") == 1).alias("df1"), F.count_if(F.col("toxic") == 0).alias("df0")).select("df1", "df0", "window"), "kinds")
     # how much likelier a window is in toxic texts, at the lower end of what its few counts allow
     a, c = F.col("df1") + 0.5, F.col("df0") + 0.5
     odds = F.log(a / (n1 + 1)) - F.log(c / (n0 + 1)) - F.sqrt(1 / a + 1 / c)
+    bad = written(taught.where("toxic = 1").join(kinds.where(odds > POSSIBLE), "window").select("row", odds.alias("odds"), "window"), "bad")
+    clean = kinds.where("df0 > 0")
 
     def picked(rows: DataFrame, *order: Column, n: int) -> list[bytes]:
         return [bytes(r.window) for r in rows.orderBy(*order, "window").limit(n).select("window").collect()]
 
     usual = [*picked(clean, F.desc("df0"), n=NEGATIVES // 4), *picked(clean, F.xxhash64("window"), n=NEGATIVES // 2)]
+    sure = bad.groupBy("window").agg(F.max("odds").alias("odds"), F.count("*").alias("times")).where(F.col("odds") > LIKELY)
+    chosen = {bytes(r.window): r.times for r in sure.orderBy(F.desc("odds"), "window").limit(POSITIVES).collect()}
+    rest = bad.join(bad.where(F.col("odds") > LIKELY).select("row").distinct(), "row", "left_anti").select("row", "window")
     rng = np.random.default_rng(0)
     machine = None
-    for _ in range(ROUNDS):
-        worst = _with_value(bad, machine, odds).groupBy("row").agg(F.max(F.struct("value", "window", "df1", "df0")).alias("w"))
-        chosen = worst.groupBy("w").agg(F.count("*").alias("times")).select("w.*", "times").orderBy("window").collect()
-        chosen = [r for r in chosen if r.value > (0 if machine is None else -0.5)] or chosen
-        chosen = [r for r in chosen if r.df0 * n1 < r.df1 * n0]
+    for _ in range(ROUNDS if chosen else 0):
+        if machine is not None:
+            worst = _with_value(rest, machine, odds).groupBy("row").agg(F.max(F.struct("value", "window")).alias("w")).where("w.value > 0")
+            more = worst.groupBy("w.window").agg(F.count("*").alias("times")).orderBy(F.desc("times"), "window").limit(POSITIVES).collect()
+            chosen = {bytes(r.window): r.times for r in more} | chosen
         hard = picked(_with_value(clean, machine, odds), F.desc("value"), n=NEGATIVES // 4)
-        positive = [bytes(r.window) for r in chosen]
-        negative = sorted({*usual, *hard}.difference(positive))
-        if not positive or not negative:
+        positive = sorted(chosen)
+        negative = [w for w in dict.fromkeys((*hard, *usual)) if w not in chosen]
+        if not negative:
             machine = None
             break
         rows = [np.frombuffer(b"".join(x), np.uint8).reshape(-1, WIDTH + 2) for x in (positive, negative)]
-        machine = _machine(rows[0], np.array([r.times for r in chosen], float), rows[1], rng)
+        machine = _machine(rows[0], np.array([chosen[w] for w in positive], float), rows[1], rng)
     out = None
     if machine is not None:
-        most = _with_value(found, machine, odds).groupBy("row").agg(F.max("toxic").alias("toxic"), F.max("value").alias("value")).orderBy("row").toArrow()
-        out = Machine(*machine, *platt(most["value"].to_numpy(), most["toxic"].to_numpy()))
+        judged = found.where("toxic > 1") if apart else found
+        most = _with_value(judged, machine, odds).groupBy("row").agg((F.max("toxic") % 2).alias("toxic"), F.max("value").alias("value")).orderBy("row").toArrow()
+        value, toxic = most["value"].to_numpy(), most["toxic"].to_numpy()
+        # toxic texts in which the machine sees nothing would flatten what they say nothing of
+        seen = (toxic == 0) | (value > 0)
+        out = Machine(*machine, *platt(value[seen], toxic[seen]))
     for table in (found, kinds, bad):
         discard(table)
     return out
@@ -348,8 +384,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine | None:
     share = F.create_map(*(F.lit(x) for t, most in ((0, CLEAN_DOCS), (1, TOXIC_DOCS)) for x in (t, min(1.0, most / max(1, counts.get(t, 1))))))
     drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("toxic")] * 1_000_000).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    # at most the sample's size is sent
-    return fit(texts.join(F.broadcast(drawn), "doc_id").select("toxic", "text"))
+    # at most the sample's size is sent, and one text of each of its ids is learned from
+    return fit(texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text"))
 
 
 def detect(docs: DataFrame, machine: Machine | None, carried: tuple[str, ...] = ()) -> DataFrame:

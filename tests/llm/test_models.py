@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -180,6 +181,33 @@ def test_toxicity_on_held_out_documents(spark):
         assert machine.score(*buffers(pa.array([text])))[0] >= 0.7, text
 
 
+def test_toxicity_of_the_tables_labels(spark):
+    """Held-out documents of sf0.01. A good part of its toxic documents hold nothing that comes again in others; those that hold an insult of several others are found."""
+    docs, labels = (queries.table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    found = queries.op5_toxicity(spark, "/root/testdata/sf0.01").join(labels, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
+    apart, taught = ([r for r in found if r.held_out is x] for x in (True, False))
+
+    def words(r):
+        return set(re.findall("[a-z]+", (r.text or "").lower()))
+
+    times = {t: Counter(w for r in taught if r.toxic == t for w in words(r)) for t in (0, 1)}
+    insults = {w for w, n in times[1].items() if n >= 6 and not times[0][w]}
+    toxic = [r for r in apart if r.toxic == 1]
+    clear = [r for r in toxic if insults & words(r)]
+    clean = [r for r in apart if r.toxic == 0]
+    assert len(insults) >= 8 and len(clear) >= 10 and np.mean([r.predicted for r in clear]) >= 0.9
+    assert np.mean([r.predicted for r in clean]) <= 0.01
+    assert np.mean([(a.score > b.score) + (a.score == b.score) / 2 for a in toxic for b in clean]) > 0.88
+
+
+def test_toxicity_learns_one_text_of_an_id(spark):
+    docs = labelled(random.Random(4), 300)
+    rows = frame(spark, [(d, t, "en") for d, t, _ in docs] + [(d, "the " * 30, "en") for d, _, x in docs if x] * 4)
+    machine = toxicity.learn(rows, spark.createDataFrame([(d, x) for d, _, x in docs], "doc_id bigint, toxic int"))
+    low, high = machine.score(*buffers(pa.array(["the the", "an idiot"])))
+    assert low < 0.3 and high >= 0.7
+
+
 def test_toxicity_without_labels(spark):
     docs = frame(spark, [(1, "a", "en")])
     assert toxicity.learn(docs, spark.createDataFrame([], "doc_id bigint, toxic int")) is None

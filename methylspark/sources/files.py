@@ -4,22 +4,18 @@ from __future__ import annotations
 
 import gzip
 import io
-import struct
-import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from methylspark.sources.bam import BamSource
+
 BATCH = 4096
 FASTQ = "file string, ordinal bigint, header string, seq string, plus string, qual string"
 FASTA = "contig string, block_start int, seq string"
-BAM = "file string, ordinal bigint, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual array<int>, tags map<string,string>"
-#: Codes of bases and of CIGAR operations in a record (fixed values of the format).
-BASES, OPERATIONS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 
 
 def _open(path: str):
@@ -97,82 +93,6 @@ def fasta_rows(path: str, options: dict[str, str]) -> Iterator[tuple]:
             yield name, start, held
 
 
-class _Bgzf(io.RawIOBase):
-    """The data of a file of gzip members, one after the other. A file without the empty member at its end was cut off."""
-
-    def __init__(self, raw):
-        self.raw, self.held, self.last = raw, b"", None
-
-    def readable(self) -> bool:
-        return True
-
-    def readinto(self, out) -> int:
-        while not self.held:
-            head = self.raw.read(18)
-            if not head:
-                if self.last != b"":
-                    raise ValueError("the file ends before its last block")
-                return 0
-            if len(head) < 18 or head[:2] != b"\x1f\x8b" or head[12:14] != b"BC":
-                raise ValueError("not a block of a BAM file")
-            body = self.raw.read(struct.unpack_from("<H", head, 16)[0] + 1 - 18)
-            self.held = self.last = zlib.decompress(body[:-8], -15)
-        n = min(len(out), len(self.held))
-        out[:n], self.held = self.held[:n], self.held[n:]
-        return n
-
-
-_SIZES = {"A": "c", "c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-
-
-def _tags(data: bytes, at: int) -> dict[str, str]:
-    out = {}
-    while at < len(data):
-        name, kind = data[at : at + 2].decode(), chr(data[at + 2])
-        at += 3
-        if kind in "ZH":
-            end = data.index(0, at)
-            out[name], at = data[at:end].decode(), end + 1
-        elif kind == "B":
-            n = struct.unpack_from("<I", data, at + 1)[0]
-            form = f"<{n}{_SIZES[chr(data[at])]}"
-            out[name], at = ",".join(map(str, struct.unpack_from(form, data, at + 5))), at + 5 + struct.calcsize(form)
-        else:
-            value = struct.unpack_from(f"<{_SIZES[kind]}", data, at)[0]
-            out[name], at = value.decode() if kind == "A" else str(value), at + struct.calcsize(_SIZES[kind])
-    return out
-
-
-def bam_rows(path: str, options: dict[str, str]) -> Iterator[tuple]:
-    """All records in file order, positions 0-based; missing qualities are null."""
-    with io.BufferedReader(_Bgzf(_open(path)), 1 << 20) as f:
-
-        def number() -> int:
-            return struct.unpack("<i", f.read(4))[0]
-
-        if f.read(4) != b"BAM\x01":
-            raise ValueError(f"{path}: not a BAM file")
-        f.read(number())
-        names = []
-        for _ in range(number()):
-            names.append(f.read(number())[:-1].decode())
-            number()
-        name = lambda k: names[k] if k >= 0 else None
-        ordinal = 0
-        while head := f.read(4):
-            data = f.read(struct.unpack("<i", head)[0])
-            ref, pos, l_name, mapq, _, n_cigar, flag, l_seq, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", data)
-            at = 32 + l_name
-            cigar = "".join(f"{c >> 4}{OPERATIONS[c & 15]}" for c in struct.unpack_from(f"<{n_cigar}I", data, at))
-            at += 4 * n_cigar
-            packed = np.frombuffer(data, np.uint8, (l_seq + 1) // 2, at)
-            seq = "".join([BASES[b] for b in np.column_stack((packed >> 4, packed & 15)).ravel()[:l_seq]])
-            at += (l_seq + 1) // 2
-            qual = list(data[at : at + l_seq])
-            yield (path, ordinal, data[32 : 32 + l_name - 1].decode(), flag, name(ref), pos, mapq, cigar or None, name(next_ref), next_pos, tlen, seq, None if qual[:1] == [255] else qual, list(_tags(data, at + l_seq).items()))
-            ordinal += 1
-
-
 def _source(kind: str, columns: str, read, types: list[tuple[str, pa.DataType]]) -> type[DataSource]:
     reader = type(f"{kind}Reader", (_Files,), {"rows": staticmethod(read), "types": pa.schema(types)})
     return type(f"{kind}Source", (DataSource,), {"name": classmethod(lambda cls: kind), "schema": lambda self: columns, "reader": lambda self, schema: reader(dict(self.options))})
@@ -182,7 +102,7 @@ _S, _L, _I = pa.string(), pa.int64(), pa.int32()
 SOURCES = {
     "fastq": _source("fastq", FASTQ, fastq_rows, [("file", _S), ("ordinal", _L), ("header", _S), ("seq", _S), ("plus", _S), ("qual", _S)]),
     "fasta": _source("fasta", FASTA, fasta_rows, [("contig", _S), ("block_start", _I), ("seq", _S)]),
-    "bam": _source("bam", BAM, bam_rows, [("file", _S), ("ordinal", _L), ("qname", _S), ("flag", _I), ("rname", _S), ("pos", _I), ("mapq", _I), ("cigar", _S), ("rnext", _S), ("pnext", _I), ("tlen", _I), ("seq", _S), ("qual", pa.list_(_I)), ("tags", pa.map_(_S, _S))]),
+    "bam": BamSource,
 }
 
 
@@ -192,6 +112,12 @@ def read(spark: SparkSession, kind: str, *paths: str, **options: str) -> DataFra
     return spark.read.format(kind).options(**options).option("path", ",".join(paths)).load()
 
 
+def read_regions(spark: SparkSession, regions: list[tuple[str, int, int]], *paths: str, **options: str) -> DataFrame:
+    """Records of BAM files that reach into one of these (contig, first position, position after the last), each once; with an index beside a file little else of it is read."""
+    spans = ";".join(f"{contig}:{lo + 1}-{hi}" for contig, lo, hi in regions)
+    return read(spark, "bam", *paths, regions=spans, **options)
+
+
 def read_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
     """Read pairs by their place in both files; files of different length are an error."""
     r1, r2 = (read(spark, "fastq", p).select("ordinal", *(F.col(c).alias(f"{a}{k}") for c, a in (("header", "h"), ("seq", "s"), ("plus", "p"), ("qual", "q")))) for k, p in ((1, first), (2, second)))

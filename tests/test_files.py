@@ -6,7 +6,7 @@ import zlib
 
 import pytest
 
-from methylspark.sources import files
+from methylspark.sources import bam, files
 
 
 def block(data: bytes) -> bytes:
@@ -16,8 +16,8 @@ def block(data: bytes) -> bytes:
 
 
 def record(name, flag, ref, pos, mapq, cigar, seq, qual, tags=b""):
-    ops = b"".join(struct.pack("<I", n << 4 | files.OPERATIONS.index(op)) for n, op in cigar)
-    codes = [files.BASES.index(b) for b in seq] + [0] * (len(seq) % 2)
+    ops = b"".join(struct.pack("<I", n << 4 | bam.OPERATIONS.index(op)) for n, op in cigar)
+    codes = [bam.BASES.index(b) for b in seq] + [0] * (len(seq) % 2)
     packed = bytes(codes[k] << 4 | codes[k + 1] for k in range(0, len(codes), 2))
     body = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, mapq, 0, len(cigar), flag, len(seq), -1, -1, 0) + name.encode() + b"\0" + ops + packed + bytes(qual) + tags
     return struct.pack("<i", len(body)) + body

@@ -10,11 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.window import Window
 
+from methylspark.sources import fastq
 from methylspark.sources.bam import BamSource
 
 BATCH = 4096
 FASTQ = "file string, ordinal bigint, header string, seq string, plus string, qual string"
+#: Parts of FASTQ files up to which their counts are sent to all tasks; more are joined by a shuffle.
+MOST_PARTS = 100_000
 FASTA = "contig string, block_start int, seq string"
 
 
@@ -64,16 +68,6 @@ class _Files(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*block, strict=True), self.types.types, strict=True)], schema=self.types)
 
 
-def fastq_rows(path: str, options: dict[str, str]) -> Iterator[tuple]:
-    """Records of four lines; a file that ends within one, or whose headers lack their marks, is an error."""
-    with _text(path) as lines:
-        for k, header in enumerate(lines):
-            rest = [next(lines, None) for _ in range(3)]
-            if None in rest or not header.startswith("@") or not rest[1].startswith("+"):
-                raise ValueError(f"{path}: broken record {k}")
-            yield (path, k, header.rstrip("\r\n"), *(x.rstrip("\r\n") for x in rest))
-
-
 def fasta_rows(path: str, options: dict[str, str]) -> Iterator[tuple]:
     """Blocks of each contig's bases, in upper case."""
     size = int(options.get("block", 10_000))
@@ -100,7 +94,6 @@ def _source(kind: str, columns: str, read, types: list[tuple[str, pa.DataType]])
 
 _S, _L, _I = pa.string(), pa.int64(), pa.int32()
 SOURCES = {
-    "fastq": _source("fastq", FASTQ, fastq_rows, [("file", _S), ("ordinal", _L), ("header", _S), ("seq", _S), ("plus", _S), ("qual", _S)]),
     "fasta": _source("fasta", FASTA, fasta_rows, [("contig", _S), ("block_start", _I), ("seq", _S)]),
     "bam": BamSource,
 }
@@ -108,19 +101,38 @@ SOURCES = {
 
 def read(spark: SparkSession, kind: str, *paths: str, **options: str) -> DataFrame:
     """A DataFrame of these files: kind is fastq, fasta or bam."""
+    if kind == "fastq":
+        return _read_fastq(spark, list(paths), options)
     spark.dataSource.register(SOURCES[kind])
     return spark.read.format(kind).options(**options).option("path", ",".join(paths)).load()
 
 
+def _read_fastq(spark: SparkSession, paths: list[str], options: dict[str, str]) -> DataFrame:
+    """(file, ordinal, header, seq, plus, qual): ordinal is a record's number in its file, from a count of each part's records."""
+    for source in (fastq.FastqSource, fastq.CountsSource):
+        spark.dataSource.register(source)
+    parts, counts = (spark.read.format(kind).options(**options).option("path", ",".join(paths)).load() for kind in ("fastq_parts", "fastq_counts"))
+    split = int(options.get("split", fastq.SPLIT))
+    number = [len(fastq.parts_of(p, split)) for p in paths]
+    if max(number, default=1) == 1:
+        found = parts.withColumnRenamed("place", "ordinal")
+    else:
+        before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("file", "part", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("before"))
+        offsets = F.broadcast(offsets) if sum(number) <= MOST_PARTS else offsets
+        found = parts.join(offsets, ["file", "part"]).withColumn("ordinal", F.col("before") + F.col("place"))
+    return found.select("file", "ordinal", "header", "seq", "plus", "qual")
+
+
 def read_regions(spark: SparkSession, regions: list[tuple[str, int, int]], *paths: str, **options: str) -> DataFrame:
     """Records of BAM files that reach into one of these (contig, first position, position after the last), each once; with an index beside a file little else of it is read."""
     spans = ";".join(f"{contig}:{lo + 1}-{hi}" for contig, lo, hi in regions)
     return read(spark, "bam", *paths, regions=spans, **options)
 
 
-def read_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
+def read_pairs(spark: SparkSession, first: str, second: str, **options: str) -> DataFrame:
     """Read pairs by their place in both files; files of different length are an error."""
-    r1, r2 = (read(spark, "fastq", p).select("ordinal", *(F.col(c).alias(f"{a}{k}") for c, a in (("header", "h"), ("seq", "s"), ("plus", "p"), ("qual", "q")))) for k, p in ((1, first), (2, second)))
+    r1, r2 = (read(spark, "fastq", p, **options).select("ordinal", *(F.col(c).alias(f"{a}{k}") for c, a in (("header", "h"), ("seq", "s"), ("plus", "p"), ("qual", "q")))) for k, p in ((1, first), (2, second)))
     both = r1.join(r2, "ordinal", "full")
     whole = F.when(F.col("h1").isNull() | F.col("h2").isNull(), F.raise_error(F.lit("the files of a pair differ in length"))).otherwise(F.col("h1"))
     return both.withColumn("h1", whole)

@@ -53,6 +53,10 @@ def host_ch(spark: SparkSession, sf_dir: str, assay: Assay = Assay.TAPS) -> Data
     return calls.call_ch(spot_records(spark, sf_dir), tables(spark, sf_dir, "ref_blocks")[0], config, ("spot_id",))
 
 
+def host_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calls.call_all(spot_records(spark, sf_dir), tables(spark, sf_dir, "ref_blocks")[0], calls.CallConfig(trims=TRIMS), ("spot_id",))
+
+
 for _assay in Assay:
     _name = _assay.value.replace("-", "_")
     query(f"call_cg_{_name}", sql.query(sql.SITES, sql.BASES, sql.SPOTS, sql.cg_calls(_assay, TRIMS, True, "cg"), "SELECT * FROM cg"))(lambda spark, d, a=_assay: host_cg(spark, d, a))
@@ -63,10 +67,7 @@ for _assay in Assay:
 def call_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     reads, blocks = tables(spark, sf_dir, "reads", "ref_blocks")
     blocks, reads = blocks.where("role <> 'host'"), reads.where(F.col("rname").isin("chrM", "lambda"))
-    config = calls.CallConfig(trims=TRIMS)
-    shown = ["rname", "pos", "context", "strand", "meth", "unmeth", "pct"]
-    cg = calls.call_cg(reads, blocks, config).withColumns({"context": F.lit("CG"), "strand": F.lit("+")})
-    return cg.select(shown).unionByName(calls.call_ch(reads, blocks, config).select(shown))
+    return calls.call_all(reads, blocks, calls.CallConfig(trims=TRIMS))
 
 
 TARGETS = {"host": ["chr1", "chr2", "chr3"], "host_mito": ["chrM"], "lambda": ["lambda"]}
@@ -263,7 +264,7 @@ CONTEXTS = ("CG", "CA", "CC", "CT")
 
 
 def stats_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.context_stats(summary.all_contexts(host_cg(spark, sf_dir), host_ch(spark, sf_dir)))
+    return summary.context_stats(host_all(spark, sf_dir))
 
 
 STATS = tuple(sql.stats("cg" if c == "CG" else "ch", f"stats_{c.lower()}", "true" if c == "CG" else f"context = '{c}'") for c in CONTEXTS)

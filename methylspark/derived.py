@@ -63,9 +63,13 @@ pairs AS (SELECT ordinal, h1, CASE WHEN ordinal % 12 = 9 THEN substr(whole, 1, 7
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    """These derived views as DataFrames."""
+    """These derived views as DataFrames. A table that is stored as fewer parts than the session has cores for is dealt to all of them before reads are made of it."""
     for t in TABLES:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        table = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        cores = spark.sparkContext.defaultParallelism
+        if t == "events" and table.rdd.getNumPartitions() < cores:
+            table = table.select("event_id", "value").repartition(cores)
+        table.createOrReplaceTempView(t)
     return [spark.sql(f"WITH {views('spark')} SELECT * FROM {name}") for name in names]
 
 

@@ -63,13 +63,24 @@ def deep_bins(records: DataFrame, most: int) -> DataFrame:
     return records.select(F.col("rname").alias("contig"), F.explode(bins).alias("bin")).groupBy("contig", "bin").agg(F.count("*").alias("n")).where(F.col("n") > most).select("contig", "bin")
 
 
+#: Ranges that a deep position's bases are ranked in before they are ranked together.
+DEPTH_SALTS = 64
+
+
 def depth_capped(aligned: DataFrame, most: int, records: DataFrame, contig: str = "rname") -> DataFrame:
-    """At most so many bases of each reference position, the first in order of their records' ordinals. Only bases in bins that enough of the records reach are ranked, as a rule none: the others aren't moved."""
+    """At most so many bases of each reference position, the first in order of their records' ordinals.
+
+    Whether any bin of positions is deep enough is asked at once, by a count of records alone; as a rule none is, and the bases are left as they are, in one pass. Else only bases in deep bins
+    are ranked, first in DEPTH_SALTS parts of each position, so that no task gets more than so many times `most` of one."""
     deep = deep_bins(records, most)
+    if deep.isEmpty():
+        return aligned
     here = [F.col(contig) == F.col("contig"), F.floor(F.col("pos") / DEPTH_BIN) == F.col("bin")]
-    rank = F.row_number().over(Window.partitionBy(contig, "pos").orderBy("ordinal", "qpos"))
-    ranked = aligned.join(deep, here, "left_semi").withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
-    return aligned.join(deep, here, "left_anti").unionByName(ranked)
+    found = aligned.join(deep, here, "left_semi").withColumn("salt", F.pmod(F.xxhash64("ordinal"), F.lit(DEPTH_SALTS)))
+    for keys in ((contig, "pos", "salt"), (contig, "pos")):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("ordinal", "qpos"))
+        found = found.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")
+    return aligned.join(deep, here, "left_anti").unionByName(found.drop("salt"))
 
 
 def reference_sites(blocks: DataFrame) -> DataFrame:
@@ -87,9 +98,9 @@ def reference_sites(blocks: DataFrame) -> DataFrame:
 
 
 def as_sequenced(records: DataFrame, *carried: str) -> DataFrame:
-    """Aligned bases as the machine read them: base and next_base in sequencing direction, placed_base along the reference."""
+    """Aligned bases as the machine read them: base and next_base in sequencing direction, placed_base and placed_next along the reference."""
     reverse = chemistry.is_reverse(F.col("flag"))
     placed = bases(records.withColumn("fwd", dna.sequenced(F.upper("seq"), reverse)), *carried, "flag", "fwd")
     at = F.when(reverse, F.col("length") - F.col("qpos") - 1).otherwise(F.col("qpos"))
     letter = lambda k: F.nullif(F.substr("fwd", at + k, F.lit(1)), F.lit(""))
-    return placed.withColumns({"placed_base": F.col("base"), "base": letter(1), "next_base": letter(2)}).drop("fwd")
+    return placed.withColumns({"placed_base": F.col("base"), "placed_next": F.col("next_base"), "base": letter(1), "next_base": letter(2)}).drop("fwd")

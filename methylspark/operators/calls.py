@@ -123,3 +123,20 @@ def call_ch(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple
     follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
     kept = depth_capped(placed, config.max_depth, records).where(~cut & follows)
     return _counted(kept, [*by, "rname", "pos", "context", "strand"], chemistry.ch_methylated(F.col("base"), F.col("strand"), config.assay))
+
+
+def call_all(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = (), trims: DataFrame | None = None) -> DataFrame:
+    """Calls of all contexts in one pass over the bases: `by`, contig, position, context (CG's too), strand, meth, unmeth, pct; rows as `call_cg` and `call_ch` give them."""
+    sites = reference_sites(blocks).select(F.col("contig").alias("rname"), "pos", "context", "strand")
+    records = callable_records(records, config)
+    if trims is not None:
+        records = records.crossJoin(F.broadcast(trims))  # one row
+    placed = as_sequenced(records, *by, *_named(records), *(TRIM_COLUMNS if trims is not None else ()), "ordinal", "rname")
+    placed = _good(placed.join(sites, ["rname", "pos"]), config, "placed_base", by)
+    cut = [chemistry.trimmed(F.col("flag"), F.col("qpos") + k, F.col("length"), _cut(config, trims)) for k in (0, 1)]
+    is_cg = F.col("context") == "CG"
+    follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
+    fits = F.when(is_cg, F.col("placed_next").isNotNull() & ~cut[1]).otherwise(follows)
+    kept = depth_capped(placed, config.max_depth, records).where(~cut[0] & fits)
+    methylated = F.when(is_cg, chemistry.cg_methylated(F.concat("placed_base", "placed_next"), config.assay)).otherwise(chemistry.ch_methylated(F.col("base"), F.col("strand"), config.assay))
+    return _counted(kept, [*by, "rname", "pos", "context", "strand"], methylated)

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from methylspark.functions import chemistry
 from methylspark.functions.chemistry import Assay
 from methylspark.operators.aligned import bases, reference_sites
+from methylspark.operators.prefix import first_rows, seeded_sample
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,8 @@ class BiasConfig:
     fraction: float = 1.0
     seed: int = 42
     max_records: int = 0
+    #: Whether records are drawn one after another by a seeded generator, in order of file and ordinal, in place of a hash of their names.
+    replay: bool = False
 
 
 def hash_sample(records: DataFrame, fraction: float, seed: int, *keys: str) -> DataFrame:
@@ -33,14 +36,16 @@ def hash_sample(records: DataFrame, fraction: float, seed: int, *keys: str) -> D
 
 
 def first_records(records: DataFrame, most: int, *order: str) -> DataFrame:
-    """The first `most` records in this order (a file and the place in it, as a rule); all for 0."""
-    return records.orderBy(*order).limit(most) if most else records
+    """The first `most` records in this order (a file and the place in it, as a rule); all for 0. Found by counts, and then a filter."""
+    return first_rows(records, most, *order) if most else records
 
 
 def cycles(records: DataFrame, blocks: DataFrame, config: BiasConfig) -> DataFrame:
     """(read, cycle, methylated_count, unmethylated_count, coverage, methylation_rate) of CpG observations with enough quality at both bases."""
     kept = records.where(F.col("flag").isin(*chemistry.PAIRED_FLAGS) & (F.col("mapq") >= config.min_mapq))
-    kept = first_records(hash_sample(kept, config.fraction, config.seed, "qname", "flag"), config.max_records, *(c for c in ("file", "ordinal") if c in records.columns))
+    order = [c for c in ("file", "ordinal") if c in records.columns]
+    drawn = seeded_sample(kept, config.fraction, config.seed, *order) if config.replay else hash_sample(kept, config.fraction, config.seed, "qname", "flag")
+    kept = first_records(drawn.where("seq <> '' and rname is not null"), config.max_records, *order)
     sites = reference_sites(blocks).where("context = 'CG'").select(F.col("contig").alias("rname"), "pos")
     placed = bases(kept, "flag", "rname").join(sites, ["rname", "pos"]).where("next_base is not null")
     good = F.coalesce((F.col("qual") >= config.min_base_quality) & (F.col("next_qual") >= config.min_base_quality), F.lit(False)) if config.min_base_quality > 0 else F.lit(True)

@@ -368,6 +368,16 @@ def insert_conversion_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barcodes.insert_conversion(inserts_of(spark, sf_dir), POSITIONS)[1]
 
 
+for _edits in (2, 3):
+    _twin = sql.query(sql.nearest_part_sql("found", "(SELECT ordinal, substr(s1, 1, 60) AS w FROM pairs)", barcodes.LINKER, _edits), "SELECT p.ordinal, coalesce(place, -1) AS place FROM pairs p LEFT JOIN found USING (ordinal)")
+    query(f"linker_within_{_edits}", _twin)(lambda spark, d, k=_edits: linkers_within(spark, d, k))
+
+
+def linkers_within(spark: SparkSession, sf_dir: str, edits: int) -> DataFrame:
+    window = F.left("s1", F.lit(60))
+    return tables(spark, sf_dir, "pairs")[0].select("ordinal", F.coalesce(dna.near_position(window, barcodes.LINKER, edits), F.lit(-1)).cast("bigint").alias("place"))
+
+
 CT_PATTERN = "CAC"
 CT_SQL = """costs AS (SELECT ordinal, i, CASE WHEN substr(seq, i + 1, 1) NOT IN ('C', 'T') OR substr(seq, i + 3, 1) NOT IN ('C', 'T') THEN NULL ELSE CAST(substr(seq, i + 2, 1) <> 'A' AS INTEGER) END AS cost FROM (SELECT ordinal, seq, CAST(unnest(range(0, 23)) AS INTEGER) AS i FROM reads)),
 least AS (SELECT ordinal, min(cost) AS cost FROM costs WHERE cost <= 1 GROUP BY ordinal),

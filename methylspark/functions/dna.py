@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from methylspark.functions import approximate
+
 
 def complement(seq: Column) -> Column:
     """The complement of each base, IUPAC codes included."""
@@ -60,9 +62,12 @@ def edited_pattern(pattern: str, edits: int) -> str:
 
 def near_position(window: Column, pattern: str, most: int) -> Column:
     """Where a pattern stands in a text: exactly and at one place; or nowhere exactly, but with the fewest edits that any match needs, at most `most`, and no other such match
-    behind the first one's end. Null otherwise. Regular expressions find matches, so that rows stay in the JVM; they grow fast with `most`, which is 1 or 2 in use."""
+    apart from it. Null otherwise. One edit is found by a regular expression, so that rows stay in the JVM; its text grows fast with edits, so for more a bit-parallel matcher gets
+    the texts without an exact match."""
     exact = F.instr(window, pattern)
     out = F.when(exact > 0, F.when(F.instr(F.substr(window, exact + 1), pattern) == 0, exact - 1))
+    if most > 1:
+        return out.otherwise(approximate.place(F.when(exact == 0, window), pattern, most))
     for edits in range(1, most + 1):
         regex = F.lit(edited_pattern(pattern, edits))
         found = F.regexp_substr(window, regex)

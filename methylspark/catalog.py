@@ -202,6 +202,17 @@ def mbias_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mbias.cutoffs(bias_points(spark, sf_dir), CUTOFF)
 
 
+#: Trims that the cycles show; without those of both reads there are no calls.
+BIAS_TRIMS = {r: tuple(f"(SELECT max({side}_trim) FILTER (read = '{r}') FROM cut)" for side in ("left", "right")) for r in ("R1", "R2")}
+
+
+@query("call_cg_bias_trims", sql.query(sql.SITES, sql.BASES, MBIAS, CUTOFF_PARTS, f"cut AS ({CUTOFFS_SQL})", sql.cg_calls(Assay.TAPS, BIAS_TRIMS, False, "cg"), "SELECT * FROM cg WHERE (SELECT count(DISTINCT read) FROM cut) = 2"))
+def call_cg_bias_trims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads, blocks = tables(spark, sf_dir, "reads", "ref_blocks")
+    found = calls.trims_of(mbias.cutoffs(bias_points(spark, sf_dir), CUTOFF), None)
+    return calls.call_cg(reads, blocks, calls.CallConfig(trims=TRIMS), trims=found)
+
+
 CG = (sql.SITES, sql.BASES, sql.SPOTS, sql.cg_calls(Assay.TAPS, TRIMS, True, "cg"))
 
 
@@ -254,9 +265,7 @@ CASE WHEN r2 >= 0.99 THEN 'linear' ELSE 'saturation' END AS extrapolation_model,
 
 @query("saturation_summary", sql.query(*GOOD, sql.EXPECTED, sql.CURVE, sql.LINEAR, sql.FIT, SUMMARY_SQL))
 def saturation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    histogram = histogram_of(spark, sf_dir)
-    used = histogram.agg(F.count_distinct("spot_id").alias("n"))
-    return saturation.summary(saturation.medians(saturation.expected_unique(histogram)), used)
+    return saturation.summary(curve_of(spark, sf_dir))
 
 
 BOTH = (*CG, sql.ch_calls(Assay.TAPS, TRIMS, True, "ch"))
@@ -306,11 +315,15 @@ FROM (SELECT count(*) FILTER ({sql.MAPPED}) AS mapped, count(*) FILTER ({sql.MAP
 
 @query("sample_summary", sql.query(*CG, STATS[0], sql.cg_calls(Assay.TAPS, TRIMS, False, "whole"), SAMPLE_SQL))
 def sample_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_row_of(spark, sf_dir, 20_000, 15_000)
+
+
+def sample_row_of(spark: SparkSession, sf_dir: str, raw: int | DataFrame, barcoded: int | DataFrame) -> DataFrame:
     reads, blocks = tables(spark, sf_dir, "reads", "ref_blocks")
     spike = reads.where("rname = 'lambda'")
     called = calls.call_cg(spike, blocks.where("contig = 'lambda'"), calls.CallConfig(trims=TRIMS))
     means = [summary.spot_means(summary.context_stats(host_cg(spark, sf_dir)), "host_spot_mean_methylation", "host_spot_median_cpg_sites"), summary.aggregate_mean(called, "lambda_mean_methylation")]
-    return summary.sample_row(20_000, 15_000, summary.mapped_valid(reads.where("rname like 'chr%'")), {"lambda": summary.mapped_valid(spike)}, means)
+    return summary.sample_row(raw, barcoded, summary.mapped_valid(reads.where("rname like 'chr%'")), {"lambda": summary.mapped_valid(spike)}, means)
 
 
 @query("barcode_exact", sql.query(sql.PLACED, "SELECT ordinal, linker_at, observed2, ord FROM placed JOIN whitelist ON seq = observed2"))
@@ -349,6 +362,17 @@ def extract_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return barcodes.reject_counts(rejected(spark, sf_dir))
 
 
+_COUNTED = SAMPLE_SQL.replace("20000 AS raw_reads, 15000 AS barcoded_reads, '75.00%' AS barcoded_reads_rate", "raw AS raw_reads, kept AS barcoded_reads, printf('%.2f%%', round_even(kept / raw * 100, 2)) AS barcoded_reads_rate").replace("host.valid / 20000 * 100", "host.valid / raw * 100") + ", (SELECT 2 * count(*) AS raw, 2 * count(*) FILTER (len(reasons) = 0) AS kept FROM judged)"
+
+
+@query("sample_summary_counted", sql.query(*CG, STATS[0], sql.cg_calls(Assay.TAPS, TRIMS, False, "whole"), sql.PLACED, sql.NEAREST, sql.REJECTED, _COUNTED))
+def sample_summary_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample's row with raw and barcoded reads as extraction counts them."""
+    counted = barcodes.reject_counts(rejected(spark, sf_dir))
+    raw, kept = counted.select(F.col("total_reads") * 2), counted.select(F.col("kept_reads") * 2)
+    return sample_row_of(spark, sf_dir, raw, kept)
+
+
 #: The insert-left that taps-v2 found in kept pairs, and its places of C.
 INSERTS = (sql.placed_sql(Assay.TAPS_V2), sql.NEAREST, sql.REJECTED, "seen AS (SELECT ordinal, substr(s1, CAST(insert_at AS INTEGER) + 1, 34) AS insert FROM judged WHERE len(reasons) = 0)")
 C_PLACES = dna.c_positions(barcodes.INSERT_LEFT)

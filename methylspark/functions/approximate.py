@@ -61,10 +61,11 @@ def _edits(parts: np.ndarray, sizes: np.ndarray, pattern: bytes) -> np.ndarray:
     return before[np.arange(len(parts)), sizes]
 
 
-def places(texts: list[str], pattern: str, most: int) -> np.ndarray:
+def places(texts: list[str], pattern: str, most: int, grouped: bool = False) -> np.ndarray:
     """Where the pattern stands in each text with the fewest edits, at most `most`; -1 where it doesn't, or at several places.
 
-    Matches of the fewest edits that overlap are one place, which begins where the longest of them does, the first of equally long ones. Empty parts match nothing."""
+    Of matches with the fewest edits the first counts, the longest of those that begin there, and none may begin behind its end. With `grouped`, matches that overlap
+    one after another are one place, which begins where the longest of them does (the first of equally long ones). Empty parts match nothing."""
     wanted, m = pattern.encode("latin-1"), len(pattern)
     data, sizes = _matrix(texts)
     out = np.full(len(texts), -1)
@@ -102,14 +103,18 @@ def places(texts: list[str], pattern: str, most: int) -> np.ndarray:
     pairs = pairs[np.lexsort((pairs[:, 2], pairs[:, 1], pairs[:, 0]))]
     if not len(pairs):
         return out
-    # a match that begins behind all ends before it in its text is another place
     begin = np.flatnonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0]))
-    shifted = pairs[:, 2] + pairs[:, 0] * (4 * width + 4)  # ends of later texts are larger
-    reach = np.maximum.accumulate(shifted)
+    later = pairs[:, 0] * (4 * width + 4)  # places of later texts are larger
+    # where the text's first match, or any before this one, ends
+    last = np.append(begin[1:], len(pairs)) - 1
+    stop = np.maximum.accumulate(pairs[:, 2] + later) - later
+    if not grouped:
+        long = np.array([pairs[a : z + 1][pairs[a : z + 1, 1] == pairs[a, 1], 2].max() for a, z in zip(begin, last, strict=True)])
+        stop = np.repeat(long, last - begin + 1)
     apart = np.zeros(len(pairs), np.int64)
-    apart[1:] = (pairs[1:, 0] == pairs[:-1, 0]) & (pairs[1:, 1] + pairs[1:, 0] * (4 * width + 4) >= reach[:-1])
+    apart[1:] = (pairs[1:, 0] == pairs[:-1, 0]) & (pairs[1:, 1] >= stop[:-1])
     single = np.add.reduceat(apart, begin) == 0
-    order = np.lexsort((pairs[:, 1], pairs[:, 1] - pairs[:, 2], pairs[:, 0]))
+    order = np.lexsort((pairs[:, 1], pairs[:, 1] - pairs[:, 2], pairs[:, 0])) if grouped else np.arange(len(pairs))
     first = pairs[order][np.flatnonzero(np.append(True, pairs[order][1:, 0] != pairs[order][:-1, 0]))]
     out[live[first[single, 0]]] = first[single, 1]
     return out

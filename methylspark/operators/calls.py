@@ -66,10 +66,11 @@ def totals(calls: DataFrame, *keys: str) -> DataFrame:
     return calls.groupBy(*keys).agg(F.count("*").alias("processed"), F.count_if(F.col("meth") + F.col("unmeth") > 0).alias("covered"))
 
 
-def trims_of(cutoffs: DataFrame, otherwise: dict[str, tuple[int, int]]) -> DataFrame:
-    """One row of trims (R1_left, R1_right, R2_left, R2_right): those that `mbias.cutoffs` found for both reads, or else the given ones."""
-    sides = {f"{r}_{side}": (r, side, otherwise[r][k]) for r in ("R1", "R2") for k, side in enumerate(("left", "right"))}
+def trims_of(cutoffs: DataFrame, otherwise: dict[str, tuple[int, int]] | None) -> DataFrame:
+    """One row of trims (R1_left, R1_right, R2_left, R2_right): those that `mbias.cutoffs` found for both reads, or else the given ones. Without given ones there is no row then, and a target that is called with it has no calls."""
+    sides = {f"{r}_{side}": (r, side, otherwise[r][k] if otherwise else None) for r in ("R1", "R2") for k, side in enumerate(("left", "right"))}
     found = cutoffs.agg(F.count_distinct("read").alias("n"), *(F.max(F.when(F.col("read") == r, F.col(f"{side}_trim"))).alias(name) for name, (r, side, _) in sides.items()))
+    found = found if otherwise else found.where("n = 2")
     return found.select(*(F.when(F.col("n") == 2, F.col(name)).otherwise(given).cast("int").alias(name) for name, (_, _, given) in sides.items()))
 
 
@@ -101,34 +102,34 @@ def _counted(found: DataFrame, keys: list[str], methylated: Column) -> DataFrame
 def call_cg(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = (), trims: DataFrame | None = None) -> DataFrame:
     """CpG counts by `by` (columns of the records), contig and position of the forward C: meth, unmeth, pct. `trims`, a row of `trims_of`, takes the place of the configured ones."""
     sites = reference_sites(blocks).where("context = 'CG'").select(F.col("contig").alias("rname"), "pos")
-    records = callable_records(records, config)
+    records = counted = callable_records(records, config)
     if trims is not None:
         records = records.crossJoin(F.broadcast(trims))  # one row
     placed = bases(records, *by, *_named(records), *(TRIM_COLUMNS if trims is not None else ()), "ordinal", "flag", "rname")
     placed = _good(placed.join(sites, ["rname", "pos"]), config, "base", by)
     cut = [chemistry.trimmed(F.col("flag"), F.col("qpos") + k, F.col("length"), _cut(config, trims)) for k in (0, 1)]
-    kept = depth_capped(placed, config.max_depth, records).where(F.col("next_base").isNotNull() & ~cut[0] & ~cut[1])
+    kept = depth_capped(placed, config.max_depth, counted).where(F.col("next_base").isNotNull() & ~cut[0] & ~cut[1])
     return _counted(kept, [*by, "rname", "pos"], chemistry.cg_methylated(F.concat("base", "next_base"), config.assay))
 
 
 def call_ch(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = (), trims: DataFrame | None = None) -> DataFrame:
     """CH counts by `by`, contig, position, context and strand. On the plus strand the base sequenced next must be the context's second."""
     sites = reference_sites(blocks).where("context <> 'CG'").select(F.col("contig").alias("rname"), "pos", "context", "strand")
-    records = callable_records(records, config)
+    records = counted = callable_records(records, config)
     if trims is not None:
         records = records.crossJoin(F.broadcast(trims))  # one row
     placed = as_sequenced(records, *by, *_named(records), *(TRIM_COLUMNS if trims is not None else ()), "ordinal", "rname")
     placed = _good(placed.join(sites, ["rname", "pos"]), config, "placed_base", by)
     cut = chemistry.trimmed(F.col("flag"), F.col("qpos"), F.col("length"), _cut(config, trims))
     follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
-    kept = depth_capped(placed, config.max_depth, records).where(~cut & follows)
+    kept = depth_capped(placed, config.max_depth, counted).where(~cut & follows)
     return _counted(kept, [*by, "rname", "pos", "context", "strand"], chemistry.ch_methylated(F.col("base"), F.col("strand"), config.assay))
 
 
 def call_all(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tuple[str, ...] = (), trims: DataFrame | None = None) -> DataFrame:
     """Calls of all contexts in one pass over the bases: `by`, contig, position, context (CG's too), strand, meth, unmeth, pct; rows as `call_cg` and `call_ch` give them."""
     sites = reference_sites(blocks).select(F.col("contig").alias("rname"), "pos", "context", "strand")
-    records = callable_records(records, config)
+    records = counted = callable_records(records, config)
     if trims is not None:
         records = records.crossJoin(F.broadcast(trims))  # one row
     placed = as_sequenced(records, *by, *_named(records), *(TRIM_COLUMNS if trims is not None else ()), "ordinal", "rname")
@@ -137,6 +138,6 @@ def call_all(records: DataFrame, blocks: DataFrame, config: CallConfig, by: tupl
     is_cg = F.col("context") == "CG"
     follows = (F.col("strand") == "-") | (F.col("next_base") == F.right("context", F.lit(1)))
     fits = F.when(is_cg, F.col("placed_next").isNotNull() & ~cut[1]).otherwise(follows)
-    kept = depth_capped(placed, config.max_depth, records).where(~cut[0] & fits)
+    kept = depth_capped(placed, config.max_depth, counted).where(~cut[0] & fits)
     methylated = F.when(is_cg, chemistry.cg_methylated(F.concat("placed_base", "placed_next"), config.assay)).otherwise(chemistry.ch_methylated(F.col("base"), F.col("strand"), config.assay))
     return _counted(kept, [*by, "rname", "pos", "context", "strand"], methylated)

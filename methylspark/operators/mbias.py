@@ -81,8 +81,9 @@ def cutoffs(points: DataFrame, config: CutoffConfig) -> DataFrame:
     """One row for each read whose cycles allow it: the axis, its first and last stable run, both trims, the central rate and coverage threshold.
 
     A cycle is stable where it has enough coverage and the rolling median is near the median of the axis's middle half. A read without a middle or a
-    run has no row; an empty result means no cutoffs.
+    run has no row; an empty result means no cutoffs. The points, one a read and cycle, are held when this is called, since each step uses them again.
     """
+    points = points.sparkSession.createDataFrame(sorted(points.collect()), points.schema)
     covered = points.where(F.col("coverage") >= config.min_coverage)
     first = covered.groupBy("read").agg(F.greatest(F.lit(config.min_coverage), F.bround(F.median("coverage") * config.coverage_fraction, 0).cast("int")).alias("preliminary"))
     ends = points.join(first, "read").groupBy("read").agg(F.min(F.when(F.col("coverage") >= F.col("preliminary"), F.col("cycle"))).alias("supported"), F.max("cycle").alias("longest"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +34,10 @@ def expected_unique(histogram: DataFrame, fractions: tuple[float, ...] = FRACTIO
 
 
 def medians(expected: DataFrame) -> DataFrame:
-    """(fraction, median, low, high): medians over spots and how far the quartiles lie off them."""
+    """(fraction, median, low, high, spots): medians over spots, how far the quartiles lie off them, and the spots' number."""
     q = F.percentile("expected", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    rows = expected.groupBy("fraction").agg(q.alias("q"))
-    return rows.select("fraction", F.get("q", F.lit(1)).alias("median"), F.greatest(F.lit(0.0), F.get("q", F.lit(1)) - F.get("q", F.lit(0))).alias("low"), F.greatest(F.lit(0.0), F.get("q", F.lit(2)) - F.get("q", F.lit(1))).alias("high"))
+    rows = expected.groupBy("fraction").agg(q.alias("q"), F.count("*").alias("spots"))
+    return rows.select("fraction", F.get("q", F.lit(1)).alias("median"), F.greatest(F.lit(0.0), F.get("q", F.lit(1)) - F.get("q", F.lit(0))).alias("low"), F.greatest(F.lit(0.0), F.get("q", F.lit(2)) - F.get("q", F.lit(1))).alias("high"), "spots")
 
 
 def r_squared(curve: DataFrame, predicted: Column) -> DataFrame:
@@ -53,41 +54,44 @@ def linear_fit(curve: DataFrame) -> DataFrame:
     return slope.crossJoin(r_squared(curve.crossJoin(F.broadcast(slope)), F.col("slope") * F.col("fraction")))
 
 
-def _search(curve: DataFrame, low: float, high: float, count: int) -> tuple[float, float, float]:
+def _search(fraction: np.ndarray, median: np.ndarray, low: float, high: float, count: int) -> tuple[float, float, float]:
     """Error, maximum and rate of the best point of a grid of rates; the first of equal ones."""
-    step = (high - low) / (count - 1)
-    grid = curve.sparkSession.range(count).select("id", F.pow(F.lit(10.0), F.lit(low) + F.lit(step) * F.col("id")).alias("rate"))
-    x = 1 - F.exp(-F.col("rate") * F.col("fraction"))
-    placed = grid.crossJoin(F.broadcast(curve)).select("id", "rate", "median", x.alias("x"))
-    tops = placed.groupBy("id", "rate").agg(F.sum(F.col("median") * F.col("x")).alias("vx"), F.sum(F.col("x") * F.col("x")).alias("xx"), F.collect_list(F.struct("median", "x")).alias("points")).where("xx > 0")
-    tops = tops.withColumn("maximum", F.greatest(F.lit(0.0), F.col("vx") / F.col("xx")))
-    error = F.aggregate("points", F.lit(0.0), lambda e, p: e + F.pow(p["median"] - F.col("maximum") * p["x"], 2))
-    best = tops.select(error.alias("error"), "id", "maximum", "rate").agg(F.min(F.struct("error", "id", "maximum", "rate")).alias("best")).first().best
-    return (float("inf"), 0.0, 1.0) if best is None else (best.error, best.maximum, best.rate)
+    rate = 10.0 ** (low + (high - low) / (count - 1) * np.arange(count))
+    x = 1 - np.exp(-rate[:, None] * fraction)
+    square = (x * x).sum(axis=1)
+    if not len(median) or not (square > 0).any():
+        return float("inf"), 0.0, 1.0
+    top = np.maximum(0.0, np.divide((median * x).sum(axis=1), square, out=np.zeros(count), where=square > 0))
+    error = np.where(square > 0, ((median - top[:, None] * x) ** 2).sum(axis=1), np.inf)
+    k = int(error.argmin())
+    return float(error[k]), float(top[k]), float(rate[k])
 
 
 def held(curve: DataFrame) -> DataFrame:
     """The curve's few rows, one a fraction, as a table of their own, so that its calls aren't made again at each use."""
-    rows = curve.select("fraction", "median")
+    rows = curve.select("fraction", "median", *(c for c in ("spots",) if c in curve.columns))
     return curve.sparkSession.createDataFrame(sorted(rows.collect()), rows.schema)
 
 
 def saturation_fit(curve: DataFrame, refinements: int = REFINED[2]) -> DataFrame:
     """One row: maximum, rate and error of maximum * (1 - exp(-rate * fraction)), by a grid of rates that is refined around the best; the maximum of each has a closed form."""
-    curve = held(curve)
-    best = _search(curve, *GRID)
+    points = [(r.fraction, r.median) for r in curve.select("fraction", "median").collect() if r.median is not None]  # one row a fraction
+    fraction, median = np.array(points, float).reshape(-1, 2).T
+    best = _search(fraction, median, *GRID)
     for _ in range(refinements):
         center = math.log10(best[2])
-        best = min(best, _search(curve, center - REFINED[0], center + REFINED[0], REFINED[1]), key=lambda x: x[0])
+        best = min(best, _search(fraction, median, center - REFINED[0], center + REFINED[0], REFINED[1]), key=lambda x: x[0])
     error, maximum, rate = best
     return curve.sparkSession.range(1).select(F.lit(maximum).alias("maximum"), F.lit(rate).alias("rate"), F.lit(error).alias("error"))
 
 
-def summary(curve: DataFrame, spots: int | DataFrame, predicted_at: float = 2.0, linear_r2: float = 0.99) -> DataFrame:
-    """One row: observed median, maximum and prediction, saturation rate in percent, the model chosen, and spots used (a number or one row, n)."""
+def summary(curve: DataFrame, spots: int | DataFrame | None = None, predicted_at: float = 2.0, linear_r2: float = 0.99) -> DataFrame:
+    """One row: observed median, maximum and prediction, saturation rate in percent, the model chosen, and spots used (a number or one row, n; by default those that the curve's medians are of)."""
     curve = held(curve)
     observed = curve.agg(F.max_by("median", "fraction").alias("observed"))
     rows = linear_fit(curve).crossJoin(saturation_fit(curve)).crossJoin(observed)
+    if spots is None:
+        spots = curve.agg(F.coalesce(F.max("spots"), F.lit(0)).alias("n"))
     rows = rows.withColumn("n", F.lit(spots)) if isinstance(spots, int) else rows.crossJoin(spots.select("n"))
     straight, has_top = F.col("r2") >= linear_r2, F.col("maximum") > 0
     curved = F.col("maximum") * (1 - F.exp(-F.col("rate") * predicted_at))

@@ -71,9 +71,17 @@ def aggregate_mean(calls: DataFrame, name: str) -> DataFrame:
     return calls.agg(F.bround(hundredths / 100 / F.nullif(F.count("*"), F.lit(0)), 6).alias(name))
 
 
-def sample_row(raw_reads: int | None, barcoded: int | None, host: DataFrame, spikes: dict[str, DataFrame], means: list[DataFrame]) -> DataFrame:
-    """The sample's row. host and spikes are rows of `mapped_valid`; rates are of the raw reads."""
-    rows = host.select(F.lit(raw_reads).cast("bigint").alias("raw_reads"), F.lit(barcoded).cast("bigint").alias("barcoded_reads"), formats.rate_percent(F.lit(barcoded), F.lit(raw_reads)).alias("barcoded_reads_rate"), F.col("mapped").alias("host_mapped_reads"), F.col("valid").alias("host_valid_reads"), formats.rate_percent(F.col("valid"), F.lit(raw_reads)).alias("valid_reads_rate"))
+def sample_row(raw_reads: int | DataFrame | None, barcoded: int | DataFrame | None, host: DataFrame, spikes: dict[str, DataFrame], means: list[DataFrame]) -> DataFrame:
+    """The sample's row. host and spikes are rows of `mapped_valid`; rates are of the raw reads. raw_reads and barcoded are numbers, or one-row DataFrames of one column as the readers of reports give them."""
+    given = []
+    for name, count in (("raw_reads", raw_reads), ("barcoded_reads", barcoded)):
+        if isinstance(count, DataFrame):
+            given.append(count.select(F.col(count.columns[0]).cast("bigint").alias(name)))
+        else:
+            host = host.withColumn(name, F.lit(count).cast("bigint"))
+    rows = reduce(DataFrame.crossJoin, given, host)  # one row each
+    raw, coded = F.col("raw_reads"), F.col("barcoded_reads")
+    rows = rows.select(raw, coded, formats.rate_percent(coded, raw).alias("barcoded_reads_rate"), F.col("mapped").alias("host_mapped_reads"), F.col("valid").alias("host_valid_reads"), formats.rate_percent(F.col("valid"), raw).alias("valid_reads_rate"))
     for name, found in spikes.items():
         rows = rows.crossJoin(found.select(F.col("mapped").alias(f"{name}_mapped_reads")))
     return reduce(DataFrame.crossJoin, means, rows)

@@ -106,14 +106,14 @@ def near_sql(name: str, source: str, pattern: str) -> str:
 
 
 def nearest_part_sql(name: str, source: str, pattern: str, most: int) -> str:
-    """CTEs that end in `name` (ordinal, place, edits): where a pattern stands in `w` of a source, exactly at one place or, nowhere exactly, with the fewest edits up to `most`. All parts of `w` are compared; best ones that overlap are one place, which begins as the longest does."""
+    """CTEs that end in `name` (ordinal, place, edits): where a pattern stands in `w` of a source, exactly at one place or, nowhere exactly, with the fewest edits up to `most`. All parts of `w` are compared; the first is the longest of those that begin first, and none may follow it."""
     n = len(pattern)
     return f"""
 {name}_exact AS (SELECT ordinal, w, list_filter(range(0, greatest(length(w) - {n - 1}, 0)), lambda i: substr(w, CAST(i AS INTEGER) + 1, {n}) = '{pattern}') AS l FROM {source}),
 {name}_tries AS (SELECT ordinal, a, n, levenshtein(substr(w, a + 1, n), '{pattern}') AS edits FROM (SELECT ordinal, w, CAST(unnest(range(0, length(w))) AS INTEGER) AS a FROM {name}_exact WHERE len(l) = 0), (SELECT CAST(unnest(range({n - most}, {n + most + 1})) AS INTEGER) AS n) WHERE a + n <= length(w)),
 {name}_best AS (SELECT ordinal, a, n, edits FROM (SELECT *, min(edits) OVER (PARTITION BY ordinal) AS least FROM {name}_tries WHERE edits <= {most}) WHERE edits = least),
-{name}_apart AS (SELECT *, a >= max(a + n) OVER (PARTITION BY ordinal ORDER BY a, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS apart, row_number() OVER (PARTITION BY ordinal ORDER BY n DESC, a) AS k FROM {name}_best),
-{name} AS (SELECT ordinal, l[1] AS place, 0 AS edits FROM {name}_exact WHERE len(l) = 1 UNION ALL SELECT ordinal, max(a) FILTER (k = 1), min(edits) FROM {name}_apart GROUP BY ordinal HAVING count(*) FILTER (apart) = 0)"""
+{name}_first AS (SELECT ordinal, a, n, edits FROM (SELECT *, row_number() OVER (PARTITION BY ordinal ORDER BY a, n DESC) AS k FROM {name}_best) WHERE k = 1),
+{name} AS (SELECT ordinal, l[1] AS place, 0 AS edits FROM {name}_exact WHERE len(l) = 1 UNION ALL SELECT ordinal, a, edits FROM {name}_first f WHERE NOT EXISTS (SELECT 1 FROM {name}_best t WHERE t.ordinal = f.ordinal AND t.a >= f.a + f.n))"""
 
 
 def c_t_sql(name: str, source: str, pattern: str, most: int = 1) -> str:

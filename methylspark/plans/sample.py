@@ -23,6 +23,8 @@ class SampleConfig:
     spikes: dict[str, tuple[str, ...]] = field(default_factory=dict)
     #: Whether trims that the cycle bias of the host shows take the place of the configured ones, for host and mitochondrion; a spike's own for its.
     found_trims: bool = False
+    #: With found trims: whether a target whose bias shows none is called with the configured ones; else it has no calls.
+    keep_without_trims: bool = True
     reads_above: int = 10_000
     strict: bool = False
 
@@ -54,7 +56,8 @@ def sample(records: DataFrame, blocks: DataFrame, whitelist: DataFrame, config:
     with_ch = len(contexts) > 1 or contexts[0] != "CG"
     bias = mbias.cycles(host, blocks, config.bias)
     cutoffs = mbias.cutoffs(bias, config.cutoff)
-    trims = calls.trims_of(cutoffs, config.calls.trims) if config.found_trims else None
+    otherwise = config.calls.trims if config.keep_without_trims else None
+    trims = calls.trims_of(cutoffs, otherwise) if config.found_trims else None
 
     def both(target: DataFrame, trims: DataFrame | None, by: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame | None]:
         return calls.call_cg(target, blocks, config.calls, by, trims), calls.call_ch(target, blocks, config.calls, by, trims) if with_ch else None
@@ -64,7 +67,7 @@ def sample(records: DataFrame, blocks: DataFrame, whitelist: DataFrame, config:
     spikes = {}
     for name, contigs in config.spikes.items():
         own = records.where(F.col("rname").isin(*contigs))
-        found = calls.trims_of(mbias.cutoffs(mbias.cycles(own, blocks, config.bias), config.cutoff), config.calls.trims) if config.found_trims else None
+        found = calls.trims_of(mbias.cutoffs(mbias.cycles(own, blocks, config.bias), config.cutoff), otherwise) if config.found_trims else None
         spikes[name] = both(own, found)
     stats = summary.context_stats(summary.all_contexts(cg if "CG" in contexts else None, ch))
     reads = summary.reads_per_spot(records, spots)
@@ -74,5 +77,4 @@ def sample(records: DataFrame, blocks: DataFrame, whitelist: DataFrame, config:
 def saturation_of(found: Sample, config: SampleConfig) -> DataFrame:
     """The saturation row of a sample's spots with more than `reads_above` reads."""
     histogram = saturation.depth_histogram(found.cg, found.reads, config.reads_above)
-    used = histogram.agg(F.count_distinct("spot_id").alias("n"))
-    return saturation.summary(saturation.medians(saturation.expected_unique(histogram)), used)
+    return saturation.summary(saturation.medians(saturation.expected_unique(histogram)))

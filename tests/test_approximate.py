@@ -18,12 +18,15 @@ def edits(a, b):
     return row[-1]
 
 
-def all_places(text, pattern, most):
+def all_places(text, pattern, most, grouped=False):
     found = [(edits(text[a:z], pattern), a, z) for a in range(len(text)) for z in range(max(a + 1, a + len(pattern) - most), min(len(text), a + len(pattern) + most) + 1)]
     best = min((d for d, *_ in found), default=most + 1)
     if best > most or best >= len(pattern):
         return -1
     spans = sorted((a, z) for d, a, z in found if d == best)
+    if not grouped:
+        first = max(spans, key=lambda s: (-s[0], s[1]))
+        return -1 if any(a >= first[1] for a, _ in spans) else first[0]
     reach = 0
     for k, (a, z) in enumerate(spans):
         if k and a >= reach:
@@ -55,9 +58,10 @@ def some(rng, pattern, n):
 @pytest.mark.parametrize("most", [0, 1, 2, 3])
 def test_places_are_those_of_all_parts(pattern, most):
     texts = some(random.Random(most), pattern, 250)
-    want = [all_places(t, pattern, most) for t in texts]
-    assert approximate.places(texts, pattern, most).tolist() == want
-    assert sum(w >= 0 for w in want) > 20
+    for grouped in (False, True):
+        want = [all_places(t, pattern, most, grouped) for t in texts]
+        assert approximate.places(texts, pattern, most, grouped).tolist() == want
+        assert sum(w >= 0 for w in want) > 20
 
 
 def test_end_distances():

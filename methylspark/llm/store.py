@@ -17,7 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
-    return named if "://" in named or named.startswith("file:") else f"file://{named}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(named)
+    # a name without a scheme is of the cluster's default file system
+    whole = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return whole if "://" in whole else whole.replace("file:", "file://", 1)
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -32,6 +32,14 @@ def write_tsv(table: DataFrame, path: str, *order: str) -> None:
     table.orderBy(*order).coalesce(1).write.csv(path, sep="\t", header=True, nullValue="NA")
 
 
+MANIFEST_FIELDS = ("spot_id", "barcode1_index", "barcode2_index", "barcode1", "barcode2", "raw_cb")
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """All spots of `calls.spot_keys` as one tab-separated file with a header, in order of the whitelist's first and then second barcode. A manifest is the square of a whitelist: some thousand rows."""
+    manifest.orderBy("x", "y").select(*MANIFEST_FIELDS).coalesce(1).write.csv(path, sep="\t", header=True)
+
+
 def write_stats(row: DataFrame, path: str) -> None:
     """One row of counters as a line of JSON."""
     row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.text(path)

@@ -99,3 +99,27 @@ def spike_names(spark: SparkSession, folder: str, contexts: tuple[str, ...]) ->
     # listed by hand, since Spark's readers pass over empty files
     names = [f.base_name.removesuffix(".cov").rpartition(".") for f in system.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.File and f.base_name.endswith(".cov")]
     return sorted({name for name, _, context in names if context in contexts and name not in ("host_mito", "")})
+
+
+MANIFEST = ("spot_id", "barcode1_index", "barcode2_index", "raw_cb")
+
+
+def read_manifest(spark: SparkSession, path: str, *, indexed: bool = True) -> DataFrame:
+    """(spot_id, x, y, raw_cb) of a table of spots, as `write_manifest` makes it: rows without a spot, a CB or, with `indexed`, whole numbers as indices are left out. Of rows that
+    repeat a spot or CB the last counts. A missing column, or no usable row, is an error."""
+    needed = MANIFEST if indexed else ("spot_id", "raw_cb")
+    lines = spark.read.text(path, wholetext=True).first()
+    rows = [line.split("\t") for line in (lines.value if lines else "").splitlines() if line]  # one row a spot: some thousand
+    if not rows or (missing := set(needed) - set(rows[0])):
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing)) if rows else 'at all'}")
+    at = {name: rows[0].index(name) for name in needed}
+    found: dict[str, tuple] = {}
+    for row in rows[1:]:
+        cells = {name: (row[k].strip() if k < len(row) else "") for name, k in at.items()}
+        numbers = [cells.get(c, "") for c in ("barcode1_index", "barcode2_index")]
+        whole = [int(n) if n.lstrip("+-").isdecimal() else None for n in numbers]
+        if cells["spot_id"] and cells["raw_cb"] and not (indexed and None in whole):
+            found[cells["raw_cb"].upper()] = (cells["spot_id"], *whole)
+    if not found:
+        raise ValueError(f"{path} has no usable row")
+    return spark.createDataFrame([(spot, x, y, cb) for cb, (spot, x, y) in found.items()], "spot_id string, x int, y int, raw_cb string")

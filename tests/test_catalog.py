@@ -7,7 +7,7 @@ import __spark_entry__
 from methylspark import catalog
 from methylspark.derived import TABLES
 
-QUICK = ["call_cg_taps", "call_ch_emseq", "call_aggregate", "ref_site_classes", "overlap_resolution", "reads_per_spot", "flagstat", "mbias_cycles", "expected_unique", "extract_rejections", "extract_reject_counts", "barcode_exact", "insert_conversion_by_position", "pool_sort", "vmr_windows"]
+QUICK = ["call_cg_taps", "call_ch_emseq", "call_aggregate", "ref_site_classes", "overlap_resolution", "reads_per_spot", "flagstat", "mbias_cycles", "expected_unique", "extract_rejections", "extract_reject_counts", "barcode_exact", "insert_conversion_by_position", "pool_sort", "vmr_windows", "linker_within_2", "call_cg_bias_trims", "per_spot_summary", "sample_summary_counted", "saturation_summary"]
 
 
 def rows(frame):

@@ -19,6 +19,8 @@ CONTIGS = (("chr1", "host"), ("chr2", "host"), ("chr3", "host"), ("chrM", "mito"
 FLAGS = ((99, 83, 99, 83, 99, 83, 99, 83, 1123, 65), (147, 163, 147, 163, 147, 163, 147, 163, 1171, 129))
 TABLES = ("nation", "events")
 
+#: How many parts a folder's events are stored as, by session.
+_stored: dict[tuple[str, str], int] = {}
 _SPARK = {"div": "div", "qual": "transform(sequence(0, 24), i -> CAST(25 + (event_id * 7 + i * 3) % 17 AS INT))", "int": "INT", "string": "STRING", "range": "explode(sequence(0, {n}))"}
 _DUCK = {"div": "//", "qual": "list_transform(range(25), lambda i: CAST(25 + (event_id * 7 + i * 3) % 17 AS INTEGER))", "int": "INTEGER", "string": "VARCHAR", "range": "unnest(range(0, {n} + 1))"}
 
@@ -67,8 +69,11 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     for t in TABLES:
         table = spark.read.parquet(f"{sf_dir}/{t}.parquet")
         cores = spark.sparkContext.defaultParallelism
-        if t == "events" and table.rdd.getNumPartitions() < cores:
-            table = table.select("event_id", "value").repartition(cores)
+        if t == "events":
+            key = spark.sparkContext.applicationId, sf_dir
+            if key not in _stored:
+                _stored[key] = table.rdd.getNumPartitions()
+            table = table.select("event_id", "value").repartition(cores) if _stored[key] < cores else table
         table.createOrReplaceTempView(t)
     return [spark.sql(f"WITH {views('spark')} SELECT * FROM {name}") for name in names]
 

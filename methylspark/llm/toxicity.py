@@ -32,6 +32,8 @@ LANDMARKS, ROUNDS, PENALTY, INSERTED = 384, 3, 4.0, 0.3
 TOXIC_DOCS, CLEAN_DOCS, NEGATIVES, POSITIVES = 2500, 4000, 12_000, 4000
 #: Lower bounds of a token's log odds: from the one it is an insult, from the other it may be one.
 LIKELY, POSSIBLE = 2.6, 1.0
+#: Where labelled texts are so few that hardly any token reaches LIKELY: how far below the likeliest one insults may lie, and the least that they need.
+BELOW, LEAST = 0.4, 2.0
 #: One labelled text in so many is kept for calibration, if these are so many of each class.
 APART, FEW = 4, 4
 
@@ -336,9 +338,12 @@ def fit(texts: DataFrame) -> Machine | None:
         return [bytes(r.window) for r in rows.orderBy(*order, "window").limit(n).select("window").collect()]
 
     usual = [*picked(clean, F.desc("df0"), n=NEGATIVES // 4), *picked(clean, F.xxhash64("window"), n=NEGATIVES // 2)]
-    sure = bad.groupBy("window").agg(F.max("odds").alias("odds"), F.count("*").alias("times")).where(F.col("odds") > LIKELY)
+    sure = bad.groupBy("window").agg(F.max("odds").alias("odds"), F.count("*").alias("times")).where(F.col("odds") > LEAST)
+    top = sure.agg(F.max("odds")).first()[0]
+    likely = min(LIKELY, max(LEAST, top - BELOW)) if top is not None else LIKELY
+    sure = sure.where(F.col("odds") > likely)
     chosen = {bytes(r.window): r.times for r in sure.orderBy(F.desc("odds"), "window").limit(POSITIVES).collect()}
-    rest = bad.join(bad.where(F.col("odds") > LIKELY).select("row").distinct(), "row", "left_anti").select("row", "window")
+    rest = bad.join(bad.where(F.col("odds") > likely).select("row").distinct(), "row", "left_anti").select("row", "window")
     rng = np.random.default_rng(0)
     machine = None
     for _ in range(ROUNDS if chosen else 0):

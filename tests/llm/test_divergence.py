@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from methylspark.llm import divergence, queries
@@ -62,6 +64,27 @@ def test_audit_by_brute_force(spark, monkeypatch, cells, pairs, flush):
     assert got == brute(docs, 3, 5)
 
 
+def test_large_batches_are_counted_in_parts(monkeypatch):
+    """However much text a batch holds, little is counted at once; small batches are counted together."""
+    sizes, count = [], divergence._count
+    monkeypatch.setattr(divergence, "FLUSH_BYTES", 1000)
+    monkeypatch.setattr(divergence, "_count", lambda rows: sizes.append((rows.num_rows, pc.sum(pc.binary_length(rows["text"])).as_py() or 0)) or count(rows))
+    texts = [f"a w{chr(97 + k % 26)} " * 20 for k in range(60)] + [None, "", "b " * 1500, "c"]
+    whole = pa.RecordBatch.from_pydict({"lang": ["en"] * 64, "source": ["s", "t"] * 32, "text": texts})
+    for batches in ([whole], [whole.slice(k, 1) for k in range(64)]):
+        sizes.clear()
+        got = Counter()
+        for b in divergence._counted(iter(batches)):
+            for row in b.to_pylist():
+                got[row["source"], row["term"]] += row["n"]
+        want = Counter({("s", b""): 0, ("t", b""): 0})
+        for source, text in zip(["s", "t"] * 32, texts, strict=True):
+            want.update((source, t.encode()) for t in TERM.findall(text or ""))
+        assert dict(got) == dict(want)
+        assert sum(n for n, _ in sizes) == 64 and 6 < len(sizes) < 40
+        assert all(size <= 1000 or n == 1 for n, size in sizes)
+
+
 def test_audit_of_nothing(spark):
     assert divergence.audit(frame(spark, []), 3, 5).count() == 0
     assert divergence.audit(frame(spark, [(None, None, None)]), 3, 5).count() == 0

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -136,6 +137,66 @@ def test_model_beats_its_base_where_words_follow_words(spark):
     assert sum(r.score for r in apart) > sum(r.base_score for r in apart) + 0.2 * sum(r.n_tokens for r in apart)
 
 
+def test_step_by_brute_force():
+    """One step of AdaGrad, with rows that are active once, a few times and in most decisions; also where logits lie far apart."""
+    rng = np.random.default_rng(7)
+    for rows, n, scale in ((8, 300, 1), (200, 300, 1), (1 << 14, 257, 1), (1 << 14, 1, 1), (300, 300, 60)):
+        weights = (rng.normal(size=(rows, 6)) * scale).astype(np.float32)
+        active, target = rng.integers(0, rows, (n, 3)), rng.integers(0, 6, n)
+        active[: n // 2, 1] = rng.integers(0, 3, n // 2)
+        bias = np.where(rng.random((n, 6)) < 0.1, -1e4, rng.normal(size=(n, 6)) * scale).astype(np.float32)
+        local = maxent.Local(weights)
+        local.step(active, target, bias)
+        logits = weights.astype(float)[active].sum(axis=1) + bias
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        logs = maxent.log10_softmax(weights, active, bias, target, maxent.Scratch())
+        taken = (logits - logits.max(axis=1, keepdims=True))[np.arange(n), target] - np.log(np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1))
+        assert np.allclose(logs, taken / np.log(10), rtol=1e-4, atol=1e-3)
+        p[np.arange(n), target] -= 1
+        times, g = np.zeros(rows), np.zeros((rows, 6))
+        np.add.at(times, active, 1)
+        np.add.at(g, active, p[:, None, :])
+        seen = np.flatnonzero(times)
+        square = 1e-2 + (g[seen] ** 2).sum(axis=1) / times[seen]
+        want = weights.astype(float)
+        want[seen] -= maxent.RATE * g[seen] / np.sqrt(square * times[seen])[:, None]
+        assert np.allclose(local.weights, want, rtol=1e-4, atol=2e-3)
+        assert np.allclose(local.square[seen], square, rtol=1e-3) and np.array_equal(local.active, times)
+
+
+def test_step_makes_no_new_tables():
+    """A step of a batch writes its tables of rows where the last one did."""
+    rng = np.random.default_rng(8)
+    n, kinds, classes = 4096, 5, 32
+    local = maxent.Local(np.zeros((1 << 16, classes), np.float32))
+    active, target, bias = rng.integers(0, 1 << 16, (n, kinds)), rng.integers(0, classes, n), np.zeros((1, classes), np.float32)
+    local.step(active, target, bias)
+    tracemalloc.start()
+    local.step(active, target, bias)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * kinds * classes * 4
+
+
+def test_trees_learn_from_the_words_before_where_rows_are_at_their_bound(spark, monkeypatch):
+    """Nodes of trees have fewer features there than the classes, and what follows a word is learned."""
+    docs = [(k, " ".join(f"a{(k + j) % 80} b{(k + j) % 80}" for j in range(60)), "en") for k in range(300)]
+    counts = maxent.word_counts(frame(spark, docs).select("text"))
+    wide = maxent.vocabulary(counts, maxent.HEAD, maxent.CLASSES)
+    monkeypatch.setattr(maxent, "MOST_ROWS", 256)
+    monkeypatch.setattr(maxent, "ROWS", 256)
+    v = maxent.vocabulary(counts, maxent.HEAD, maxent.CLASSES)
+    words, at = maxent.tokens(*buffers(pa.array(["a1 b1 a2 b2"])))
+    bias = np.zeros(maxent.CLASSES, np.float32)
+    for vocabulary, kinds in ((wide, 5), (v, 3)):
+        levels = maxent.decisions(words, at, vocabulary, vocabulary.rows, bias)[1]
+        assert len(levels) > 1 and [active.shape[1] for _, active, _, _ in levels] == [5] + [kinds] * (len(levels) - 1)
+    assert maxent.Vocabulary.find(v, np.array([0, 2**64 - 1, v.words[3]], np.uint64)).tolist() == [-1, -1, 3]
+    rows = maxent.score(frame(spark, docs), F.col("doc_id") % 7 == 2).collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows) + 0.2 * sum(r.n_tokens for r in rows)
+
+
 def prose(rng, vowel, n=60):
     return " ".join("".join(rng.choice("bdfgklmnprst") + vowel for _ in range(rng.randrange(1, 4))) for _ in range(n))
 

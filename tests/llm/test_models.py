@@ -180,7 +180,7 @@ def test_step_makes_no_new_tables():
 
 
 def test_trees_learn_from_the_words_before_where_rows_are_at_their_bound(spark, monkeypatch):
-    """Nodes of trees have fewer features there than the classes, and what follows a word is learned."""
+    """Nodes of trees have fewer features there than the classes, what follows a word is learned, and with words outside the head all probabilities sum to 1."""
     docs = [(k, " ".join(f"a{(k + j) % 80} b{(k + j) % 80}" for j in range(60)), "en") for k in range(300)]
     counts = maxent.word_counts(frame(spark, docs).select("text"))
     wide = maxent.vocabulary(counts, maxent.HEAD, maxent.CLASSES)
@@ -189,12 +189,27 @@ def test_trees_learn_from_the_words_before_where_rows_are_at_their_bound(spark,
     v = maxent.vocabulary(counts, maxent.HEAD, maxent.CLASSES)
     words, at = maxent.tokens(*buffers(pa.array(["a1 b1 a2 b2"])))
     bias = np.zeros(maxent.CLASSES, np.float32)
-    for vocabulary, kinds in ((wide, 5), (v, 3)):
+    for vocabulary, top, deep in ((wide, 5, 5), (v, 4, 2)):
         levels = maxent.decisions(words, at, vocabulary, vocabulary.rows, bias)[1]
-        assert len(levels) > 1 and [active.shape[1] for _, active, _, _ in levels] == [5] + [kinds] * (len(levels) - 1)
+        assert len(levels) > 1 and [active.shape[1] for _, active, _, _ in levels] == [top] + [deep] * (len(levels) - 1)
     assert maxent.Vocabulary.find(v, np.array([0, 2**64 - 1, v.words[3]], np.uint64)).tolist() == [-1, -1, 3]
     rows = maxent.score(frame(spark, docs), F.col("doc_id") % 7 == 2).collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) + 0.2 * sum(r.n_tokens for r in rows)
+    monkeypatch.setattr(maxent, "HEAD", 50)
+    v = maxent.vocabulary(counts, 50, maxent.CLASSES)
+    assert v.outer_levels == 0 and len(v.leaf_sums) == 1 and len(v.words) < v.distinct
+    weights = np.random.default_rng(0).normal(size=(v.rows, maxent.CLASSES)).astype(np.float32)
+    monkeypatch.setattr(maxent, "train", lambda *a: (weights, bias))
+    # each known word, and one unknown, as texts: their score less that of the end, which follows them
+    asked = [(1000 + k, w, "en") for k, w in enumerate(sorted({w for _, t, _ in docs for w in t.split()}) + ["unknown"])]
+    score = {r.doc_id: r.score for r in maxent.score(frame(spark, docs + asked), F.col("doc_id") >= 1000).collect()}
+    ends = maxent.score(frame(spark, [*docs, (999, None, "en")]), F.col("doc_id") >= 999).where("doc_id = 999").first().score
+    total = 10.0**ends
+    for d, w, _ in asked:
+        words, at = maxent.tokens(*buffers(pa.array([w])))
+        end = sum(maxent.log10_softmax(weights, active[of == 1], own if len(own) == 1 else own[of == 1], branch[of == 1], maxent.Scratch()).sum() for of, active, branch, own in maxent.decisions(words, at, v, v.rows, bias)[1] if (of == 1).any())
+        total += 10.0 ** (score[d] - end)
+    assert total == pytest.approx(1, abs=1e-3)
 
 
 def prose(rng, vowel, n=60):

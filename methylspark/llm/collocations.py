@@ -31,16 +31,16 @@ from methylspark.llm.wordhash import buffers, mix, polynomial, slices
 
 #: Words of a phrase at most.
 WORDS = 5
-#: Bytes of text or pieces that a task works on together, and bytes of pieces for each partition of buckets.
+#: Bytes of text or pieces that a task works on together, and bytes of pieces for each bucket.
 FLUSH_BYTES, PART_BYTES = 6 << 20, 12 << 20
-#: Buckets for each partition of buckets.
-BUCKETS = 4
 #: Bits that tell frequent pairs.
 BITS = 1 << 25
 #: A beginning is heavy if more than this share of windows has it (at most WORDS / HEAVY of them can be); it is looked for in one of LOOK pieces.
 HEAVY, LOOK = 1 / 1000, 8
 #: What duckdb may hold in memory in a task, and rows that it gets at once.
-MEMORY, ROWS = "160MB", 200_000
+MEMORY, ROWS = "160MB", 500_000
+#: Bytes of dealt windows that are sent on together.
+SENT_BYTES = 4 << 20
 #: Parts of a word are asked for so often that its count stands on so many rows.
 SALTS = 16
 PIECES = "lang string, piece binary, times bigint"
@@ -232,7 +232,9 @@ def heavy_beginnings(pieces: DataFrame) -> list[tuple[str, tuple[bytes, ...]]]:
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], sent: Broadcast, buckets: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
-    """Windows for phrases of `low` to `high` words by bucket: (bucket, langs, words, rows, body). body holds the rows' languages, words (each as a number into its own langs and words, +1), the fewest words of phrases that are counted there, and weights."""
+    """Windows for phrases of `low` to `high` words by bucket: (bucket, rows, body). body holds the rows' weights, the lengths of their language and words (0: none), the fewest words of phrases that are counted there, and the language and words themselves.
+
+    What a batch sends to a bucket becomes less the more buckets there are, so all work is on whole batches, but for the compression."""
     import zstandard
 
     press = zstandard.ZstdCompressor(level=1)
@@ -280,28 +282,30 @@ def _dealt(batches: Iterator[pa.RecordBatch], sent: Broadcast, buckets: int, low
         least = np.concatenate((least[stay], sizes))
         weight = np.concatenate((found.weight[stay], weights))
         langs = found.lang[every]
-        h, key = np.append(found.hashes, np.uint64(0)), found.lang_hashes[langs]
+        key = found.lang_hashes[langs]
         for k in range(high):
-            key = np.where(k < least, mix(key + h[ids[k]]), key)
-        bucket = (key % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)).tolist() + [len(order)]
-        used, place = np.zeros(kinds + 1, bool), np.zeros(kinds + 1, np.int32)
-        names = found.langs.to_pylist()
-        for lo, hi in zip(edges, edges[1:], strict=False):
-            part = order[lo:hi]
-            own = ids[:, part]
-            used[:] = False
-            used[own] = True
-            used[-1] = False
-            kept = np.flatnonzero(used)
-            place[kept] = np.arange(1, len(kept) + 1)
-            place[-1] = 0
-            body = b"".join(x.tobytes() for x in (weight[part].astype(np.int64), langs[part].astype(np.int32), place[own], least[part].astype(np.int8)))
-            # no word holds a space
-            text = b" ".join(found.words.take(pa.array(kept)).to_pylist())
-            columns = [pa.array([int(bucket[part[0]])], pa.int64()), pa.array([names], pa.list_(pa.string())), pa.array([press.compress(text)], pa.binary()), pa.array([hi - lo], pa.int64()), pa.array([press.compress(body)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "langs", "words", "rows", "body"])
+            on = np.flatnonzero(k < least) if k >= low else slice(None)
+            key[on] = mix(key[on] + found.hashes[ids[k, on]])
+        bucket = key % np.uint64(buckets)
+        # numpy sorts numbers of 16 bits by their digits
+        order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32), kind="stable")
+        bucket = bucket[order]
+        edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(order))
+        # languages stand after the words
+        places = np.concatenate((langs[order, None] + kinds, ids[:, order].T), axis=1).ravel()
+        told = pa.concat_arrays([found.words, found.langs.cast(pa.large_binary())]).take(pa.array(places, mask=places < 0))
+        ends = np.frombuffer(told.buffers()[1], np.int64)[: len(told) + 1]
+        text, lengths = memoryview(told.buffers()[2]), np.diff(ends).astype(np.int32)
+        weight, least = weight[order].astype(np.int64), least[order].astype(np.int8)
+        own: list[bytes] = []
+        size, begin = 0, 0
+        for k, (lo, hi, first, last) in enumerate(zip(edges.tolist(), edges[1:].tolist(), ends[edges * (high + 1)].tolist(), ends[edges[1:] * (high + 1)].tolist(), strict=False), 1):
+            own.append(press.compress(b"".join((weight[lo:hi], lengths[lo * (high + 1) : hi * (high + 1)], least[lo:hi], text[first:last]))))
+            size += len(own[-1])
+            if size >= SENT_BYTES or k == len(edges) - 1:
+                columns = [pa.array(bucket[edges[begin:k]].astype(np.int32)), pa.array(np.diff(edges[begin : k + 1])), pa.array(own, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "rows", "body"])
+                own, size, begin = [], 0, k
 
 
 def _phrases(batches: Iterator[pa.RecordBatch], least: int, low: int, high: int) -> Iterator[pa.RecordBatch]:
@@ -315,24 +319,27 @@ def _phrases(batches: Iterator[pa.RecordBatch], least: int, low: int, high: int)
         con = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": MEMORY, "temp_directory": spill, "preserve_insertion_order": "false"})
         names = [f"w{k}" for k in range(high)]
         con.execute(f"CREATE TABLE windows (weight BIGINT, lang INTEGER, {', '.join(f'{w} INTEGER' for w in names)}, least TINYINT)")
+        # languages are numbered among the words
         words: dict[bytes, int] = {}
-        langs: dict[str, int] = {}
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, memoryview]] = []
         count = 0
 
         def send() -> None:
-            con.register("part", pa.Table.from_batches(held))
+            weight, lengths, least = (np.concatenate([x[k] for x in held]) for k in range(3))
+            ends = np.append(0, np.cumsum(lengths, dtype=np.int64))
+            told = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(b"".join([x[3] for x in held]))]).dictionary_encode()
+            number = np.array([words.setdefault(w, len(words)) for w in told.dictionary.to_pylist()], np.int32)[np.asarray(told.indices)].reshape(-1, high + 1)
+            number[:, 1:][lengths.reshape(-1, high + 1)[:, 1:] == 0] = -1
+            columns = [weight, *np.ascontiguousarray(number.T), least]
+            con.register("part", pa.Table.from_arrays([pa.array(c) for c in columns], names=["weight", "lang", *names, "least"]))
             con.execute("INSERT INTO windows SELECT * FROM part")
             con.unregister("part")
 
         for b in batches:
-            for own_langs, own_words, n, body in zip(*(b.column(k).to_pylist() for k in range(1, 5)), strict=True):
-                raw = expand.decompress(body)
-                numbers = np.frombuffer(raw, np.int32, n * (high + 1), n * 8).reshape(high + 1, n)
-                lang = np.array([langs.setdefault(x, len(langs)) for x in own_langs], np.int32)
-                word = np.array([-1, *[words.setdefault(w, len(words)) for w in expand.decompress(own_words).split(b" ")]], np.int32)
-                columns = [np.frombuffer(raw, np.int64, n), lang[numbers[0]], *word[numbers[1:]], np.frombuffer(raw, np.int8, n, n * (12 + 4 * high))]
-                held.append(pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["weight", "lang", *names, "least"]))
+            for n, body in zip(b.column(1).to_pylist(), b.column(2), strict=True):
+                raw = expand.decompress(body.as_buffer())
+                low_end = n * (8 + 4 * (high + 1))
+                held.append((np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int32, n * (high + 1), n * 8), np.frombuffer(raw, np.int8, n, low_end), memoryview(raw)[low_end + n :]))
                 count += n
                 if count >= ROWS:
                     send()
@@ -340,7 +347,7 @@ def _phrases(batches: Iterator[pa.RecordBatch], least: int, low: int, high: int)
         if held:
             send()
             held = []
-        lang_names, word_names = pa.array(list(langs), pa.string()), pa.array(list(words), pa.large_binary())
+        word_names = pa.array(list(words), pa.large_binary())
         words = {}
         for size in [*range(high, low - 1, -1), *([0] if low == 1 else [])]:
             by = ", ".join(["lang", *names[:size]])
@@ -350,7 +357,7 @@ def _phrases(batches: Iterator[pa.RecordBatch], least: int, low: int, high: int)
                 if b.num_rows:
                     parts = [word_names.take(c) for c in b.columns[1:-1]]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())).cast(pa.binary()).cast(pa.string()) if size else pa.nulls(b.num_rows, pa.string())
-                    yield pa.RecordBatch.from_arrays([lang_names.take(b.column(0)), phrase, pa.array(np.full(b.num_rows, size, np.int32)), b.column(b.num_columns - 1)], names=["lang", "phrase", "words", "n"])
+                    yield pa.RecordBatch.from_arrays([word_names.take(b.column(0)).cast(pa.binary()).cast(pa.string()), phrase, pa.array(np.full(b.num_rows, size, np.int32)), b.column(b.num_columns - 1)], names=["lang", "phrase", "words", "n"])
         con.close()
     finally:
         shutil.rmtree(spill, ignore_errors=True)
@@ -384,8 +391,8 @@ def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
 
     def counted(low: int, high: int, bits: np.ndarray | None) -> DataFrame:
         sent = docs.sparkSession.sparkContext.broadcast((heavy, bits))
-        dealt = pieces.mapInArrow(lambda it: _dealt(it, sent, partitions * BUCKETS, low, high), "bucket bigint, langs array<string>, words binary, rows bigint, body binary")
-        return written(dealt.repartition(partitions, "bucket").mapInArrow(lambda it: _phrases(it, least, low, high), PHRASES), "phrases")
+        dealt = pieces.mapInArrow(lambda it: _dealt(it, sent, partitions, low, high), "bucket int, rows bigint, body binary")
+        return written(dealt.repartitionById(partitions, F.col("bucket")).mapInArrow(lambda it: _phrases(it, least, low, high), PHRASES), "phrases")
 
     short = counted(1, 2, None)
     long = counted(3, WORDS, frequent_pairs(short.where("words = 2")))

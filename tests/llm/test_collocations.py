@@ -2,9 +2,12 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +81,24 @@ def test_query_as_sql(spark, sf_dir):
     want = con.execute(queries.OP12_SQL).fetchall()
     got = queries.op12_collocations(spark, sf_dir)
     assert want and got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_many_buckets_cost_little_more_than_few():
+    """A batch's words are not gone through again for each bucket, on either side; nor do counts depend on the buckets. A language may have an empty name."""
+    rng = random.Random(3)
+    lines = [(rng.choice(["en", ""]), [f"w{rng.randrange(60_000)}" for _ in range(6)]) for _ in range(60_000)]
+    pieces = pa.RecordBatch.from_arrays([pa.array([x for x, _ in lines]), pa.array([" ".join(w).encode() for _, w in lines]), pa.array([1] * len(lines))], names=["lang", "piece", "times"])
+    want = Counter((x, " ".join(p)) for x, w in lines for p in [*((y,) for y in w), *zip(w, w[1:], strict=False)])
+    want = {k: n for k, n in want.items() if n > 1}
+
+    def took(buckets):
+        begin, out = time.process_time(), list(collocations._dealt(iter([pieces]), SimpleNamespace(value=([], None)), buckets, 1, 2))
+        assert len({k for b in out for k in b.column(0).to_pylist()}) > 0.9 * min(buckets, 4000)
+        found = list(collocations._phrases(iter(out), 2, 1, 2))
+        seconds = time.process_time() - begin
+        rows = [r for b in found for r in b.to_pylist()]
+        assert {(r["lang"], r["phrase"]): r["n"] for r in rows if r["words"]} == want and sum(r["n"] for r in rows if not r["words"]) == 360_000
+        return seconds
+
+    took(10)
+    assert min(took(4000) for _ in range(2)) < 1.8 * min(took(10) for _ in range(2))

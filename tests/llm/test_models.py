@@ -212,6 +212,33 @@ def test_trees_learn_from_the_words_before_where_rows_are_at_their_bound(spark,
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_all_features_where_rows_are_at_their_bound(spark, monkeypatch):
+    """The classes and every node have all five kinds, words outside the head have their tree, and with it all probabilities sum to 1."""
+    docs = [(k, " ".join(f"a{(k + j) % 80} b{(k + j) % 80}" for j in range(60)), "en") for k in range(300)]
+    counts = maxent.word_counts(frame(spark, docs).select("text"))
+    monkeypatch.setattr(maxent, "MOST_ROWS", 256)
+    monkeypatch.setattr(maxent, "ROWS", 256)
+    v = maxent.vocabulary(counts, 50, maxent.CLASSES)
+    assert 2 * v.distinct > v.rows == 256 and v.outer_levels == 2 and len(v.words) < v.distinct
+    rows = counts.toArrow()
+    words, c = rows["word"].to_numpy().view(np.uint64), rows["c"].to_numpy()
+    weights, bias = np.random.default_rng(0).normal(size=(v.rows, maxent.CLASSES)).astype(np.float32), np.zeros(maxent.CLASSES, np.float32)
+    # each word after the same first word, in a text of its own
+    texts = np.column_stack((np.full(len(words), v.words[0]), words)).ravel()
+    place, levels = maxent.decisions(texts, np.arange(0, len(texts) + 1, 2), v, v.rows, bias)
+    assert len(levels) > 3 and {active.shape[1] for _, active, _, _ in levels} == {5}
+    p = np.ones(len(texts))
+    for of, active, branch, own in levels:
+        p[of] *= maxent.softmax(weights, active, own)[np.arange(len(of)), branch]
+    away = place < 0
+    p[away] *= (1 - 10.0 ** -v.log_sums[-1]) * (np.repeat(c, 2)[away] + 1) / 10.0 ** v.leaf_sums[maxent._leaf(texts[away], v)]
+    unknown = maxent.softmax(weights, levels[0][1][1:2], bias[None, :])[0, -1] * 10.0 ** -v.log_sums[-1]
+    assert p[1::2].sum() + unknown == pytest.approx(1, abs=1e-4)
+    monkeypatch.setattr(maxent, "HEAD", 50)
+    found = maxent.score(frame(spark, docs), F.col("doc_id") % 7 == 2).where("doc_id % 7 = 2").collect()
+    assert sum(r.score for r in found) > sum(r.base_score for r in found) + 0.2 * sum(r.n_tokens for r in found)
+
+
 def prose(rng, vowel, n=60):
     return " ".join("".join(rng.choice("bdfgklmnprst") + vowel for _ in range(rng.randrange(1, 4))) for _ in range(n))
 
